@@ -205,27 +205,44 @@ def resolve_url(base: Column, href: Column) -> Column:
 
 # ---- http(s) URLs ------------------------------------------------------------
 
+# Scheme, user, host and port, path, query, fragment, as browsers take them apart.
 _HTTP = r"(?is)^(https?):[/\\]*((?:[^/\\?#]*@)?)([^/\\?#@]*)([^?#]*)(\?[^#]*)?(#.*)?\z"
 _HOST_PORT = r"(?s)^(\[[0-9A-Fa-f:.]+\]|[^:\[\]]*?)(?::([0-9]*))?\z"
-_BAD_HOST = r"[\x00-\x20#/<>?@\[\\\]^|%\x7f]"
+_BAD_HOST = r"[\x00-\x20#/<>?@\\^|%\x7f]"
 
+# What each part holds unescaped, as a character class.
+_PATH_SAFE = r"!$-;=@-_a-z|~"
+_QUERY_SAFE = r"!$-&(-;=?-~"
+_FRAGMENT_SAFE = r"!#-;=?-_a-~"
 
-def is_http_url(url: Column) -> Column:
-    """Whether the text parses as an http or https URL with a host."""
+
+def _http_parts(url: Column) -> Column:
+    """Six parts, host and port as written; no parts for any other text."""
     text = F.translate(F.btrim(url, F.lit(CONTROL_OR_SPACE)), "\t\r\n", "")
-    host_port = F.regexp_extract(text, _HTTP, 3)
-    host = F.regexp_extract(host_port, _HOST_PORT, 1)
-    port = F.regexp_extract(host_port, _HOST_PORT, 2)
-    bare_host = F.regexp_replace(host, r"^\[|\]\z", "")
-    return F.coalesce(
-        (host != "")
-        & ~F.rlike(bare_host, F.lit(_BAD_HOST))
-        & ((port == "") | (port.try_cast("long") <= 65535))
-        & (F.char_length(text) <= MAX_URL_LENGTH),
-        F.lit(False),
+    return F.split(F.regexp_replace(text, _HTTP, "$1\n$2\n$3\n$4\n$5\n$6"), "\n")
+
+
+def _is_http(part: Column) -> Column:
+    def sound(host_port: Column) -> Column:
+        host = F.regexp_extract(host_port, _HOST_PORT, 1)
+        port = F.regexp_extract(host_port, _HOST_PORT, 2)
+        return (
+            (host != "")
+            & ~F.rlike(host, F.lit(_BAD_HOST))
+            & ((port == "") | (port.try_cast("long") <= 65535))
+        )
+
+    return F.when(F.size(part) == 6, F.coalesce(bind(part[2], sound), F.lit(False))).otherwise(
+        F.lit(False)
     )
 
 
+def is_http_url(url: Column) -> Column:
+    """Whether the text parses as an http or https URL with a host."""
+    short = F.char_length(url) <= MAX_URL_LENGTH
+    return F.coalesce(short & bind(_http_parts(url), _is_http), F.lit(False))
+
+
 def _percent(text: Column, safe: str) -> Column:
     """Percent-encode whatever is not in the character class ``safe``."""
     runs = F.regexp_extract_all(text, F.lit(f"[{safe}]+|[^{safe}]+"), F.lit(0))
@@ -245,22 +262,29 @@ def normalize_http_url(url: Column) -> Column:
     segments folded, unsafe characters percent-encoded. Hosts outside ASCII stay
     as written (no punycode).
     """
-    text = F.translate(F.btrim(url, F.lit(CONTROL_OR_SPACE)), "\t\r\n", "")
-    part = lambda group: F.regexp_extract(text, _HTTP, group)
-    scheme, user = F.lower(part(1)), part(2)
-    host = F.lower(F.regexp_extract(part(3), _HOST_PORT, 1))
-    port = F.regexp_replace(F.regexp_extract(part(3), _HOST_PORT, 2), "^0+(?=[0-9])", "")
-    default = ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
-    path = _rooted(F.translate(part(4), "\\", "/"))
-    path = F.when(F.rlike(path, F.lit(_DOT_SEGMENT)), _rooted(_fold_dots(path))).otherwise(path)
-    normal = F.concat(
-        scheme,
-        F.lit("://"),
-        user,
-        host,
-        F.when((port == "") | default, F.lit("")).otherwise(F.concat(F.lit(":"), port)),
-        _percent(path, r"!$-;=@-_a-z|~"),
-        F.regexp_replace(_percent(part(5), r"!$-&(-;=?-~"), r"^\?\z", "?"),
-        _percent(part(6), r"!#-;=?-_a-~"),
-    )
-    return F.when(is_http_url(url), normal)
+
+    def normal(part: Column) -> Column:
+        scheme = F.lower(part[0])
+        host = F.lower(F.regexp_extract(part[2], _HOST_PORT, 1))
+        port = F.regexp_replace(F.regexp_extract(part[2], _HOST_PORT, 2), "^0+(?=[0-9])", "")
+        default = F.when(scheme == "http", F.lit("80")).otherwise(F.lit("443"))
+        path = bind(
+            _rooted(F.translate(part[3], "\\", "/")),
+            lambda p: F.when(F.rlike(p, F.lit(_DOT_SEGMENT)), _rooted(_fold_dots(p))).otherwise(p),
+        )
+        shown_port = F.when((port == "") | (port == default), F.lit("")).otherwise(
+            F.concat(F.lit(":"), port)
+        )
+        joined = F.concat(
+            scheme,
+            F.lit("://"),
+            part[1],
+            host,
+            shown_port,
+            bind(path, lambda p: _percent(p, _PATH_SAFE)),
+            _percent(part[4], _QUERY_SAFE),
+            _percent(part[5], _FRAGMENT_SAFE),
+        )
+        return F.when(_is_http(part), joined)
+
+    return F.when(F.char_length(url) <= MAX_URL_LENGTH, bind(_http_parts(url), normal))

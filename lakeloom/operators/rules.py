@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,15 +60,18 @@ def parameter_rules(dataset_prefix: str = HTTPS_PREFIX) -> dict[str, Column]:
     }
 
 
-def settings_rules(with_crawler: bool = True) -> dict[str, Column]:
-    """Rules a settings record must meet as a whole."""
+def settings_rules(
+    with_crawler: bool = True, environments: Sequence[str] | None = ENVIRONMENTS
+) -> dict[str, Column]:
+    """Rules a settings record must meet as a whole. ``environments`` None allows any name."""
     sink = F.col("sink")
 
     def urls(name: str) -> Column:
         return F.forall(F.col(name), is_http_url)
 
+    name = F.col("environment")
     rules = {
-        "environment": F.col("environment").isin(*ENVIRONMENTS),
+        "environment": name.isNotNull() if environments is None else name.isin(*environments),
         "sink": sink["type"].isin(*SINK_TYPES),
         "sink_bucket_name": (sink["type"] != "s3") | sink["bucket_name"].isNotNull(),
         "sink_path": (sink["type"] != "local") | sink["path"].isNotNull(),

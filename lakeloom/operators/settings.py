@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import parse_url_list
@@ -71,25 +71,21 @@ def records_to_settings(records: DataFrame, destination: str) -> DataFrame:
     )
 
 
-def valid_settings(settings: DataFrame, with_crawler: bool = True) -> DataFrame:
-    return settings.where(_is_valid(with_crawler))
+def valid_settings(settings: DataFrame, **rules: object) -> DataFrame:
+    """Records that break no rule; ``rules`` are the options of ``settings_rules``."""
+    return settings.where(F.size(broken_rules(settings_rules(**rules))) == 0)
 
 
-def _is_valid(with_crawler: bool) -> Column:
-    return F.size(broken_rules(settings_rules(with_crawler))) == 0
-
-
-def settings_with_fallback(
-    primary: DataFrame, fallback: DataFrame, with_crawler: bool = True
-) -> DataFrame:
+def settings_with_fallback(primary: DataFrame, fallback: DataFrame, **rules: object) -> DataFrame:
     """Per environment the primary record if all of it is valid, else the fallback one.
 
     Records are never mixed field by field. An environment for which neither is
     valid has no row.
     """
-    first = valid_settings(primary, with_crawler)
-    second = valid_settings(fallback, with_crawler).join(
+    first = valid_settings(primary, **rules)
+    second = valid_settings(fallback, **rules).join(
         first.select("environment"), "environment", "left_anti"
     )
-    mark = lambda df, name: df.withColumn("origin", F.lit(name))
-    return mark(first, "primary").unionByName(mark(second, "fallback"))
+    return first.withColumn("origin", F.lit("primary")).unionByName(
+        second.withColumn("origin", F.lit("fallback"))
+    )

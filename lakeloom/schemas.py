@@ -40,6 +40,14 @@ CANDIDATES = _struct(
 
 OBJECTS = _struct(object_id=T.StringType(), length=T.LongType(), content=T.BinaryType())
 
+# What Spark's binaryFile source gives.
+FILES = _struct(
+    path=T.StringType(),
+    modificationTime=T.TimestampType(),
+    length=T.LongType(),
+    content=T.BinaryType(),
+)
+
 LANDED = _struct(
     target_key=T.StringType(),
     content_type=T.StringType(),

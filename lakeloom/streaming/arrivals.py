@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.media import content_type
 from ..functions.urls import basename, target_key
 from ..operators.landing import resolve_conflicts, skip_landed
+from ..schemas import FILES
 from ..session import pin
 from ..sinks.layer import Layer
-from ..functions.media import content_type
 from ..sinks.object_sinks import MAX_OBJECT_LENGTH
 from ..sinks.row_sink import land_rows
 
@@ -78,7 +79,8 @@ def stream_objects(
     ``max_files`` of them, are read once, straight into the write.
     """
     names = (
-        spark.readStream.format("binaryFile")
+        spark.readStream.schema(FILES)
+        .format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
