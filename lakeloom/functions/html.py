@@ -18,7 +18,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import literal_map
+from .text import apply_sql, let, literal, literal_map
 
 _S = r"[\t\n\f\r ]"
 _GAP = r"[\t\n\f\r /]"
@@ -42,7 +42,7 @@ LINK_PATTERN = "".join(
 
 # Character references: named ones come from Python's own HTML5 table, those
 # with ';' and the older ones that also stand without it.
-_ENTITIES = dict(html5)
+_NAMED = dict(html5)
 # Numbers 0x80-0x9F mean Windows-1252 characters.
 _CP1252 = {
     str(n): bytes([n]).decode("cp1252", "ignore")
@@ -51,40 +51,41 @@ _CP1252 = {
 }
 _TOKEN = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*[;=]?|[^&]+|&"
 
-
-def _code_point(digits: Column, base: int) -> Column:
-    """Text of one numeric reference."""
-    number = F.when(F.length(digits) <= 9, F.conv(digits, base, 10).cast("long")).otherwise(F.lit(2**31))
-    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    utf32 = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
-    return F.coalesce(
-        F.try_element_at(literal_map(_CP1252), number.cast("string")),
-        F.decode(utf32, "UTF-32"),
-    )
+# Text of the code point n; one that does not exist becomes U+FFFD.
+_CHARACTER = f"""
+coalesce(
+  try_element_at({literal_map(_CP1252)}, cast(n AS string)),
+  decode(unhex(lpad(hex(CASE WHEN n BETWEEN 1 AND 55295 OR n BETWEEN 57344 AND 1114111
+                             THEN n ELSE 65533 END), 8, '0')), 'UTF-32'))"""
+
+_DIGITS = "regexp_extract(t, '^&#[xX]?([0-9a-fA-F]+)', 1)"
+_NUMBER = f"""
+CASE WHEN length({_DIGITS}) > 9 THEN 2147483647
+     ELSE cast(conv({_DIGITS}, CASE WHEN t RLIKE '^&#[xX]' THEN 16 ELSE 10 END, 10) AS bigint)
+END"""
+
+# As in browsers, a named reference without its ';' that a letter, digit or '='
+# follows is plain text (?a=1&copy=2).
+_UNESCAPE = f"""
+CASE WHEN NOT contains(v, '&') THEN v ELSE array_join(
+  transform(regexp_extract_all(v, {literal(_TOKEN)}, 0), t ->
+    CASE WHEN NOT startswith(t, '&') OR endswith(t, '=') OR t = '&' THEN t
+         WHEN t = '&amp;' THEN '&'
+         WHEN startswith(t, '&#') THEN {let("n", _NUMBER, _CHARACTER)}
+         ELSE coalesce(try_element_at({literal_map(_NAMED)}, substr(t, 2)), t)
+    END), '') END"""
+
+_UNQUOTE = "CASE WHEN r RLIKE '^[\"\\']' THEN substr(r, 2, length(r) - 2) ELSE r END"
+
+_LINKS = f"""
+transform(
+  filter(regexp_extract_all(x.html, {literal(LINK_PATTERN)}, 1), r -> r <> ''),
+  (r, i) -> named_struct('link_pos', cast(i AS bigint), 'href', {let("v", _UNQUOTE, _UNESCAPE)}))"""
 
 
 def unescape_attribute(value: Column) -> Column:
-    """Replace the character references of an attribute value.
-
-    As in browsers, a named reference without its ``;`` that a letter, digit or
-    ``=`` follows is plain text (``?a=1&copy=2``).
-    """
-    digits = lambda t: F.regexp_extract(t, "^&#[xX]?([0-9a-fA-F]+)", 1)
-    named = literal_map(_ENTITIES)
-    pieces = F.transform(
-        F.regexp_extract_all(value, F.lit(_TOKEN), F.lit(0)),
-        lambda t: F.when(~F.startswith(t, F.lit("&")) | F.endswith(t, F.lit("=")) | (t == "&"), t)
-        .when(t == "&amp;", F.lit("&"))
-        .when(F.rlike(t, F.lit("^&#[xX]")), _code_point(digits(t), 16))
-        .when(F.startswith(t, F.lit("&#")), _code_point(digits(t), 10))
-        .otherwise(F.coalesce(F.try_element_at(named, F.substring(t, 2, 64)), t)),
-    )
-    return F.when(F.contains(value, F.lit("&")), F.array_join(pieces, "")).otherwise(value)
-
-
-def _unquote(raw: Column) -> Column:
-    inner = F.substring(raw, F.lit(2), F.length(raw) - 2)
-    return F.when(F.rlike(raw, F.lit("^[\"']")), inner).otherwise(raw)
+    """Replace the character references of an attribute value."""
+    return apply_sql(let("v", "x.value", _UNESCAPE), value=value)
 
 
 def page_links(html: Column, suffix: str | None = None) -> Column:
@@ -93,21 +94,7 @@ def page_links(html: Column, suffix: str | None = None) -> Column:
     With ``suffix`` only links ending in it are kept, before anything becomes a
     row. The test is case-sensitive and sees query and fragment.
     """
-    raw = F.filter(
-        F.regexp_extract_all(html, F.lit(LINK_PATTERN), F.lit(1)), lambda value: value != ""
-    )
-    links = F.transform(
-        raw,
-        lambda value, pos: F.struct(
-            pos.cast("long").alias("link_pos"),
-            unescape_attribute(_unquote(value)).alias("href"),
-        ),
-    )
-    if suffix is None:
-        return links
-    return F.filter(links, lambda link: has_suffix(link["href"], suffix))
-
-
-def has_suffix(href: Column, suffix: str) -> Column:
-    """Non-empty and ends in ``suffix``, case-sensitive, untrimmed."""
-    return (href != "") & F.endswith(href, F.lit(suffix))
+    links = _LINKS
+    if suffix is not None:
+        links = f"filter({links}, l -> l.href <> '' AND endswith(l.href, {literal(suffix)}))"
+    return apply_sql(links, html=html)

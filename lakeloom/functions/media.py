@@ -7,7 +7,7 @@ import mimetypes
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import literal_map
+from .text import apply_sql, let, literal, literal_map
 
 # Fixed value: the type of everything unknown.
 DEFAULT_TYPE = "application/octet-stream"
@@ -21,21 +21,20 @@ ENCODINGS = list(_REGISTRY.encodings_map)
 # ``.tgz`` stands for ``.tar.gz`` and so on: extension -> extension of the content.
 SHORTHANDS = {short: "." + full.split(".")[1] for short, full in _REGISTRY.suffix_map.items()}
 
-_EXTENSION = r"[^/.][^/]*(\.[^/.]*)\z"
+# Last ``.xyz`` of the file name; a leading dot does not start one.
+_EXTENSION = literal(r"[^/.][^/]*(\.[^/.]*)\z")
 
 
-def _extension(path: Column) -> Column:
-    """Last ``.xyz`` of the file name; a leading dot does not start one."""
-    return F.regexp_extract(path, _EXTENSION, 1)
+def _listed(names: list[str] | dict[str, str]) -> str:
+    return ", ".join(map(literal, names))
 
 
 def content_type(key: Column, table: dict[str, str] | None = None) -> Column:
-    ext = _extension(key)
-    unpacked = F.substring(key, F.lit(1), F.length(key) - F.length(ext))
-    inner = (
-        F.when(ext.isin(*ENCODINGS), _extension(unpacked))
-        .when(F.lower(ext).isin(*SHORTHANDS), F.try_element_at(literal_map(SHORTHANDS), F.lower(ext)))
-        .otherwise(ext)
-    )
-    found = F.try_element_at(literal_map(table or EXTENSION_TYPES), F.lower(inner))
-    return F.coalesce(found, F.lit(DEFAULT_TYPE))
+    """Type of a key by its extension, looked up in ``table`` or the usual one."""
+    inner = f"""
+CASE WHEN ext IN ({_listed(ENCODINGS)})
+     THEN regexp_extract(substr(x.key, 1, length(x.key) - length(ext)), {_EXTENSION}, 1)
+     ELSE coalesce(try_element_at({literal_map(SHORTHANDS)}, lower(ext)), ext) END"""
+    found = f"try_element_at({literal_map(table or EXTENSION_TYPES)}, lower({inner}))"
+    typed = let("ext", f"regexp_extract(x.key, {_EXTENSION}, 1)", found)
+    return F.coalesce(apply_sql(typed, key=key), F.lit(DEFAULT_TYPE))

@@ -1,11 +1,13 @@
-"""String helpers shared by the other functions."""
+"""String helpers shared by the other functions.
+
+Longer expressions are written as SQL text: the text is parsed once, where the
+same thing built from Column objects would take hundreds of calls.
+"""
 
 from __future__ import annotations
 
 import sys
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,19 +27,25 @@ def null_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def literal_map(table: dict[str, str]) -> Column:
-    """A constant map column, folded once by the optimizer.
+def literal(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    plain = (f"\\u{ord(c):04X}" if c in "'\\" or c < " " else c for c in text)
+    return "'" + "".join(plain) + "'"
 
-    Built from two joined strings, so that a long table stays one expression.
-    """
+
+def literal_map(table: dict[str, str]) -> str:
+    """A constant map as SQL, folded once by the optimizer."""
     sep = "\x1f"
-    keys, values = sep.join(table), sep.join(table.values())
-    return F.map_from_arrays(F.split(F.lit(keys), sep), F.split(F.lit(values), sep))
+    keys, values = literal(sep.join(table)), literal(sep.join(table.values()))
+    return f"map_from_arrays(split({keys}, '\\u001f'), split({values}, '\\u001f'))"
+
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL for ``body``, in which ``name`` stands for ``value``, evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once however often it is used.
 
-    Written out, a value used in many places is copied into each of them.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
+def apply_sql(body: str, **columns: Column) -> Column:
+    """SQL over columns: ``body`` sees them as ``x.<name>``."""
+    row = F.array(F.struct(*(c.alias(name) for name, c in columns.items())))
+    return F.element_at(F.call_function("transform", row, F.expr(f"x -> {body}")), 1)

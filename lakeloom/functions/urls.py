@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import CONTROL_OR_SPACE, bind, null_if_empty, strip
+from .text import CONTROL_OR_SPACE, apply_sql, let, literal, null_if_empty, strip
 
 # The dataset-page pattern, the archive ending and the longest
 # URL that counts as valid.
@@ -13,15 +13,6 @@ DATASET_PATTERN = r"kaggle\.com/datasets/([^/]+/[^/]+)"
 ARCHIVE_SUFFIX = ".zip"
 MAX_URL_LENGTH = 2083
 
-# RFC 3986, appendix B: scheme, authority, path, query, fragment.
-_URL = (
-    r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?"
-    r"([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
-)
-_SCHEME, _NETLOC, _PATH, _QUERY, _FRAGMENT = range(5)
-_DOT_SEGMENT = r"(^|/)\.\.?(/|\z)"
-
-
 # ---- lists -------------------------------------------------------------------
 
 
@@ -79,81 +70,91 @@ def target_key(destination: Column, name: Column) -> Column:
 
 # ---- resolution --------------------------------------------------------------
 
+# RFC 3986, appendix B: scheme, authority, path, query, fragment.
+_URL = (
+    r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?"
+    r"([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
+)
 
-def _clean(url: Column) -> Column:
-    return F.translate(F.ltrim(url, F.lit(CONTROL_OR_SPACE)), "\t\r\n", "")
 
+def _parts(pattern: str, groups: int, text: str) -> str:
+    """The groups of ``pattern`` as an array, from one match.
 
-def _split(url: Column) -> Column:
-    """The five parts as an array, from one match. No cleaned URL holds a line break."""
-    return F.split(F.regexp_replace(_clean(url), _URL, "$1\n$2\n$3\n$4\n$5"), "\n")
+    Line breaks separate them: ``text`` must hold none.
+    """
+    marks = "\n".join(f"${i}" for i in range(1, groups + 1))
+    return f"split(regexp_replace({text}, {literal(pattern)}, {literal(marks)}), '\\n')"
 
 
-def _without_params(path: Column) -> Column:
-    return F.regexp_replace(path, r";[^/]*\z", "")
+def _split(url: str) -> str:
+    """Scheme, host, path, query and fragment of a URL as lenient parsers see it."""
+    text = f"translate(trim(LEADING {literal(CONTROL_OR_SPACE)} FROM {url}), '\\t\\r\\n', '')"
+    return _parts(_URL, 5, text)
 
 
-def _params(path: Column) -> Column:
-    return F.regexp_extract(path, r";([^/]*)\z", 1)
+def _no_params(path: str) -> str:
+    return f"regexp_replace({path}, ';[^/]*$', '')"
 
 
-def url_parts(url: Column) -> Column:
-    """The parts of a base URL that links are resolved against.
+def _params(path: str) -> str:
+    return f"regexp_extract({path}, ';([^/]*)$', 1)"
 
-    Computed once per page, before its links become rows.
-    """
-    return bind(
-        _split(url),
-        lambda part: F.struct(
-            url.alias("url"),
-            F.lower(part[_SCHEME]).alias("scheme"),
-            part[_NETLOC].alias("netloc"),
-            _without_params(part[_PATH]).alias("path"),
-            _params(part[_PATH]).alias("params"),
-            part[_QUERY].alias("query"),
-        ),
-    )
 
+def _rooted(path: str) -> str:
+    return f"CASE WHEN startswith({path}, '/') THEN {path} ELSE '/' || {path} END"
 
-def _fold_dots(path: Column) -> Column:
-    """Drop ``.`` and let ``..`` take back the segment before it."""
-    segments = F.split(path, "/")
-    kept = F.aggregate(
-        segments,
-        F.array().cast("array<string>"),
-        lambda done, part: F.when(
-            part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
-        )
-        .when(part == ".", done)
-        .otherwise(F.concat(done, F.array(part))),
-    )
-    last = F.element_at(segments, -1)
-    directory = F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(
-        F.array().cast("array<string>")
-    )
-    return F.array_join(F.concat(kept, directory), "/")
 
+def _led(mark: str, part: str) -> str:
+    return f"CASE WHEN {part} = '' THEN '' ELSE '{mark}' || {part} END"
 
-def _rooted(path: Column) -> Column:
-    return F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit("/"), path))
 
+_ENDS_IN_DOTS, _HAS_DOTS = literal(r"(^|/)\.\.?\z"), literal(r"(^|/)\.\.?(/|\z)")
 
-def _led(mark: str, part: Column) -> Column:
-    return F.when(part == "", F.lit("")).otherwise(F.concat(F.lit(mark), part))
+# Path p without dot segments: '.' goes, '..' takes back the segment before it.
+_FOLDED = f"""
+array_join(concat(
+  aggregate(split(p, '/'), cast(array() AS array<string>), (done, s) ->
+    CASE WHEN s = '..' THEN slice(done, 1, greatest(size(done) - 1, 0))
+         WHEN s = '.' THEN done ELSE concat(done, array(s)) END),
+  CASE WHEN p RLIKE {_ENDS_IN_DOTS} THEN array('') ELSE cast(array() AS array<string>) END), '/')"""
+_WALKED = f"""
+CASE WHEN p RLIKE {_HAS_DOTS} THEN {let("f", _FOLDED, _rooted("f"))} ELSE p END"""
 
+_BASE = f"""named_struct(
+  'url', x.url, 'scheme', lower(part[0]), 'netloc', part[1],
+  'path', {_no_params("part[2]")}, 'params', {_params("part[2]")}, 'query', part[3])"""
 
-def _walk(base_path: Column, path: Column) -> Column:
-    """Absolute path of a link's path seen from the page's path."""
-    folder = F.regexp_replace(base_path, r"[^/]*\z", "")
-    merged = F.when(F.startswith(path, F.lit("/")), path).otherwise(
-        F.regexp_replace(F.concat(_rooted(folder), path), "/{2,}", "/")
-    )
-    return bind(
-        merged,
-        lambda whole: F.when(
-            F.rlike(whole, F.lit(_DOT_SEGMENT)), _rooted(_fold_dots(whole))
-        ).otherwise(whole),
-    )
+
+def url_parts(url: Column) -> Column:
+    """The parts of a base URL that links are resolved against.
+
+    Computed once per page, before its links become rows.
+    """
+    return apply_sql(let("part", _split("x.url"), _BASE), url=url)
+
+
+# A link's path seen from the page's folder.
+_MERGED = f"""
+CASE WHEN startswith(path, '/') THEN path
+     ELSE regexp_replace('/' || regexp_replace(x.base.path, '[^/]*$', '') || path, '/{{2,}}', '/')
+END"""
+_FROM_PAGE = let("p", _MERGED, _WALKED)
+_SAME_PAGE = f"""
+CASE WHEN x.base.path = '' THEN '' ELSE {_rooted("x.base.path")} END
+|| {_led(";", "x.base.params")}
+|| CASE WHEN part[3] <> '' THEN '?' || part[3] ELSE {_led("?", "x.base.query")} END"""
+_OTHER_PATH = f"""
+CASE WHEN part[1] = '' THEN {_FROM_PAGE}
+     WHEN path = '' THEN '' ELSE {_rooted("path")} END
+|| {let("params", _params("part[2]"), _led(";", "params"))} || {_led("?", "part[3]")}"""
+_RESOLVED = f"""
+CASE WHEN contains(part[1], '[') <> contains(part[1], ']') THEN NULL
+     WHEN part[0] <> '' AND lower(part[0]) <> x.base.scheme THEN x.href
+     ELSE x.base.scheme || '://' || CASE WHEN part[1] = '' THEN x.base.netloc ELSE part[1] END
+          || CASE WHEN part[1] = '' AND part[2] IN ('', ';') THEN {_SAME_PAGE}
+                  ELSE {let("path", _no_params("part[2]"), _OTHER_PATH)} END
+          || {_led("#", "part[4]")}
+END"""
 
 
 def resolve_against(base: Column, href: Column) -> Column:
@@ -162,40 +163,8 @@ def resolve_against(base: Column, href: Column) -> Column:
     The page must be http(s). A link of another scheme comes back as written; a
     link whose host has an unpaired bracket cannot be resolved and gives NULL.
     """
-
-    def resolve(part: Column) -> Column:
-        scheme, netloc = F.lower(part[_SCHEME]), part[_NETLOC]
-        path, params = _without_params(part[_PATH]), _params(part[_PATH])
-        host = F.when(netloc == "", base["netloc"]).otherwise(netloc)
-        # Another host keeps the link's path; a link without a path keeps the page's.
-        on_host = F.concat(F.when(path == "", path).otherwise(_rooted(path)), _led(";", params))
-        on_page = F.concat(
-            F.when(base["path"] == "", F.lit("")).otherwise(_rooted(base["path"])),
-            _led(";", base["params"]),
-            _led("?", F.when(part[_QUERY] == "", base["query"]).otherwise(part[_QUERY])),
-        )
-        walked = F.concat(
-            F.when(netloc != "", on_host).otherwise(
-                F.concat(_walk(base["path"], path), _led(";", params))
-            ),
-            _led("?", part[_QUERY]),
-        )
-        same_page = (netloc == "") & (part[_PATH].isin("", ";"))
-        joined = F.concat(
-            base["scheme"],
-            F.lit("://"),
-            host,
-            F.when(same_page, on_page).otherwise(walked),
-            _led("#", part[_FRAGMENT]),
-        )
-        unpaired = F.contains(netloc, F.lit("[")) != F.contains(netloc, F.lit("]"))
-        return (
-            F.when(unpaired, F.lit(None).cast("string"))
-            .when((scheme != "") & (scheme != base["scheme"]), href)
-            .otherwise(joined)
-        )
-
-    return F.when(href == "", base["url"]).otherwise(bind(_split(href), resolve))
+    resolved = let("part", _split("x.href"), _RESOLVED)
+    return apply_sql(f"CASE WHEN x.href = '' THEN x.base.url ELSE {resolved} END", base=base, href=href)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -215,44 +184,41 @@ _PATH_SAFE = r"!$-;=@-_a-z|~"
 _QUERY_SAFE = r"!$-&(-;=?-~"
 _FRAGMENT_SAFE = r"!#-;=?-_a-~"
 
-
-def _http_parts(url: Column) -> Column:
-    """Six parts, host and port as written; no parts for any other text."""
-    text = F.translate(F.btrim(url, F.lit(CONTROL_OR_SPACE)), "\t\r\n", "")
-    return F.split(F.regexp_replace(text, _HTTP, "$1\n$2\n$3\n$4\n$5\n$6"), "\n")
-
-
-def _is_http(part: Column) -> Column:
-    def sound(host_port: Column) -> Column:
-        host = F.regexp_extract(host_port, _HOST_PORT, 1)
-        port = F.regexp_extract(host_port, _HOST_PORT, 2)
-        return (
-            (host != "")
-            & ~F.rlike(host, F.lit(_BAD_HOST))
-            & ((port == "") | (port.try_cast("long") <= 65535))
-        )
-
-    return F.when(F.size(part) == 6, F.coalesce(bind(part[2], sound), F.lit(False))).otherwise(
-        F.lit(False)
-    )
+_HTTP_PARTS = _parts(
+    _HTTP, 6, f"translate(trim(BOTH {literal(CONTROL_OR_SPACE)} FROM x.url), '\\t\\r\\n', '')"
+)
+_HOST = f"regexp_extract(part[2], {literal(_HOST_PORT)}, 1)"
+_PORT = f"regexp_extract(part[2], {literal(_HOST_PORT)}, 2)"
+_IS_HTTP = f"""
+length(x.url) <= {MAX_URL_LENGTH} AND size(part) = 6 AND coalesce(
+  {_HOST} <> '' AND NOT {_HOST} RLIKE {literal(_BAD_HOST)}
+  AND ({_PORT} = '' OR try_cast({_PORT} AS bigint) <= 65535), false)"""
+
+
+def _percent(name: str, safe: str) -> str:
+    """Percent-encode what is not in the character class ``safe``."""
+    unsafe, runs = literal(f"[^{safe}]"), literal(f"[{safe}]+|[^{safe}]+")
+    return f"""
+CASE WHEN NOT {name} RLIKE {unsafe} THEN {name} ELSE array_join(
+  transform(regexp_extract_all({name}, {runs}, 0), run ->
+    CASE WHEN run RLIKE {unsafe} THEN regexp_replace(hex(encode(run, 'UTF-8')), '(..)', '%$1')
+         ELSE run END), '') END"""
+
+
+_SHOWN_PORT = """
+CASE WHEN port = '' OR port = CASE WHEN lower(part[0]) = 'http' THEN '80' ELSE '443' END THEN ''
+     ELSE ':' || port END"""
+_SHORT_PORT = f"regexp_replace({_PORT}, '^0+(?=[0-9])', '')"
+_CLEAN_PATH = let("p", let("q", "replace(part[3], '\\\\', '/')", _rooted("q")), _WALKED)
+_NORMAL = f"""
+lower(part[0]) || '://' || part[1] || lower({_HOST}) || {let("port", _SHORT_PORT, _SHOWN_PORT)}
+|| {let("path", _CLEAN_PATH, _percent("path", _PATH_SAFE))}
+|| {_percent("part[4]", _QUERY_SAFE)} || {_percent("part[5]", _FRAGMENT_SAFE)}"""
 
 
 def is_http_url(url: Column) -> Column:
     """Whether the text parses as an http or https URL with a host."""
-    short = F.char_length(url) <= MAX_URL_LENGTH
-    return F.coalesce(short & bind(_http_parts(url), _is_http), F.lit(False))
-
-
-def _percent(text: Column, safe: str) -> Column:
-    """Percent-encode whatever is not in the character class ``safe``."""
-    runs = F.regexp_extract_all(text, F.lit(f"[{safe}]+|[^{safe}]+"), F.lit(0))
-    coded = F.transform(
-        runs,
-        lambda run: F.when(F.rlike(run, F.lit(f"^[{safe}]")), run).otherwise(
-            F.regexp_replace(F.hex(F.encode(run, "UTF-8")), "(..)", "%$1")
-        ),
-    )
-    return F.when(F.rlike(text, F.lit(f"[^{safe}]")), F.array_join(coded, "")).otherwise(text)
+    return F.coalesce(apply_sql(let("part", _HTTP_PARTS, _IS_HTTP), url=url), F.lit(False))
 
 
 def normalize_http_url(url: Column) -> Column:
@@ -262,29 +228,4 @@ def normalize_http_url(url: Column) -> Column:
     segments folded, unsafe characters percent-encoded. Hosts outside ASCII stay
     as written (no punycode).
     """
-
-    def normal(part: Column) -> Column:
-        scheme = F.lower(part[0])
-        host = F.lower(F.regexp_extract(part[2], _HOST_PORT, 1))
-        port = F.regexp_replace(F.regexp_extract(part[2], _HOST_PORT, 2), "^0+(?=[0-9])", "")
-        default = F.when(scheme == "http", F.lit("80")).otherwise(F.lit("443"))
-        path = bind(
-            _rooted(F.translate(part[3], "\\", "/")),
-            lambda p: F.when(F.rlike(p, F.lit(_DOT_SEGMENT)), _rooted(_fold_dots(p))).otherwise(p),
-        )
-        shown_port = F.when((port == "") | (port == default), F.lit("")).otherwise(
-            F.concat(F.lit(":"), port)
-        )
-        joined = F.concat(
-            scheme,
-            F.lit("://"),
-            part[1],
-            host,
-            shown_port,
-            bind(path, lambda p: _percent(p, _PATH_SAFE)),
-            _percent(part[4], _QUERY_SAFE),
-            _percent(part[5], _FRAGMENT_SAFE),
-        )
-        return F.when(_is_http(part), joined)
-
-    return F.when(F.char_length(url) <= MAX_URL_LENGTH, bind(_http_parts(url), normal))
+    return apply_sql(let("part", _HTTP_PARTS, f"CASE WHEN {_IS_HTTP} THEN {_NORMAL} END"), url=url)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..operators.landing import FIRST, LAST, resolve_conflicts, skip_landed
 from ..operators.links import file_rows, file_targets
 from ..plans.ingest import landing_targets
-from ..session import scratch_path
+from ..session import pin, scratch_path
 from ..sinks import SINKS, Layer
 from ..sinks.object_sinks import rewrite
 from ..sources import SourceSpec, candidates
@@ -124,14 +124,18 @@ winners AS (
 
 
 def _objects(wanted: DataFrame, prefix: str = "bytes of ") -> DataFrame:
-    """Objects for the named ids, as a fetcher would leave them."""
+    """Objects for the named ids, written as a fetcher would leave them."""
     name = F.col("object_id")
     known = wanted.where(
         name.isNotNull() & ~F.contains(name, F.lit("?")) & ~F.contains(name, F.lit(".net"))
     )
     body = F.encode(F.concat(F.lit(prefix), name), "UTF-8")
-    return known.select("object_id").distinct().select(
-        "object_id", F.length(body).cast("long").alias("length"), body.alias("content")
+    fetched = known.select("object_id").distinct()
+    return pin(
+        fetched.select(
+            "object_id", F.length(body).cast("long").alias("length"), body.alias("content")
+        ),
+        "objects",
     )
 
 
