@@ -4,8 +4,9 @@ The pattern walks a page the way an HTML tokenizer does: comments, CDATA,
 declarations, end tags, the text of scripts and style sheets and the quoted
 attribute values of other tags are consumed whole, so an ``<a`` inside any of
 them is never taken for a link. Only an ``<a>`` tag fills the group, with the
-value of its last ``href``. All loops are possessive: a page cannot make the
-match back-track or overflow the stack.
+value of its last ``href``. All loops are possessive and whatever starts like
+markup matches, if need be up to the end of the page: no page can make the match
+back-track, start over or overflow the stack.
 
 Differences from a full parser: a tag that never closes is no tag, text areas
 and titles are not treated specially, and NUL characters stay.
@@ -19,24 +20,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import apply_sql, let, literal, literal_map
+from .urls import RESOLVE, base_sql
 
 _S = r"[\t\n\f\r ]"
 _GAP = r"[\t\n\f\r /]"
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\t\n\f\r "'>][^\t\n\f\r >]*+)?+"""
 _NAME = r"[^\t\n\f\r />][^\t\n\f\r />=]*+"
 _ATTRIBUTE = rf"{_NAME}(?:{_S}*+={_S}*+{_VALUE})?+"
-_HREF = rf"[hH][rR][eE][fF]{_S}*+={_S}*+({_VALUE})"
+# At the end of the page the group is emptied: an unclosed tag is no link.
+_HREF = rf"(?:[hH][rR][eE][fF]{_S}*+={_S}*+|\z)({_VALUE})"
+_CLOSE = rf"{_GAP}*+(?:>|\z)"
 
 # One leading '<' for all alternatives: plain text fails on a single comparison.
 LINK_PATTERN = "".join(
     (
         r"(?s)<(?:!--(?:-?>|.*?(?:--!?>|\z))",
         r"|!\[(?i:cdata)\[.*?(?:\]\]>|\z)",
-        r"|[!?/][^>]*+>",
-        rf"|[aA]{_GAP}(?:{_GAP}*+(?:{_HREF}|{_ATTRIBUTE}))*+{_GAP}*+>",
+        r"|[!?/][^>]*+(?:>|\z)",
+        rf"|[aA]{_GAP}(?:{_GAP}*+(?:{_HREF}|{_ATTRIBUTE}))*+{_CLOSE}",
         r"|(?i:script)[\t\n\f\r />].*?(?:</(?i:script)[\t\n\f\r />]|\z)",
         r"|(?i:style)[\t\n\f\r />].*?(?:</(?i:style)[\t\n\f\r />]|\z)",
-        rf"|[a-zA-Z][^\t\n\f\r />]*+(?:{_GAP}*+{_ATTRIBUTE})*+{_GAP}*+>)",
+        rf"|[a-zA-Z][^\t\n\f\r />]*+(?:{_GAP}*+{_ATTRIBUTE})*+{_CLOSE})",
     )
 )
 
@@ -82,6 +86,17 @@ transform(
   filter(regexp_extract_all(x.html, {literal(LINK_PATTERN)}, 1), r -> r <> ''),
   (r, i) -> named_struct('link_pos', cast(i AS bigint), 'href', {let("v", _UNQUOTE, _UNESCAPE)}))"""
 
+# The base of the page is taken apart once, whatever the number of its links.
+_FILE = f"""
+named_struct('link_pos', l.link_pos, 'href', l.href, 'file_url', {let("href", "l.href", RESOLVE)})"""
+
+
+def _links(suffix: str | None) -> str:
+    """SQL for the links, all or those with an ending, before anything becomes a row."""
+    if suffix is None:
+        return _LINKS
+    return f"filter({_LINKS}, l -> l.href <> '' AND endswith(l.href, {literal(suffix)}))"
+
 
 def unescape_attribute(value: Column) -> Column:
     """Replace the character references of an attribute value."""
@@ -91,10 +106,13 @@ def unescape_attribute(value: Column) -> Column:
 def page_links(html: Column, suffix: str | None = None) -> Column:
     """Every link of a page: an array of ``(link_pos, href)`` in document order.
 
-    With ``suffix`` only links ending in it are kept, before anything becomes a
-    row. The test is case-sensitive and sees query and fragment.
+    With ``suffix`` only links ending in it are kept. The test is case-sensitive
+    and sees query and fragment.
     """
-    links = _LINKS
-    if suffix is not None:
-        links = f"filter({links}, l -> l.href <> '' AND endswith(l.href, {literal(suffix)}))"
-    return apply_sql(links, html=html)
+    return apply_sql(_links(suffix), html=html)
+
+
+def page_files(html: Column, url: Column, suffix: str | None = None) -> Column:
+    """Like :func:`page_links`, with the absolute ``file_url`` of each link."""
+    files = f"transform({_links(suffix)}, l -> {_FILE})"
+    return apply_sql(let("base", base_sql("x.url"), files), html=html, url=url)

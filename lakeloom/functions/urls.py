@@ -120,56 +120,67 @@ array_join(concat(
 _WALKED = f"""
 CASE WHEN p RLIKE {_HAS_DOTS} THEN {let("f", _FOLDED, _rooted("f"))} ELSE p END"""
 
-_BASE = f"""named_struct(
-  'url', x.url, 'scheme', lower(part[0]), 'netloc', part[1],
-  'path', {_no_params("part[2]")}, 'params', {_params("part[2]")}, 'query', part[3])"""
+# Start of every plain link from the page; NULL if the page's path has dot segments.
+_FOLDER = """
+CASE WHEN NOT contains(part[2], '/.') THEN lower(part[0]) || '://' || part[1] || regexp_replace(
+  '/' || regexp_replace(regexp_replace(part[2], ';[^/]*$', ''), '[^/]*$', ''), '/{2,}', '/') END"""
 
 
-def url_parts(url: Column) -> Column:
-    """The parts of a base URL that links are resolved against.
+def base_sql(url: str) -> str:
+    """SQL for the parts of a page's URL that links are resolved against."""
+    parts = f"""named_struct(
+  'url', {url}, 'scheme', lower(part[0]), 'netloc', part[1], 'folder', {_FOLDER},
+  'path', {_no_params("part[2]")}, 'params', {_params("part[2]")}, 'query', part[3])"""
+    return let("part", _split(url), parts)
 
-    Computed once per page, before its links become rows.
-    """
-    return apply_sql(let("part", _split("x.url"), _BASE), url=url)
 
 
 # A link's path seen from the page's folder.
 _MERGED = f"""
 CASE WHEN startswith(path, '/') THEN path
-     ELSE regexp_replace('/' || regexp_replace(x.base.path, '[^/]*$', '') || path, '/{{2,}}', '/')
+     ELSE regexp_replace('/' || regexp_replace(base.path, '[^/]*$', '') || path, '/{{2,}}', '/')
 END"""
 _FROM_PAGE = let("p", _MERGED, _WALKED)
 _SAME_PAGE = f"""
-CASE WHEN x.base.path = '' THEN '' ELSE {_rooted("x.base.path")} END
-|| {_led(";", "x.base.params")}
-|| CASE WHEN part[3] <> '' THEN '?' || part[3] ELSE {_led("?", "x.base.query")} END"""
+CASE WHEN base.path = '' THEN '' ELSE {_rooted("base.path")} END
+|| {_led(";", "base.params")}
+|| CASE WHEN part[3] <> '' THEN '?' || part[3] ELSE {_led("?", "base.query")} END"""
 _OTHER_PATH = f"""
 CASE WHEN part[1] = '' THEN {_FROM_PAGE}
      WHEN path = '' THEN '' ELSE {_rooted("path")} END
 || {let("params", _params("part[2]"), _led(";", "params"))} || {_led("?", "part[3]")}"""
 _RESOLVED = f"""
 CASE WHEN contains(part[1], '[') <> contains(part[1], ']') THEN NULL
-     WHEN part[0] <> '' AND lower(part[0]) <> x.base.scheme THEN x.href
-     ELSE x.base.scheme || '://' || CASE WHEN part[1] = '' THEN x.base.netloc ELSE part[1] END
+     WHEN part[0] <> '' AND lower(part[0]) <> base.scheme THEN href
+     ELSE base.scheme || '://' || CASE WHEN part[1] = '' THEN base.netloc ELSE part[1] END
           || CASE WHEN part[1] = '' AND part[2] IN ('', ';') THEN {_SAME_PAGE}
                   ELSE {let("path", _no_params("part[2]"), _OTHER_PATH)} END
           || {_led("#", "part[4]")}
 END"""
 
 
-def resolve_against(base: Column, href: Column) -> Column:
-    """The absolute URL of ``href`` on the page whose :func:`url_parts` are ``base``.
+# Most links: a path, rooted or not, without anything that needs a closer look.
+_PLAIN = literal(r"^/?[^/?#;:.\x00-\x20][^?#;:\x00-\x20]*\z")
 
-    The page must be http(s). A link of another scheme comes back as written; a
-    link whose host has an unpaired bracket cannot be resolved and gives NULL.
-    """
-    resolved = let("part", _split("x.href"), _RESOLVED)
-    return apply_sql(f"CASE WHEN x.href = '' THEN x.base.url ELSE {resolved} END", base=base, href=href)
+# The absolute URL of the link ``href`` on the page whose parts are ``base``.
+RESOLVE = f"""
+CASE WHEN href = '' THEN base.url
+     WHEN href RLIKE {_PLAIN} AND NOT contains(href, '/.') AND NOT contains(href, '//')
+          AND base.folder IS NOT NULL
+     THEN CASE WHEN startswith(href, '/') THEN base.scheme || '://' || base.netloc
+               ELSE base.folder END || href
+     ELSE {let("part", _split("href"), _RESOLVED)} END"""
 
 
 def resolve_url(base: Column, href: Column) -> Column:
-    """:func:`resolve_against` for a base given as text."""
-    return resolve_against(url_parts(base), href)
+    """The absolute URL of a link on the page ``base``, an http(s) URL.
+
+    A link of another scheme comes back as written; a link whose host has an
+    unpaired bracket cannot be resolved and gives NULL.
+    """
+    return apply_sql(
+        let("base", base_sql("x.base"), let("href", "x.href", RESOLVE)), base=base, href=href
+    )
 
 
 # ---- http(s) URLs ------------------------------------------------------------

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import page_links
-from ..functions.urls import basename, resolve_against, target_key, url_parts
+from ..functions.html import page_files, page_links
+from ..functions.urls import basename, target_key
 
 # Fixed value: the ending of the files a crawl looks for.
 DATA_SUFFIX = ".csv"
@@ -18,22 +18,11 @@ def link_rows(pages: DataFrame, suffix: str | None = None) -> DataFrame:
 
 
 def file_rows(pages: DataFrame, suffix: str | None = DATA_SUFFIX) -> DataFrame:
-    """Rows ``(page_id, page_url, link_pos, href, file_url)``.
-
-    Page URLs are taken apart once per page, links once per link.
-    """
-    parsed = pages.select(
+    """Rows ``(page_id, page_url, link_pos, href, file_url)``."""
+    return pages.select(
         "page_id",
         F.col("url").alias("page_url"),
-        url_parts(F.col("url")).alias("_base"),
-        F.inline(page_links(F.col("html"), suffix)),
-    )
-    return parsed.select(
-        "page_id",
-        "page_url",
-        "link_pos",
-        "href",
-        resolve_against(F.col("_base"), F.col("href")).alias("file_url"),
+        F.inline(page_files(F.col("html"), F.col("url"), suffix)),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import parse_url_list
+from .landing import LAST, resolve_conflicts
 from .rules import broken_rules, settings_rules
 
 # Parameter name below /<project>/<environment>/ -> field.
@@ -80,12 +81,11 @@ def settings_with_fallback(primary: DataFrame, fallback: DataFrame, **rules: obj
     """Per environment the primary record if all of it is valid, else the fallback one.
 
     Records are never mixed field by field. An environment for which neither is
-    valid has no row.
+    valid has no row. Each input holds an environment once; both go through one
+    shuffle, so neither is computed twice.
     """
-    first = valid_settings(primary, **rules)
-    second = valid_settings(fallback, **rules).join(
-        first.select("environment"), "environment", "left_anti"
-    )
-    return first.withColumn("origin", F.lit("primary")).unionByName(
-        second.withColumn("origin", F.lit("fallback"))
+    both = primary.withColumn("origin", F.lit("primary")).unionByName(
+        fallback.withColumn("origin", F.lit("fallback"))
     )
+    valid = valid_settings(both, **rules)
+    return resolve_conflicts(valid, LAST, key=["environment"], order=["origin"])

@@ -46,8 +46,6 @@ def revenue_by_region(
         by_customer.join(
             customer.select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey"
         )
-        .groupBy("c_nationkey", "c_mktsegment", "order_month")
-        .agg(*(F.sum(c).alias(c) for c in ("revenue", "n_lines", "n_orders")))
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("r_name", "c_mktsegment", "order_month")
         .agg(*(F.sum(c).alias(c) for c in ("revenue", "n_lines", "n_orders")))
@@ -83,8 +81,7 @@ def supplier_returns(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame
         per_supplier.join(
             supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
         )
-        .groupBy("s_nationkey")
-        .agg(F.sum("returned").alias("returned"), F.sum("kept").alias("kept"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("n_name", "returned", "kept")
+        .groupBy("n_name")
+        .agg(F.sum("returned").alias("returned"), F.sum("kept").alias("kept"))
     )

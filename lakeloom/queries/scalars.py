@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.html import page_links
 from ..functions.media import content_type
 from ..functions.urls import (
     archive_name,
@@ -13,10 +14,9 @@ from ..functions.urls import (
     download_name,
     join_url_list,
     parse_url_list,
-    resolve_against,
+    resolve_url,
     second_or_first,
     target_key,
-    url_parts,
 )
 from ..operators.links import file_rows, file_targets, link_rows
 from ..operators.lists import choose_list, join_url_rows, second_or_first_rows, url_rows
@@ -149,7 +149,7 @@ SELECT page_id, link_pos, shape, resolved FROM (
 """)
 def resolved_links(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    bases = pages.select("page_id", url_parts(F.col("url")).alias("base"))
+    linked = pages.select("page_id", "url", F.inline(page_links(F.col("html"))))
     href, name = F.col("href"), F.substring("href", 2, 2**31 - 1)
 
     def text(*parts: object) -> object:
@@ -171,16 +171,12 @@ def resolved_links(spark: SparkSession, folder: str) -> DataFrame:
     variants = F.array(
         *(F.struct(F.lit(k).alias("shape"), v.alias("link")) for k, v in shapes.items())
     )
-    rows = (
-        link_rows(pages)
-        .join(bases, "page_id")
-        .select("page_id", "link_pos", "base", F.inline(variants))
-    )
+    rows = linked.select("page_id", "url", "link_pos", F.inline(variants))
     return rows.select(
         "page_id",
         "link_pos",
         "shape",
-        resolve_against(F.col("base"), F.col("link")).alias("resolved"),
+        resolve_url(F.col("url"), F.col("link")).alias("resolved"),
     )
 
 

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import page_links
+from ..functions.html import page_files
 from ..functions.urls import (
     archive_name,
     basename,
     dataset_slug,
     normalize_http_url,
-    resolve_against,
     target_key,
-    url_parts,
 )
 from ..operators.lists import second_or_first_rows
 from .registry import SourceSpec, source
@@ -67,25 +65,18 @@ def crawl(spec: SourceSpec) -> DataFrame:
     never shuffled and a page listed by many is parsed once.
     """
     page_url = normalize_http_url(F.col("url"))
-    parsed = spec.pages.select(
-        page_url.alias("_url"),
-        url_parts(page_url).alias("_base"),
-        page_links(F.col("html"), spec.suffix).alias("_links"),
+    parsed = spec.pages.withColumn("_url", page_url).select(
+        "_url",
+        F.lit(True).alias("_found"),
+        page_files(F.col("html"), F.col("_url"), spec.suffix).alias("_files"),
     )
-    listed = _selected(spec).withColumn("_url", normalize_http_url(F.col("url")))
+    listed = _selected(spec).withColumn("_url", page_url)
     links = (
         listed.join(parsed, "_url", "left")
-        .select("pos", "url", "_base", F.inline_outer("_links"))
-        .where(F.col("_base").isNull() | F.col("link_pos").isNotNull())
-        .select(
-            "pos",
-            "url",
-            "link_pos",
-            F.col("_base").isNotNull().alias("_found"),
-            resolve_against(F.col("_base"), F.col("href")).alias("file_url"),
-        )
+        .select("pos", "url", "_found", F.inline_outer("_files"))
+        .where(F.col("_found").isNull() | F.col("link_pos").isNotNull())
     )
-    reason = F.when(~F.col("_found"), F.lit("page_missing")).when(
+    reason = F.when(F.col("_found").isNull(), F.lit("page_missing")).when(
         F.col("file_url").isNull(), F.lit("link_unresolvable")
     )
     key = target_key(F.lit(spec.destination), basename(F.col("file_url")))
