@@ -8,6 +8,7 @@ needed: what has landed is read from the layer.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,13 @@ from ..sinks.object_sinks import MAX_OBJECT_LENGTH
 from ..sinks.row_sink import land_rows
 
 
-def batch_load_id(stream: str, batch_id: int) -> str:
-    """Sorts like the batches of one stream."""
-    return f"{stream}-{batch_id:012d}"
+def batch_load_id(name: str, checkpoint: str, batch_id: int) -> str:
+    """Sorts like the batches of one stream.
+
+    Batches are counted from zero for each checkpoint. So that a stream started
+    over with a new one replaces nothing, its loads have other names.
+    """
+    return f"{name}-{sha256(checkpoint.encode()).hexdigest()[:12]}-{batch_id:012d}"
 
 
 def stream_rows(
@@ -52,7 +57,7 @@ def stream_rows(
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_rows(batch, layer, batch_load_id(name, batch_id), key, order)
+        land_rows(batch, layer, batch_load_id(name, checkpoint, batch_id), key, order)
 
     return (
         rows.writeStream.queryName(name)
@@ -72,11 +77,13 @@ def stream_objects(
     name: str = "objects",
     glob: str = "*",
     max_files: int = 1000,
+    outcomes: Layer | None = None,
 ) -> StreamingQuery:
     """Land whole files under ``destination``, by file name, unread.
 
     The stream carries names only. The bytes of a batch's winners, at most
-    ``max_files`` of them, are read once, straight into the write.
+    ``max_files`` of them, are read once, straight into the write. With
+    ``outcomes``, a table ``(status, n)``, each batch also records its counts.
     """
     names = (
         spark.readStream.schema(FILES)
@@ -90,15 +97,13 @@ def stream_objects(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        load_id = batch_load_id(name, batch_id)
-        keyed = batch.where(F.col("length") <= MAX_OBJECT_LENGTH).withColumn(
-            "target_key", target_key(F.lit(destination), basename(F.col("path")))
-        )
-        first = resolve_conflicts(keyed, order=("modificationTime", "path"))
-        fresh = pin(
-            skip_landed(first, layer.read(session, besides=load_id)).select("path", "target_key"),
-            "arrivals",
-        )
+        load_id = batch_load_id(name, checkpoint, batch_id)
+        key = target_key(F.lit(destination), basename(F.col("path")))
+        arrived = pin(batch.withColumn("target_key", key), "arrivals")
+        storable = arrived.where(F.col("length") <= MAX_OBJECT_LENGTH)
+        first = resolve_conflicts(storable, order=("modificationTime", "path"))
+        landed = layer.read(session, besides=load_id)
+        fresh = pin(skip_landed(first, landed).select("path", "target_key"), "fresh")
         # Bounded by max_files, like the file list the stream itself holds.
         paths = [row.path for row in fresh.select("path").toLocalIterator()]
         if paths:
@@ -107,6 +112,8 @@ def stream_objects(
         else:
             rows = session.createDataFrame([], layer.schema)
         layer.write(rows, load_id)
+        if outcomes is not None:
+            outcomes.write(_batch_counts(arrived, fresh), load_id)
 
     return (
         names.writeStream.queryName(name)
@@ -115,3 +122,19 @@ def stream_objects(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _batch_counts(arrived: DataFrame, fresh: DataFrame) -> DataFrame:
+    one = F.lit(1).cast("long")
+    status = F.when(F.col("length") <= MAX_OBJECT_LENGTH, F.lit("skipped_exists")).otherwise(
+        F.lit("failed")
+    )
+    # A landed file moves from skipped to landed.
+    moves = F.array(
+        F.struct(F.lit("landed").alias("status"), one.alias("n")),
+        F.struct(F.lit("skipped_exists").alias("status"), (-one).alias("n")),
+    )
+    rows = arrived.select(status.alias("status"), one.alias("n")).unionByName(
+        fresh.select(F.inline(moves))
+    )
+    return rows.groupBy("status").agg(F.sum("n").alias("n")).where("n > 0")
