@@ -183,6 +183,12 @@ def resolve_url(base: Column, href: Column) -> Column:
     )
 
 
+def resolve_all(base: Column, hrefs: Column) -> Column:
+    """:func:`resolve_url` for an array of links of one page, which is taken apart once."""
+    each = f"transform(x.hrefs, href -> {RESOLVE})"
+    return apply_sql(let("base", base_sql("x.base"), each), base=base, hrefs=hrefs)
+
+
 # ---- http(s) URLs ------------------------------------------------------------
 
 # Scheme, user, host and port, path, query, fragment, as browsers take them apart.

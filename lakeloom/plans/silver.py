@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,30 +37,46 @@ class Conformed:
 
 
 def conform_value(c: Column, kind: str, upper: bool = False) -> Column:
-    """Trimmed text, empty as NULL, cast to ``kind``; NULL where it does not fit."""
+    """Text trimmed, empty as NULL; any other type by cast, NULL where it does not fit.
+
+    The cast itself ignores white space around a number or date.
+    """
+    if kind != "string":
+        return c.try_cast(kind)
     text = null_if_empty(strip(c.cast("string")))
-    text = F.upper(text) if upper else text
-    return text if kind == "string" else text.try_cast(kind)
+    return F.upper(text) if upper else text
 
 
-def checked(bronze: DataFrame, table: Conformed) -> DataFrame:
-    """All rows conformed, with the rules each one breaks; one pass, no shuffle."""
-    conformed = bronze.select(
+def _conform(bronze: DataFrame, table: Conformed) -> DataFrame:
+    return bronze.select(
         *(
             conform_value(F.col(name), kind, name in table.upper).alias(name)
             for name, kind in table.columns.items()
         )
     )
-    rules = {f"{name}_missing": F.col(name).isNotNull() for name in table.required}
-    return conformed.withColumn("broken_rules", broken_rules({**rules, **table.rules}))
+
+
+def _rules(table: Conformed) -> dict[str, Column]:
+    required = {f"{name}_missing": F.col(name).isNotNull() for name in table.required}
+    return {**required, **table.rules}
+
+
+def checked(bronze: DataFrame, table: Conformed) -> DataFrame:
+    """All rows conformed, with the rules each one breaks; one pass, no shuffle."""
+    return _conform(bronze, table).withColumn("broken_rules", broken_rules(_rules(table)))
 
 
 def refine(bronze: DataFrame, table: Conformed) -> tuple[DataFrame, DataFrame]:
-    """``(valid, quarantine)``: rows of the table, and rows set aside with reasons."""
-    rows = checked(bronze, table)
-    valid = rows.where(F.size("broken_rules") == 0).drop("broken_rules")
-    quarantine = rows.where(F.size("broken_rules") > 0)
-    return resolve_conflicts(valid, FIRST, table.key, table.order), quarantine
+    """``(valid, quarantine)``: rows of the table, and rows set aside with reasons.
+
+    Rows are told apart by a plain condition; the names of broken rules are only
+    collected for those that break one.
+    """
+    rules = _rules(table)
+    holds = reduce(and_, (F.coalesce(ok, F.lit(False)) for ok in rules.values()), F.lit(True))
+    rows = _conform(bronze, table)
+    quarantine = rows.where(~holds).withColumn("broken_rules", broken_rules(rules))
+    return resolve_conflicts(rows.where(holds), FIRST, table.key, table.order), quarantine
 
 
 def distinct_texts(documents: DataFrame, id_column: str, text: str) -> DataFrame:

@@ -123,6 +123,11 @@ winners AS (
 )"""
 
 
+def _offered(spark: SparkSession, folder: str) -> DataFrame:
+    """All candidates, written once: they are the input of what follows."""
+    return pin(candidates(_specs(spark, folder)), "candidates")
+
+
 def _objects(wanted: DataFrame, prefix: str = "bytes of ") -> DataFrame:
     """Objects for the named ids, written as a fetcher would leave them."""
     name = F.col("object_id")
@@ -155,7 +160,7 @@ WITH {OBJECTS_SQL}
 SELECT target_key, {_TYPE_SQL}, strlen(body) AS length, body FROM winners
 """)
 def object_sink_table(spark: SparkSession, folder: str) -> DataFrame:
-    wanted = candidates(_specs(spark, folder))
+    wanted = _offered(spark, folder)
     layer = Layer(scratch_path(spark, "bronze"))
     SINKS["s3"](wanted, _objects(wanted), layer)
     return _landed(layer.read(spark))
@@ -173,7 +178,7 @@ SELECT source_type, status, count(*) AS n FROM (
 GROUP BY ALL
 """)
 def outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
-    wanted = candidates(_specs(spark, folder))
+    wanted = _offered(spark, folder)
     layer = Layer(scratch_path(spark, "bronze"))
     return SINKS["s3"](wanted, _objects(wanted), layer)
 
@@ -193,12 +198,10 @@ SELECT source_type, status, count(*) AS n FROM second GROUP BY ALL
 """)
 def outcome_counts_second_load(spark: SparkSession, folder: str) -> DataFrame:
     """The archives land in a first load, everything is offered again in a second."""
-    specs = _specs(spark, folder)
-    layer = Layer(scratch_path(spark, "bronze"))
-    archives = candidates(specs[:1])
-    SINKS["s3"](archives, _objects(archives), layer, "load-1")
-    wanted = candidates(specs)
-    return SINKS["s3"](wanted, _objects(wanted), layer, "load-2")
+    wanted = _offered(spark, folder)
+    layer, objects = Layer(scratch_path(spark, "bronze")), _objects(wanted)
+    SINKS["s3"](wanted.where("source_type = 'kaggle'"), objects, layer, "load-1")
+    return SINKS["s3"](wanted, objects, layer, "load-2")
 
 
 @query(f"""
@@ -219,14 +222,13 @@ QUALIFY row_number() OVER (PARTITION BY target_key
 """)
 def overwriting_sink_table(spark: SparkSession, folder: str) -> DataFrame:
     """Three loads into an overwriting layer; the last replaces part of the first."""
-    (_, datasets), (_, crawled) = _specs(spark, folder)
+    wanted = _offered(spark, folder)
     layer = Layer(scratch_path(spark, "local"))
-    archives, files = candidates([("kaggle", datasets)]), candidates([("crawler", crawled)])
+    archives, files = (wanted.where(f"source_type = '{s}'") for s in ("kaggle", "crawler"))
     again = archives.where(F.endswith("object_id", F.lit("-ring.zip")))
-    for number, (wanted, word) in enumerate(
-        ((archives, "old "), (files, "new "), (again, "newest ")), start=1
-    ):
-        SINKS["local"](wanted, _objects(wanted, word), layer, f"load-{number}")
+    loads = ((archives, "old "), (files, "new "), (again, "newest "))
+    for number, (offered, word) in enumerate(loads, start=1):
+        SINKS["local"](offered, _objects(offered, word), layer, f"load-{number}")
     fresh = rewrite(layer, Layer(scratch_path(spark, "local")), spark)
     return _landed(fresh.read(spark))
 

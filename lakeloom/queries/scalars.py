@@ -14,7 +14,7 @@ from ..functions.urls import (
     download_name,
     join_url_list,
     parse_url_list,
-    resolve_url,
+    resolve_all,
     second_or_first,
     target_key,
 )
@@ -168,16 +168,9 @@ def resolved_links(spark: SparkSession, folder: str) -> DataFrame:
         "mail": text("mailto:", name),
         "empty": F.lit(""),
     }
-    variants = F.array(
-        *(F.struct(F.lit(k).alias("shape"), v.alias("link")) for k, v in shapes.items())
-    )
-    rows = linked.select("page_id", "url", "link_pos", F.inline(variants))
-    return rows.select(
-        "page_id",
-        "link_pos",
-        "shape",
-        resolve_url(F.col("url"), F.col("link")).alias("resolved"),
-    )
+    names = F.array(*map(F.lit, shapes)).alias("shape")
+    resolved = resolve_all(F.col("url"), F.array(*shapes.values())).alias("resolved")
+    return linked.select("page_id", "link_pos", F.inline(F.arrays_zip(names, resolved)))
 
 
 @query(f"""

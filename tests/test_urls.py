@@ -146,3 +146,9 @@ def test_http_urls(spark):
     assert one(spark, rows, "u string", urls.normalize_http_url(c("u"))) == list(cases.values())
     valid = one(spark, [*rows, (None,)], "u string", urls.is_http_url(c("u")))
     assert valid == [v is not None for v in cases.values()] + [False]
+
+
+def test_resolution_of_a_page_at_once(spark):
+    got = one(spark, [("http://h/a/b", LINKS)], "b string, l array<string>",
+              urls.resolve_all(c("b"), c("l")))
+    assert got == [[expected("http://h/a/b", link) for link in LINKS]]
