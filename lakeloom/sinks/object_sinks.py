@@ -24,6 +24,10 @@ from .registry import sink
 # A cell cannot hold more; a longer object counts as failed.
 MAX_OBJECT_LENGTH = 2_000_000_000
 
+# Up to this size, names and overhead together, the winners of a load are broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 64
+
 
 def new_load_id() -> str:
     """Load ids sort by the time they were made."""
@@ -33,18 +37,25 @@ def new_load_id() -> str:
 def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
     """The winners with their bytes.
 
-    ``winners`` is a written table without bytes, so it is broadcast when its
-    files are small, and the bytes go from scan to write without a shuffle.
-    Objects fetched more than once are few; only those are ranked.
+    ``winners`` is a written table without bytes. While its measured size is
+    small it is broadcast and the bytes go from scan to write without a shuffle;
+    beyond that both sides are shuffled by object, or only the winners if the
+    objects are a table bucketed by ``object_id``. Objects fetched more than
+    once are few; only those are ranked.
     """
     stored = objects.where(F.col("length") <= MAX_OBJECT_LENGTH)
+    text = F.octet_length("object_id") + F.octet_length("target_key") + ROW_OVERHEAD
+    size, copies = winners.agg(F.sum(text), F.max("copies")).first()
+    threshold = winners.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    switched_off = threshold.strip().startswith("-")
+    small = not switched_off and (size or 0) <= BROADCAST_BYTES
 
     def rows(which: str) -> DataFrame:
         chosen = winners.where(which).select("object_id", "target_key")
-        return stored.join(chosen, "object_id").drop("object_id")
+        return stored.join(F.broadcast(chosen) if small else chosen, "object_id").drop("object_id")
 
     payload = rows("copies = 1")
-    if not winners.where("copies > 1").isEmpty():
+    if (copies or 0) > 1:
         rank = F.row_number().over(
             Window.partitionBy("target_key").orderBy(F.desc("length"), F.sha2("content", 256))
         )

@@ -13,6 +13,7 @@ from ..functions.urls import (
     normalize_http_url,
     target_key,
 )
+from ..operators.landing import FIRST, resolve_conflicts
 from ..operators.lists import second_or_first_rows
 from .registry import SourceSpec, source
 
@@ -62,15 +63,24 @@ def crawl(spec: SourceSpec) -> DataFrame:
     """One candidate per matching link of each listed page.
 
     Links are taken out of the pages before the join, so the text of a page is
-    never shuffled and a page listed by many is parsed once.
+    never shuffled and a page listed by many is parsed once. A page fetched more
+    than once counts once. Listed texts that are no URL get a key of their own:
+    they match no page and do not meet in one task.
     """
     page_url = normalize_http_url(F.col("url"))
-    parsed = spec.pages.withColumn("_url", page_url).select(
-        "_url",
-        F.lit(True).alias("_found"),
-        page_files(F.col("html"), F.col("_url"), spec.suffix).alias("_files"),
+    parsed = (
+        spec.pages.withColumn("_url", page_url)
+        .where(F.col("_url").isNotNull())
+        .select(
+            "page_id",
+            "_url",
+            F.lit(True).alias("_found"),
+            page_files(F.col("html"), F.col("_url"), spec.suffix).alias("_files"),
+        )
     )
-    listed = _selected(spec).withColumn("_url", page_url)
+    parsed = resolve_conflicts(parsed, FIRST, key=["_url"], order=["page_id"]).drop("page_id")
+    no_url = F.concat(F.lit("no url "), F.col("pos").cast("string"))
+    listed = _selected(spec).withColumn("_url", F.coalesce(page_url, no_url))
     links = (
         listed.join(parsed, "_url", "left")
         .select("pos", "url", "_found", F.inline_outer("_files"))

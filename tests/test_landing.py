@@ -8,6 +8,7 @@ from lakeloom.plans.ingest import Fetched, NotConfigured, ingest
 from lakeloom.schemas import CANDIDATES, OBJECTS, PAGES, SETTINGS
 from lakeloom.session import pin, scratch_path, shared_dir
 from lakeloom.sinks import SINKS, Layer, layer_root, sink
+from lakeloom.sinks import object_sinks
 from lakeloom.sinks.object_sinks import rewrite
 from lakeloom.sinks.row_sink import land_rows
 from lakeloom.sources import SOURCES, SourceSpec, candidates, source
@@ -89,6 +90,44 @@ def test_object_sink(spark):
     assert repeated == got and layer.read(spark).count() == 2
 
 
+def test_large_loads_take_the_other_join(spark):
+    """Beyond the broadcast bound, or with broadcasts off, the same table results."""
+    rows = offer(spark, *(candidate((0, i, 0), f"k{i % 40}", f"o{i}") for i in range(100)))
+    objects = stock(spark, **{f"o{i}": f"body {i}" for i in range(0, 100, 3)})
+    objects = objects.union(stock(spark, o0="x"))
+    tables = []
+    for bound, threshold in ((object_sinks.BROADCAST_BYTES, None), (10, None), (10, "-1")):
+        layer = Layer(scratch_path(spark, "b"))
+        kept, object_sinks.BROADCAST_BYTES = object_sinks.BROADCAST_BYTES, bound
+        try:
+            if threshold:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            SINKS["s3"](rows, objects, layer)
+        finally:
+            object_sinks.BROADCAST_BYTES = kept
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        tables.append(table(layer, spark))
+    assert tables[0] == tables[1] == tables[2]
+    first = {}
+    for i in range(0, 100, 3):
+        first.setdefault(f"k{i % 40}", f"body {i}")
+    assert tables[0] == first
+
+
+def test_crawl_of_repeated_pages_and_invalid_urls(spark):
+    pages = spark.createDataFrame(
+        [(2, "http://h/p", "<a href=late.csv>"), (1, "http://H/p", "<a href=a.csv><a href=b.csv>"),
+         (3, "not a url", "<a href=x.csv>"), (4, "http://h/empty", "<p>")], PAGES)
+    urls = spark.createDataFrame(
+        [(0, "http://h/p"), (1, "http://h:80/p"), (2, "junk"), (3, "junk"), (4, "http://h/empty")],
+        "pos long, url string")
+    rows = SOURCES["crawler"](SourceSpec(urls, "raw", pages=pages)).collect()
+    got = sorted((r.url_pos, r.link_pos, r.target_key, r.reason) for r in rows if r.target_key)
+    assert got == [(p, i, f"raw/{n}.csv", None) for p in (0, 1) for i, n in enumerate("ab")]
+    missing = sorted((r.url_pos, r.reason) for r in rows if not r.target_key)
+    assert missing == [(2, "page_missing"), (3, "page_missing")]
+
+
 def test_object_fetched_twice_lands_once(spark):
     layer = Layer(scratch_path(spark, "b"))
     rows = offer(spark, candidate((0, 0, 0), "k", "o"), candidate((0, 0, 1), "l", "p"))
