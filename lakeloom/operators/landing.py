@@ -56,9 +56,11 @@ def group_candidates(candidates: DataFrame) -> DataFrame:
 
     Counts and ends of order are combined before the shuffle: a file linked from
     a third of all pages is one row per task, and so are all rows set aside for
-    one reason.
+    one reason. The two positions are one number, so that rows are combined by
+    hash; a struct would have to be sorted first.
     """
-    at = F.struct("url_pos", "link_pos")
+    page = F.col("url_pos").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)")
+    at = page + F.col("link_pos").cast("decimal(10,0)")
     return candidates.groupBy(
         "source_ord", "source_type", "target_key", "object_id", "reason"
     ).agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at"))

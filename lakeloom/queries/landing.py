@@ -85,7 +85,8 @@ candidates AS (
     FROM slugs
     UNION ALL
     SELECT 1, 'crawler', pos, link_pos, url, file_url, target_key, NULL
-    FROM listed_urls JOIN targets ON url = page_url
+    FROM listed_urls JOIN (SELECT DISTINCT page_url, link_pos, file_url, target_key FROM targets
+        WHERE page_id IN (SELECT min(page_id) FROM pages GROUP BY url)) ON url = page_url
     UNION ALL
     SELECT 1, 'crawler', pos, 0, url, NULL, NULL, 'page_missing'
     FROM listed_urls WHERE url NOT IN (SELECT url FROM pages)
@@ -116,10 +117,15 @@ objects AS (
     SELECT DISTINCT object_id, 'bytes of ' || object_id AS body FROM candidates
     WHERE object_id IS NOT NULL AND object_id NOT LIKE '%?%' AND object_id NOT LIKE '%.net%'
 ),
-present AS (SELECT * FROM candidates JOIN objects USING (object_id) WHERE reason IS NULL),
-winners AS (
-    SELECT * FROM present QUALIFY row_number() OVER
-        (PARTITION BY target_key ORDER BY source_ord, url_pos, link_pos) = 1
+present AS (
+    SELECT *, row_number() OVER
+        (PARTITION BY target_key ORDER BY source_ord, url_pos, link_pos) AS place
+    FROM candidates JOIN objects USING (object_id) WHERE reason IS NULL
+),
+absent AS (
+    SELECT source_type, CASE WHEN reason IS NULL OR reason = 'page_missing' THEN 'failed'
+                             ELSE 'rejected' END AS status
+    FROM candidates WHERE reason IS NOT NULL OR object_id NOT IN (SELECT object_id FROM objects)
 )"""
 
 
@@ -157,7 +163,7 @@ _TYPE_SQL = """CASE WHEN target_key LIKE '%.zip' THEN 'application/zip'
 
 @query(f"""
 WITH {OBJECTS_SQL}
-SELECT target_key, {_TYPE_SQL}, strlen(body) AS length, body FROM winners
+SELECT target_key, {_TYPE_SQL}, strlen(body) AS length, body FROM present WHERE place = 1
 """)
 def object_sink_table(spark: SparkSession, folder: str) -> DataFrame:
     wanted = _offered(spark, folder)
@@ -169,12 +175,9 @@ def object_sink_table(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {OBJECTS_SQL}
 SELECT source_type, status, count(*) AS n FROM (
-    SELECT c.source_type, CASE WHEN c.reason = 'page_missing' THEN 'failed'
-           WHEN c.reason IS NOT NULL THEN 'rejected' WHEN o.object_id IS NULL THEN 'failed'
-           WHEN w.target_key IS NULL THEN 'skipped_exists' ELSE 'landed' END AS status
-    FROM candidates c LEFT JOIN objects o ON c.object_id = o.object_id
-    LEFT JOIN winners w ON (c.source_ord, c.url_pos, c.link_pos, c.target_key)
-                         = (w.source_ord, w.url_pos, w.link_pos, w.target_key))
+    SELECT * FROM absent
+    UNION ALL
+    SELECT source_type, CASE WHEN place = 1 THEN 'landed' ELSE 'skipped_exists' END FROM present)
 GROUP BY ALL
 """)
 def outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,17 +187,13 @@ def outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-WITH {OBJECTS_SQL},
-second AS (
-    SELECT c.source_type, CASE WHEN c.reason = 'page_missing' THEN 'failed'
-           WHEN c.reason IS NOT NULL THEN 'rejected' WHEN o.object_id IS NULL THEN 'failed'
-           WHEN w.target_key IS NULL OR c.source_type = 'kaggle' THEN 'skipped_exists'
-           ELSE 'landed' END AS status
-    FROM candidates c LEFT JOIN objects o ON c.object_id = o.object_id
-    LEFT JOIN winners w ON (c.source_ord, c.url_pos, c.link_pos, c.target_key)
-                         = (w.source_ord, w.url_pos, w.link_pos, w.target_key)
-)
-SELECT source_type, status, count(*) AS n FROM second GROUP BY ALL
+WITH {OBJECTS_SQL}
+SELECT source_type, status, count(*) AS n FROM (
+    SELECT * FROM absent
+    UNION ALL
+    SELECT source_type, CASE WHEN place = 1 AND source_type <> 'kaggle' THEN 'landed'
+                             ELSE 'skipped_exists' END FROM present)
+GROUP BY ALL
 """)
 def outcome_counts_second_load(spark: SparkSession, folder: str) -> DataFrame:
     """The archives land in a first load, everything is offered again in a second."""

@@ -26,6 +26,7 @@ def test_conflicts_are_reduced_before_the_shuffle(spark):
 def test_candidates_are_grouped_before_the_shuffle(spark):
     text = plan(group_candidates(spark.createDataFrame([], CANDIDATES)))
     assert "partial_count" in text and "partial_min" in text
+    assert "SortAggregate" not in text and text.count("Exchange") == 1
 
 
 def test_anti_join_reuses_the_partitioning(spark, tables):

@@ -78,3 +78,15 @@ def test_objects(spark):
     assert total == 5
     assert go().count() == names
     assert batch_load_id("s", "c", 9) < batch_load_id("s", "c", 10)
+
+
+def test_csv_arrivals(spark):
+    folder = scratch_path(spark, "in")
+    schema = spark.createDataFrame([], "k string, v long, _corrupt_record string").schema
+    layer = Layer(scratch_path(spark, "out"), schema)
+    lines = spark.createDataFrame([("k,v",), ("a,1",), ("a,2",), ("b,many",)], "l string")
+    lines.coalesce(1).write.text(folder)
+    stream_rows(spark, folder, schema, layer, ["k"], ["v"], scratch_path(spark, "cp"), "csv",
+                header="true").awaitTermination()
+    got = {(r.k, r.v, r._corrupt_record) for r in layer.read(spark).collect()}
+    assert got == {("a", 1, None), ("b", None, "b,many")}
