@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDER = ("source_ord", "url_pos", "link_pos")
@@ -86,6 +86,17 @@ def pick_winners(groups: DataFrame, mode: str) -> DataFrame:
     return resolve_conflicts(_competing(groups), mode, order=order)
 
 
+def _status(mode: str) -> Column:
+    """What becomes of a group's candidates, but for the one that wins."""
+    reason = F.col("reason")
+    return (
+        F.when(reason.isin(*FETCH_REASONS), F.lit("failed"))
+        .when(reason.isNotNull(), F.lit("rejected"))
+        .when(F.col("copies").isNull(), F.lit("failed"))
+        .otherwise(F.lit("skipped_exists" if mode == FIRST else "landed"))
+    )
+
+
 def outcome_counts(groups: DataFrame, winners: DataFrame, mode: str = FIRST) -> DataFrame:
     """Rows ``(source_type, status, n)`` over all candidates.
 
@@ -93,14 +104,7 @@ def outcome_counts(groups: DataFrame, winners: DataFrame, mode: str = FIRST) ->
     mode ``last`` each present candidate is written in its turn, so all of them
     count as landed.
     """
-    reason = F.col("reason")
-    status = (
-        F.when(reason.isin(*FETCH_REASONS), F.lit("failed"))
-        .when(reason.isNotNull(), F.lit("rejected"))
-        .when(F.col("copies").isNull(), F.lit("failed"))
-        .otherwise(F.lit("skipped_exists" if mode == FIRST else "landed"))
-    )
-    rows = groups.select("source_type", status.alias("status"), "n")
+    rows = groups.select("source_type", _status(mode).alias("status"), "n")
     if mode == FIRST:
         # A winner moves one of its group's candidates from skipped to landed.
         one = F.lit(1).cast("long")
@@ -110,3 +114,24 @@ def outcome_counts(groups: DataFrame, winners: DataFrame, mode: str = FIRST) ->
         )
         rows = rows.unionByName(winners.select("source_type", F.inline(moves)))
     return rows.groupBy("source_type", "status").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def outcome_items(groups: DataFrame, winners: DataFrame, mode: str = FIRST) -> DataFrame:
+    """Rows ``(source_type, target_key, object_id, reason, status, n)``.
+
+    A winner is found by all that names its group, not by its key alone: a group
+    is there once, so no popular key gathers in one task.
+    """
+    name = ["source_type", "target_key", "object_id"]
+    rest = F.col("n")
+    if mode == FIRST:
+        won = winners.select("source_ord", *name, F.lit(1).cast("long").alias("won"))
+        groups = groups.join(won, ["source_ord", *name], "left")
+        rest = F.col("n") - F.coalesce(F.col("won"), F.lit(0))
+    else:
+        groups = groups.withColumn("won", F.lit(0).cast("long"))
+    parts = F.array(
+        F.struct(F.lit("landed").alias("status"), F.col("won").alias("n")),
+        F.struct(_status(mode).alias("status"), rest.alias("n")),
+    )
+    return groups.select(*name, "reason", F.inline(parts)).where("n > 0")

@@ -11,7 +11,7 @@ from ..operators.links import file_rows, file_targets
 from ..plans.ingest import landing_targets
 from ..session import pin, scratch_path
 from ..sinks import SINKS, Layer
-from ..sinks.object_sinks import rewrite
+from ..sinks.object_sinks import decide, rewrite
 from ..sources import SourceSpec, candidates
 from ..sources.scans import CORRUPT, read_csv, read_json, read_objects
 from ..streaming.arrivals import stream_objects, stream_rows
@@ -123,7 +123,7 @@ present AS (
     FROM candidates JOIN objects USING (object_id) WHERE reason IS NULL
 ),
 absent AS (
-    SELECT source_type, CASE WHEN reason IS NULL OR reason = 'page_missing' THEN 'failed'
+    SELECT source_type, target_key, object_id, reason, CASE WHEN reason IS NULL OR reason = 'page_missing' THEN 'failed'
                              ELSE 'rejected' END AS status
     FROM candidates WHERE reason IS NOT NULL OR object_id NOT IN (SELECT object_id FROM objects)
 )"""
@@ -175,7 +175,7 @@ def object_sink_table(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH {OBJECTS_SQL}
 SELECT source_type, status, count(*) AS n FROM (
-    SELECT * FROM absent
+    SELECT source_type, status FROM absent
     UNION ALL
     SELECT source_type, CASE WHEN place = 1 THEN 'landed' ELSE 'skipped_exists' END FROM present)
 GROUP BY ALL
@@ -186,10 +186,25 @@ def outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
     return SINKS["s3"](wanted, _objects(wanted), layer)
 
 
+@query(f"""
+WITH {OBJECTS_SQL}
+SELECT source_type, target_key, object_id, reason, status, count(*) AS n FROM (
+    SELECT source_type, target_key, object_id, reason, status FROM absent
+    UNION ALL
+    SELECT source_type, target_key, object_id, reason,
+           CASE WHEN place = 1 THEN 'landed' ELSE 'skipped_exists' END FROM present)
+GROUP BY ALL
+""")
+def outcome_items(spark: SparkSession, folder: str) -> DataFrame:
+    wanted = _offered(spark, folder)
+    layer = Layer(scratch_path(spark, "bronze"))
+    return decide(wanted, _objects(wanted), layer, FIRST, "load").items()
+
+
 @query(f"""
 WITH {OBJECTS_SQL}
 SELECT source_type, status, count(*) AS n FROM (
-    SELECT * FROM absent
+    SELECT source_type, status FROM absent
     UNION ALL
     SELECT source_type, CASE WHEN place = 1 AND source_type <> 'kaggle' THEN 'landed'
                              ELSE 'skipped_exists' END FROM present)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.media import content_type
@@ -13,6 +14,7 @@ from ..operators.landing import (
     LAST,
     group_candidates,
     outcome_counts,
+    outcome_items,
     pick_winners,
     skip_landed,
     with_presence,
@@ -64,23 +66,46 @@ def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
     return payload.withColumn("content_type", content_type(F.col("target_key")))
 
 
-def land(
-    candidates: DataFrame, objects: DataFrame, layer: Layer, mode: str, load_id: str | None = None
-) -> DataFrame:
-    """Decide on keys, write the bytes, return counts ``(source_type, status, n)``.
+@dataclass(frozen=True)
+class Decision:
+    """What a load does with its candidates: written tables without bytes."""
+
+    groups: DataFrame
+    winners: DataFrame
+    mode: str
+
+    def counts(self) -> DataFrame:
+        """Rows ``(source_type, status, n)``."""
+        return outcome_counts(self.groups, self.winners, self.mode)
+
+    def items(self) -> DataFrame:
+        """Rows ``(source_type, target_key, object_id, reason, status, n)``."""
+        return outcome_items(self.groups, self.winners, self.mode)
+
+
+def decide(
+    candidates: DataFrame, objects: DataFrame, layer: Layer, mode: str, load_id: str
+) -> Decision:
+    """Choose the winner of each key; the layer is read but not changed.
 
-    Decisions are written before the layer changes: what is counted is what was
-    decided, and no later step repeats the extraction of links.
+    The choice is written down before the layer changes: what is counted later is
+    what was decided, and no later step repeats the extraction of links.
     """
-    load_id = load_id or new_load_id()
-    spark = candidates.sparkSession
     groups = pin(with_presence(group_candidates(candidates), objects, MAX_OBJECT_LENGTH), "groups")
     winners = pick_winners(groups, mode)
     if mode == FIRST:
-        winners = skip_landed(winners, layer.read(spark, besides=load_id))
-    winners = pin(winners, "winners")
-    layer.write(_payload(winners, objects), load_id)
-    return outcome_counts(groups, winners, mode)
+        winners = skip_landed(winners, layer.read(candidates.sparkSession, besides=load_id))
+    return Decision(groups, pin(winners, "winners"), mode)
+
+
+def land(
+    candidates: DataFrame, objects: DataFrame, layer: Layer, mode: str, load_id: str | None = None
+) -> DataFrame:
+    """Decide on keys, write the bytes, return counts ``(source_type, status, n)``."""
+    load_id = load_id or new_load_id()
+    decision = decide(candidates, objects, layer, mode, load_id)
+    layer.write(_payload(decision.winners, objects), load_id)
+    return decision.counts()
 
 
 @sink("s3")
@@ -103,7 +128,7 @@ def keep_last(
     return land(candidates, objects, layer, LAST, load_id)
 
 
-def rewrite(layer: Layer, fresh: Layer, spark, load_id: str | None = None) -> Layer:
+def rewrite(layer: Layer, fresh: Layer, spark: SparkSession, load_id: str | None = None) -> Layer:
     """Write the newest row of each key to another, empty root."""
     if fresh.root == layer.root:
         raise ValueError("a layer cannot be rewritten onto the path it is read from")

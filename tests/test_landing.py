@@ -138,6 +138,27 @@ def test_object_fetched_twice_lands_once(spark):
     assert table(layer, spark) == {"k": "long body", "l": "p"}
 
 
+def test_items_tell_what_became_of_each(spark):
+    layer = Layer(scratch_path(spark, "b"))
+    rows = offer(spark, candidate((0, 0, 0), "k", "a"), candidate((0, 1, 0), "k", "a"),
+                 candidate((0, 2, 0), "k", "b"), candidate((0, 3, 0), "l", "gone"),
+                 candidate((0, 4, 0), None, "none", "page_missing"))
+    objects = stock(spark, a="A", b="B")
+    for mode, want in (
+        (FIRST, {("k", "a", "landed", 1), ("k", "a", "skipped_exists", 1), ("k", "b", "skipped_exists", 1)}),
+        (LAST, {("k", "a", "landed", 2), ("k", "b", "landed", 1)}),
+    ):
+        decision = object_sinks.decide(rows, objects, layer, mode, "x")
+        items = decision.items().collect()
+        got = {(r.target_key, r.object_id, r.status, r.n) for r in items}
+        assert got == want | {("l", "gone", "failed", 1), (None, "none", "failed", 1)}
+        assert sum(r.n for r in items) == 5
+        totals = {}
+        for r in items:
+            totals[(r.source_type, r.status)] = totals.get((r.source_type, r.status), 0) + r.n
+        assert totals == counts(decision.counts())
+
+
 def test_overwriting_sink(spark):
     layer = Layer(scratch_path(spark, "l"))
     rows = offer(spark, candidate((0, 0, 0), "k", "a"), candidate((0, 0, 1), "k", "b"),
