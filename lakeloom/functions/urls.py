@@ -134,7 +134,6 @@ def base_sql(url: str) -> str:
     return let("part", _split(url), parts)
 
 
-
 # A link's path seen from the page's folder.
 _MERGED = f"""
 CASE WHEN startswith(path, '/') THEN path
@@ -158,7 +157,6 @@ CASE WHEN contains(part[1], '[') <> contains(part[1], ']') THEN NULL
           || {_led("#", "part[4]")}
 END"""
 
-
 # Most links: a path, rooted or not, without anything that needs a closer look.
 _PLAIN = literal(r"^/?[^/?#;:.\x00-\x20][^?#;:\x00-\x20]*\z")
 

@@ -123,8 +123,9 @@ present AS (
     FROM candidates JOIN objects USING (object_id) WHERE reason IS NULL
 ),
 absent AS (
-    SELECT source_type, target_key, object_id, reason, CASE WHEN reason IS NULL OR reason = 'page_missing' THEN 'failed'
-                             ELSE 'rejected' END AS status
+    SELECT source_type, target_key, object_id, reason,
+           CASE WHEN reason IS NULL OR reason = 'page_missing' THEN 'failed'
+                ELSE 'rejected' END AS status
     FROM candidates WHERE reason IS NOT NULL OR object_id NOT IN (SELECT object_id FROM objects)
 )"""
 
