@@ -160,6 +160,9 @@ END"""
 # Most links: a path, rooted or not, without anything that needs a closer look.
 _PLAIN = literal(r"^/?[^/?#;:.\x00-\x20][^?#;:\x00-\x20]*\z")
 
+# Whole URLs that come back as written, whatever the page.
+_WHOLE = literal(r"^https?://[^/?#;\[\]\x00-\x20]+(/[^?#;\x00-\x20]*)?\z")
+
 # The absolute URL of the link ``href`` on the page whose parts are ``base``.
 RESOLVE = f"""
 CASE WHEN href = '' THEN base.url
@@ -167,6 +170,7 @@ CASE WHEN href = '' THEN base.url
           AND base.folder IS NOT NULL
      THEN CASE WHEN startswith(href, '/') THEN base.scheme || '://' || base.netloc
                ELSE base.folder END || href
+     WHEN href RLIKE {_WHOLE} THEN href
      ELSE {let("part", _split("href"), _RESOLVED)} END"""
 
 

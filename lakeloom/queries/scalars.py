@@ -255,22 +255,22 @@ def url_list_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT r_regionkey, 'KAGGLE_URLS' AS list_key,
-       'https://www.kaggle.com/datasets/' || lower(r_name) || '/a,https://example.org/' || r_name
+SELECT s_suppkey, 'KAGGLE_URLS' AS list_key,
+       'https://www.kaggle.com/datasets/' || lower(s_name) || '/a,https://example.org/' || s_name
            AS urls
-FROM region
+FROM supplier
 """)
 def chosen_url_list(spark: SparkSession, folder: str) -> DataFrame:
-    region = table(spark, folder, "region")
-    lower = F.lower("r_name")
+    supplier = table(spark, folder, "supplier")
+    lower = F.lower("s_name")
     archives = F.array(
         F.concat(F.lit("https://www.kaggle.com/datasets/"), lower, F.lit("/a")),
-        F.concat(F.lit("https://example.org/"), F.col("r_name")),
+        F.concat(F.lit("https://example.org/"), F.col("s_name")),
     )
     crawled = F.array(F.concat(F.lit("https://example.org/"), lower))
     lists = F.array(
         F.struct(F.lit("KAGGLE_URLS").alias("list_key"), archives.alias("urls")),
         F.struct(F.lit("CRAWLER_URLS").alias("list_key"), crawled.alias("urls")),
     )
-    rows = region.select("r_regionkey", F.inline(lists))
+    rows = supplier.select("s_suppkey", F.inline(lists))
     return choose_list(rows, F.col("list_key"), F.col("urls"), "KAGGLE_URLS")
