@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.landing import resolve_conflicts
 from ..operators.links import file_rows, file_targets
 from ..operators.rules import source_gate
+from ..schemas import OUTCOMES
 from ..sinks import SINKS, Layer
 from ..sources import SourceSpec, candidates
 
@@ -58,12 +59,15 @@ def ingest(
 ) -> DataFrame:
     """Run the sources that may run and land what they name.
 
-    ``settings`` are validated records (see ``settings_with_fallback``). The
+    ``settings`` are validated records (see ``settings_with_fallback``); without
+    a column ``crawler_urls`` only the archive source runs. The
     object sink lands below ``<base>/<bucket_name>`` with keys under the
     destination. The overwriting sink's own path is both its root and the start
     of its keys; the destination does not count. Returns the outcome counts.
     """
     chosen = settings.where(F.col("environment") == environment)
+    if "crawler_urls" not in settings.columns:
+        chosen = chosen.withColumn("crawler_urls", F.lit(None).cast("array<string>"))
     record, gates = _record(chosen, environment)
     reasons = set(gates.values())
     for fatal in ("sink_missing", "sink_type_unknown", "bucket_name_missing", "path_missing"):
@@ -83,6 +87,5 @@ def ingest(
     }
     running = [(name, spec) for name, spec in specs.items() if gates[name] is None]
     if not running:
-        empty = chosen.sparkSession.createDataFrame([], "source_type string, status string, n long")
-        return empty
+        return chosen.sparkSession.createDataFrame([], OUTCOMES)
     return SINKS[record.sink.type](candidates(running), fetched.objects, layer, load_id)

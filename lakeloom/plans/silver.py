@@ -24,8 +24,8 @@ from ..operators.rules import broken_rules
 class Conformed:
     """A silver table: column -> type, key, order among rows of a key, and rules.
 
-    A required column must have a value of its type. ``rules`` see conformed
-    columns.
+    A required column must have a value of its type, and so must the key.
+    ``rules`` see conformed columns.
     """
 
     columns: dict[str, str]
@@ -57,7 +57,8 @@ def _conform(bronze: DataFrame, table: Conformed) -> DataFrame:
 
 
 def _rules(table: Conformed) -> dict[str, Column]:
-    required = {f"{name}_missing": F.col(name).isNotNull() for name in table.required}
+    names = dict.fromkeys([*table.required, *table.key])
+    required = {f"{name}_missing": F.col(name).isNotNull() for name in names}
     return {**required, **table.rules}
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.landing import FIRST, resolve_conflicts, skip_landed
 from .layer import Layer
@@ -15,8 +18,12 @@ def land_rows(
 ) -> None:
     """Write the first row of each key that no other load holds.
 
-    The layer is not touched by its own plan: rows of this load are left out of
-    the check, which also makes a repeated load write the same rows again.
+    A row without a full key cannot be told from another: all of them land,
+    unsorted and without a shuffle. The layer is not touched by its own plan:
+    rows of this load are left out of the check, which also makes a repeated load
+    write the same rows again.
     """
+    whole = reduce(and_, (F.col(c).isNotNull() for c in key))
     landed = layer.read(rows.sparkSession, besides=load_id)
-    layer.write(skip_landed(resolve_conflicts(rows, FIRST, key, order), landed, key), load_id)
+    first = resolve_conflicts(rows.where(whole), FIRST, key, order)
+    layer.write(skip_landed(first, landed, key).unionByName(rows.where(~whole)), load_id)

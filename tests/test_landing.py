@@ -203,6 +203,14 @@ def test_land_rows_is_repeatable(spark):
     assert layer.read(spark, besides="a").count() == 3
 
 
+def test_rows_without_a_key_all_land(spark):
+    schema = spark.createDataFrame([], "k string, v long").schema
+    layer = Layer(scratch_path(spark, "rows"), schema)
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4)], schema)
+    land_rows(rows, layer, "1", ["k"], ["v"])
+    assert {(r.k, r.v) for r in layer.read(spark).collect()} == {(None, 1), (None, 2), ("a", 3)}
+
+
 def test_layer_names(spark):
     assert layer_root("data-lake", "bronze", "s3a://x/") == "s3a://x/data-lake-bronze"
     for bad in (("a_b", "bronze"), ("", "bronze"), ("a", "tin"), ("a\n", "gold")):
@@ -256,6 +264,14 @@ def test_run_into_overwriting_layer(spark):
     assert table(Layer(path), spark) == {f"{path}/one.csv": "1", f"{path}/two.csv": "22"}
 
 
+def test_run_without_a_crawler(spark):
+    base = scratch_path(spark, "run")
+    out = counts(ingest(settings(spark).drop("crawler_urls"), "dev", fetched(spark), base=base))
+    assert {source for source, _ in out} == {"kaggle"} and out[("kaggle", "landed")] == 1
+    none = ingest(settings(spark, credentials=False).drop("crawler_urls"), "dev", fetched(spark), base=base)
+    assert none.isEmpty()
+
+
 def test_run_refuses_bad_settings(spark):
     with pytest.raises(NotConfigured):
         ingest(settings(spark), "prod", fetched(spark))
@@ -312,3 +328,31 @@ def test_shared_folder(spark):
     if named:
         assert shared_dir(spark) == named.rstrip("/")
     assert pin(spark.range(3), "x").count() == 3
+
+
+class _Conf:
+    def get(self, name, default=None):
+        return default
+
+
+class _Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, *context):
+        self.conf, self.sparkContext = _Conf(), _Context(*context)
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session("spark://host:7077"))
+    assert shared_dir(_Session("spark://host:7077", "hdfs://x/cp/")) == "hdfs://x/cp"
+    assert shared_dir(_Session("local[2]")).startswith("/")
