@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..functions.urls import normalize_http_url
 from ..operators.landing import resolve_conflicts
 from ..operators.links import file_rows, file_targets
 from ..operators.rules import source_gate
 from ..schemas import OUTCOMES
 from ..sinks import SINKS, Layer
+from ..sinks.layer import below
 from ..sources import SourceSpec, candidates
 
 
@@ -35,8 +37,12 @@ def landing_targets(pages: DataFrame, suffix: str, destination: str) -> DataFram
 
 
 def _url_table(settings: DataFrame, name: str) -> DataFrame:
+    """A record's URLs in the form the record is said to hold them in."""
     rows = settings.select(F.posexplode(name).alias("pos", "url"))
-    return rows.withColumn("pos", F.col("pos").cast("long"))
+    return rows.select(
+        F.col("pos").cast("long").alias("pos"),
+        F.coalesce(normalize_http_url(F.col("url")), F.col("url")).alias("url"),
+    )
 
 
 def _record(settings: DataFrame, environment: str) -> tuple[Row, dict[str, str | None]]:
@@ -77,7 +83,7 @@ def ingest(
     destination = record.destination if to_objects else record.sink.path
     if layer is None:
         folder = record.sink.bucket_name if to_objects else record.sink.path
-        layer = Layer(f"{base.rstrip('/')}/{folder}" if base else folder)
+        layer = Layer(below(base, folder))
 
     specs = {
         "kaggle": SourceSpec(_url_table(chosen, "kaggle_urls"), destination, select=select),

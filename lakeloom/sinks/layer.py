@@ -30,13 +30,18 @@ WRITE_OPTIONS = {
 }
 
 
+def below(base: str, name: str) -> str:
+    """``name`` in the folder ``base``, which may be a bare scheme (``s3a://``) or empty."""
+    return base + name if base == "" or base.endswith("/") else f"{base}/{name}"
+
+
 def layer_root(lake: str, layer: str, base: str = "") -> str:
     """``<base>/<lake>-<layer>``."""
     if not re.search(LAKE_PATTERN.replace(r"\z", r"\Z"), lake):
         raise ValueError(f"a lake name has letters, digits and hyphens only, not {lake!r}")
     if layer not in LAYERS:
         raise ValueError(f"layer must be one of {LAYERS}, not {layer!r}")
-    return f"{base.rstrip('/')}/{lake}-{layer}" if base else f"{lake}-{layer}"
+    return below(base, f"{lake}-{layer}")
 
 
 def layer_path(lake: Column, layer: Column, prefix: Column, name: Column) -> Column:

@@ -7,7 +7,7 @@ needed: what has landed is read from the layer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +34,19 @@ def batch_load_id(name: str, checkpoint: str, batch_id: int) -> str:
     return f"{name}-{sha256(checkpoint.encode()).hexdigest()[:12]}-{batch_id:012d}"
 
 
+def _start(
+    rows: DataFrame,
+    land: Callable[[DataFrame, int], None],
+    name: str,
+    checkpoint: str,
+    every: str | None,
+) -> StreamingQuery:
+    writer = rows.writeStream.queryName(name).foreachBatch(land)
+    writer = writer.option("checkpointLocation", checkpoint)
+    timed = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return timed.start()
+
+
 def stream_rows(
     spark: SparkSession,
     folder: str,
@@ -45,9 +58,13 @@ def stream_rows(
     file_format: str = "parquet",
     name: str = "rows",
     max_files: int = 1000,
+    every: str | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Land the rows of CSV, JSON or parquet files, one row per key."""
+    """Land the rows of CSV, JSON or parquet files, one row per key.
+
+    Runs over what has arrived and stops, or looks again ``every`` so often.
+    """
     rows = (
         spark.readStream.schema(schema)
         .format(file_format)
@@ -59,13 +76,7 @@ def stream_rows(
     def land(batch: DataFrame, batch_id: int) -> None:
         land_rows(batch, layer, batch_load_id(name, checkpoint, batch_id), key, order)
 
-    return (
-        rows.writeStream.queryName(name)
-        .foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(rows, land, name, checkpoint, every)
 
 
 def stream_objects(
@@ -77,6 +88,7 @@ def stream_objects(
     name: str = "objects",
     glob: str = "*",
     max_files: int = 1000,
+    every: str | None = None,
     outcomes: Layer | None = None,
 ) -> StreamingQuery:
     """Land whole files under ``destination``, by file name, unread.
@@ -115,13 +127,7 @@ def stream_objects(
         if outcomes is not None:
             outcomes.write(_batch_counts(arrived, fresh), load_id)
 
-    return (
-        names.writeStream.queryName(name)
-        .foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(names, land, name, checkpoint, every)
 
 
 def _batch_counts(arrived: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -213,6 +213,9 @@ def test_rows_without_a_key_all_land(spark):
 
 def test_layer_names(spark):
     assert layer_root("data-lake", "bronze", "s3a://x/") == "s3a://x/data-lake-bronze"
+    assert layer_root("data-lake", "silver", "/lakes") == "/lakes/data-lake-silver"
+    assert layer_root("data-lake", "gold", "s3a://") == "s3a://data-lake-gold"
+    assert layer_root("data-lake", "gold") == "data-lake-gold"
     for bad in (("a_b", "bronze"), ("", "bronze"), ("a", "tin"), ("a\n", "gold")):
         with pytest.raises(ValueError):
             layer_root(*bad)
@@ -235,7 +238,7 @@ def fetched(spark):
 
 
 def settings(spark, sink=("s3", "bucket", None), credentials=True):
-    kaggle = ["https://www.kaggle.com/datasets/first/one", "https://www.kaggle.com/datasets/own/data/x",
+    kaggle = ["https://www.kaggle.com/datasets/first/one", "HTTPS://www.Kaggle.com/datasets/own/data/x",
               "https://example.org/nothing"]
     crawler = ["https://SITE.org/list/", "https://other.org/", "https://missing.org"]
     return spark.createDataFrame([("dev", sink, kaggle, crawler, credentials, "raw/dev")], SETTINGS)

@@ -90,3 +90,18 @@ def test_csv_arrivals(spark):
                 header="true").awaitTermination()
     got = {(r.k, r.v, r._corrupt_record) for r in layer.read(spark).collect()}
     assert got == {("a", 1, None), ("b", None, "b,many")}
+
+
+def test_stream_that_keeps_looking(spark):
+    schema = spark.createDataFrame([], "k string, v long").schema
+    layer, folder = Layer(scratch_path(spark, "out"), schema), scratch_path(spark, "in")
+    write(spark, folder, [("a", 1)])
+    query = stream_rows(spark, folder, schema, layer, ["k"], ["v"], scratch_path(spark, "cp"),
+                        "json", every="1 second")
+    try:
+        query.processAllAvailable()
+        write(spark, folder, [("a", 0), ("b", 2)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted((r.k, r.v) for r in layer.read(spark).collect()) == [("a", 1), ("b", 2)]
