@@ -35,14 +35,22 @@ def resolve_conflicts(
 
 
 def skip_landed(
-    candidates: DataFrame, landed: DataFrame, key: Sequence[str] = ("target_key",)
+    candidates: DataFrame,
+    landed: DataFrame,
+    key: Sequence[str] = ("target_key",),
+    few: bool = False,
 ) -> DataFrame:
     """Candidates whose key is not in ``landed``, of which only the keys are read.
 
     After :func:`resolve_conflicts` the candidates are already partitioned by
-    the key and hold it once.
+    the key and hold it once. ``few`` is for candidates whose size was checked:
+    their keys go to the scan of ``landed``, and only what they hit is shuffled,
+    not the keys of the whole layer.
     """
-    return candidates.join(landed.select(*key), list(key), "left_anti")
+    keys = landed.select(*key)
+    if few:
+        keys = keys.join(F.broadcast(candidates.select(*key)), list(key), "left_semi")
+    return candidates.join(keys, list(key), "left_anti")
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_http_url
 from ..operators.landing import resolve_conflicts
-from ..operators.links import file_rows, file_targets
+from ..operators.links import DATA_SUFFIX, file_rows, file_targets
 from ..operators.rules import source_gate
 from ..schemas import OUTCOMES
 from ..sinks import SINKS, Layer
@@ -59,7 +59,7 @@ def ingest(
     fetched: Fetched,
     layer: Layer | None = None,
     base: str = "",
-    suffix: str = ".csv",
+    suffix: str = DATA_SUFFIX,
     select: str = "all",
     load_id: str | None = None,
 ) -> DataFrame:

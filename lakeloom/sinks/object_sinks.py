@@ -36,6 +36,18 @@ def new_load_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
+def fits_broadcast(rows: DataFrame, *names: str) -> bool:
+    """Whether the named text columns are small enough to be sent to every task.
+
+    Measured on the rows themselves; never true when broadcasts are switched off.
+    """
+    threshold = rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if threshold.strip().startswith("-"):
+        return False
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in names), F.lit(ROW_OVERHEAD))
+    return (rows.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
     """The winners with their bytes.
 
@@ -46,18 +58,14 @@ def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
     once are few; only those are ranked.
     """
     stored = objects.where(F.col("length") <= MAX_OBJECT_LENGTH)
-    text = F.octet_length("object_id") + F.octet_length("target_key") + ROW_OVERHEAD
-    size, copies = winners.agg(F.sum(text), F.max("copies")).first()
-    threshold = winners.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    switched_off = threshold.strip().startswith("-")
-    small = not switched_off and (size or 0) <= BROADCAST_BYTES
+    small = fits_broadcast(winners, "object_id", "target_key")
 
     def rows(which: str) -> DataFrame:
         chosen = winners.where(which).select("object_id", "target_key")
         return stored.join(F.broadcast(chosen) if small else chosen, "object_id").drop("object_id")
 
     payload = rows("copies = 1")
-    if (copies or 0) > 1:
+    if not winners.where("copies > 1").isEmpty():
         rank = F.row_number().over(
             Window.partitionBy("target_key").orderBy(F.desc("length"), F.sha2("content", 256))
         )
@@ -92,10 +100,12 @@ def decide(
     what was decided, and no later step repeats the extraction of links.
     """
     groups = pin(with_presence(group_candidates(candidates), objects, MAX_OBJECT_LENGTH), "groups")
-    winners = pick_winners(groups, mode)
+    winners = pin(pick_winners(groups, mode), "winners")
     if mode == FIRST:
-        winners = skip_landed(winners, layer.read(candidates.sparkSession, besides=load_id))
-    return Decision(groups, pin(winners, "winners"), mode)
+        landed = layer.read(candidates.sparkSession, besides=load_id)
+        few = fits_broadcast(winners, "target_key")
+        winners = pin(skip_landed(winners, landed, few=few), "fresh")
+    return Decision(groups, winners, mode)
 
 
 def land(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import page_files
 from ..functions.urls import (
+    ARCHIVE_SUFFIX,
     archive_name,
     basename,
     dataset_slug,
@@ -51,7 +52,7 @@ def archives(spec: SourceSpec) -> DataFrame:
             "kaggle",
             F.col("pos"),
             F.lit(0),
-            F.concat(slug, F.lit(".zip")),
+            F.concat(slug, F.lit(ARCHIVE_SUFFIX)),
             target_key(F.lit(spec.destination), archive_name(slug)),
             F.when(slug.isNull(), F.lit("no_dataset_name")),
         )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators.landing import union_sources
+from ..operators.links import DATA_SUFFIX
 
 
 @dataclass(frozen=True)
@@ -17,7 +18,7 @@ class SourceSpec:
     urls: DataFrame
     destination: str
     pages: DataFrame | None = None
-    suffix: str = ".csv"
+    suffix: str = DATA_SUFFIX
     select: str = "all"
 
 

@@ -21,7 +21,7 @@ from ..operators.landing import resolve_conflicts, skip_landed
 from ..schemas import FILES
 from ..session import pin
 from ..sinks.layer import Layer
-from ..sinks.object_sinks import MAX_OBJECT_LENGTH
+from ..sinks.object_sinks import MAX_OBJECT_LENGTH, fits_broadcast
 from ..sinks.row_sink import land_rows
 
 
@@ -115,8 +115,9 @@ def stream_objects(
         storable = arrived.where(F.col("length") <= MAX_OBJECT_LENGTH)
         first = resolve_conflicts(storable, order=("modificationTime", "path"))
         landed = layer.read(session, besides=load_id)
-        fresh = pin(skip_landed(first, landed).select("path", "target_key"), "fresh")
-        # Bounded by max_files, like the file list the stream itself holds.
+        # All of this is bounded by max_files, like the file list the stream itself holds.
+        few = fits_broadcast(first, "target_key")
+        fresh = pin(skip_landed(first, landed, few=few).select("path", "target_key"), "fresh")
         paths = [row.path for row in fresh.select("path").toLocalIterator()]
         if paths:
             objects = session.read.format("binaryFile").load(paths).join(fresh, "path")

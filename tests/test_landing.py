@@ -56,7 +56,10 @@ def test_modes_agree_on_unique_keys(spark):
 
 def test_skip_landed(spark):
     rows = spark.range(10).select(F.col("id").alias("target_key"))
-    assert skip_landed(rows, rows.where("target_key < 7")).count() == 3
+    landed = rows.where("target_key < 7")
+    for few in (False, True):
+        left = skip_landed(rows, landed, few=few)
+        assert sorted(r.target_key for r in left.collect()) == [7, 8, 9]
 
 
 def test_object_sink(spark):

@@ -42,6 +42,16 @@ def test_anti_join_reuses_the_partitioning(spark, tables):
     assert "text#" not in text
 
 
+def test_few_new_keys_do_not_shuffle_the_layer(spark, tables):
+    documents = spark.read.parquet(f"{tables}/documents.parquet")
+    rows = documents.select(F.col("lang").alias("target_key"))
+    landed = documents.select(F.col("source").alias("target_key"))
+    text = plan(skip_landed(rows, landed, few=True))
+    assert "LeftSemi" in text and "LeftAnti" in text
+    semi = next(line for line in text.splitlines() if "LeftSemi" in line)
+    assert "BroadcastHashJoin" in semi
+
+
 def test_bytes_are_not_read_for_names(spark, tables):
     scan = plan(read_objects(spark, tables, "*.parquet").where("length > 10").select("path"))
     assert "content" not in scan and "PushedFilters: [GreaterThan(length,10)" in scan.replace("IsNotNull(length), ", "")
