@@ -8,10 +8,11 @@ of each (prefix merging), so the popular lists are never read: for the pairs tha
 meet, their collisions are counted in the signatures (skip merging). Every
 candidate is confirmed on the full shingle sets.
 
-No list is expanded into its pairs. Each list first names three pivots, and only
-(pivot, member) pairs are checked; the links found tie a group of copies together
-however large it is. Then only the members that are not yet in a list's largest
-component are paired with the rest of that list. What is left out is tied already.
+No list is expanded into its pairs. Each list first names three pivots, one of them
+the member whose lists are the longest, and only (pivot, member) pairs are checked;
+the links found tie a group of copies together however large it is. Documents of
+lists that still hold several components then meet by their rarest shingles, which
+is exact (``_rest``). Pairs left out are tied already or cannot be similar enough.
 
 A pair at the similarity limit collides in 26 of 32 coordinates on average and in
 fewer than 13 with a probability of 2e-7.
@@ -123,18 +124,65 @@ def _candidates(pairs: DataFrame, classes: DataFrame, matches: int, similarity:
     return pairs.join(one, "a").join(two, "b").where(least).where(collide).select("a", "b").distinct()
 
 
-def _links(docs: DataFrame, pairs: DataFrame, words: int, similarity: int) -> DataFrame:
+def _links(sets: DataFrame, pairs: DataFrame, similarity: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = pin(_sets(docs, nodes, words), "sets")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b"))
     both = F.size(F.array_intersect("s_a", "s_b"))
     joined = pairs.join(one, "a").join(two, "b")
     sized = joined.select("a", "b", both.alias("both"), (F.size("s_a") + F.size("s_b")).alias("total"))
-    return sized.where(F.lit(100) * F.col("both") >= F.lit(similarity) * (F.col("total") - F.col("both"))).select(
-        "a", "b"
+    enough = F.lit(100) * F.col("both") >= F.lit(similarity) * (F.col("total") - F.col("both"))
+    return sized.where(enough).select("a", "b")
+
+
+def _rest(sets: DataFrame, prefix: DataFrame, tied: DataFrame, similarity: int) -> DataFrame:
+    """Pairs ``(a, b)`` that pivots left open: they share a list but no component.
+
+    Documents of lists that still hold several components are posted under their
+    shingles, rare ones first. A pair that is similar enough must meet in a
+    shingle so early that the rest of both sets can still hold the overlap it
+    needs. A near copy whose own shingles take up that room meets nobody, so a
+    large group around one text does not unfold into its pairs. Within a list,
+    the largest component is paired with the others only.
+    """
+    needed = lambda total: F.ceil(F.lit(similarity) * total / F.lit(100.0 + similarity))
+    own = F.coalesce("component", "node")
+    members = pin(
+        prefix.join(tied, "node", "left").select("node", "bucket", own.alias("component")), "members"
     )
+    mixed_lists = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    open_nodes = members.join(mixed_lists.where("x <> y").select("bucket"), "bucket")
+    open_nodes = open_nodes.select("node", "component").distinct()
+
+    posted = sets.join(open_nodes, "node").select(
+        "node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
+    )
+    lists_ = posted.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("length"),
+        F.min("n").alias("least"),
+        (F.min("component") < F.max("component")).alias("open"),
+    )
+    by_node = Window.partitionBy("node").orderBy("length", "shingle")
+    placed = posted.join(lists_, "shingle").withColumn("place", F.row_number().over(by_node))
+    smallest = F.greatest("least", F.ceil(F.col("n") * similarity / 100))
+    early = F.lit(1) + F.col("n") - F.col("place") >= needed(F.col("n") + smallest)
+    placed = pin(
+        placed.where(F.col("open") & early).select("shingle", "node", "component", "n", "place"), "early"
+    )
+
+    sizes = placed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("length"))
+    largest = sizes.groupBy("shingle").agg(
+        F.max(F.struct("length", "component"))["component"].alias("most"), F.count(F.lit(1)).alias("kinds")
+    )
+    strays = placed.join(largest.where("kinds > 1").drop("kinds"), "shingle").where("component <> most")
+    strays = strays.select(
+        "shingle", "most", *(F.col(c).alias(f"_{c}") for c in ("node", "component", "n", "place"))
+    )
+    meets = F.expr("component <> _component AND (component = most OR _node < node)")
+    room = F.lit(1) + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
+    enough = room >= needed(F.col("n") + F.col("_n"))
+    pairs = strays.join(placed, "shingle").where(meets & enough)
+    return pairs.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -161,14 +209,17 @@ def near_duplicates(
         "bucket",
         F.row_number().over(by_node.orderBy("length", "bucket")).alias("place"),
         F.count(F.lit(1)).over(by_node).alias("n"),
+        F.sum("length").over(by_node).alias("weight"),
     )
-    prefix = pin(ranked.where(F.col("n") - F.col("place") >= matches - 1).select("node", "bucket"), "prefix")
+    kept = ranked.where(F.col("n") - F.col("place") >= matches - 1)
+    prefix = pin(kept.select("node", "bucket", "weight"), "prefix")
 
     pivots = prefix.groupBy("bucket").agg(
         F.array_distinct(
             F.array(
                 F.min("node"),
-                *(F.min_by("node", F.xxhash64("node", F.lit(seed))) for seed in (1, 2)),
+                F.max(F.struct("weight", "node"))["node"],
+                F.min_by("node", F.xxhash64("node")),
             )
         ).alias("pivots")
     )
@@ -177,28 +228,14 @@ def near_duplicates(
         F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
     )
     tested = pin(_candidates(met.distinct(), classes, matches, similarity), "candidates")
-    links = pin(_links(docs, tested, words, similarity), "links")
+    sets = pin(_sets(docs, prefix.select("node").distinct(), words), "sets")
+    links = pin(_links(sets, tested, similarity), "links")
     tied = pin(components(links), "tied")
 
-    members = pin(
-        prefix.join(tied, "node", "left").select(
-            "node", "bucket", F.coalesce("component", "node").alias("component")
-        ),
-        "members",
-    )
-    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "component"))["component"].alias("most"), F.count(F.lit(1)).alias("n")
-    )
-    strays = members.join(largest.where("n > 1").drop("n"), "bucket").where("component <> most")
-    strays = strays.select("bucket", F.col("node").alias("stray"), F.col("component").alias("own"), "most")
-    rest = strays.join(members, "bucket").where("component <> own AND (component = most OR stray < node)")
-    rest = rest.select(F.least("node", "stray").alias("a"), F.greatest("node", "stray").alias("b")).distinct()
-    untested = _candidates(rest.join(tested, ["a", "b"], "left_anti"), classes, matches, similarity)
-    more = pin(untested, "candidates")
+    more = pin(_rest(sets, prefix, tied, similarity).join(tested, ["a", "b"], "left_anti"), "rest")
     if not more.isEmpty():
         edges = tied.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        tied = components(edges.union(_links(docs, more, words, similarity)))
+        tied = components(edges.union(_links(sets, more, similarity)))
 
     roots = grouped.join(tied, F.col("least") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "least").alias("root")
