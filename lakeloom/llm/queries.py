@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash_dedup
+from . import decontaminate, minhash_dedup
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return minhash_dedup.near_duplicates(load(spark, folder, "documents"))
+
+
+@query
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    return decontaminate.decontaminate(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+SQL["op2_decontaminate"] = decontaminate.SQL
