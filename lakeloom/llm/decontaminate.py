@@ -108,7 +108,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     posted = fingerprints(read, window, gram, short).select("digest", F.explode_outer("prints").alias("print"))
     hits = pin(posted.join(prints, "print").distinct(), "hits")
 
-    named = hits.select("digest").distinct()
+    # Hits grow with the documents: both sides are shuffled at every size.
+    named = hits.select("digest").distinct().hint("merge")
     texts = docs.select(digest, text.alias("text")).join(named, "digest", "left_semi")
     texts = pin(texts.dropDuplicates(["digest"]), "texts")
     found = hits.groupBy("digest").agg(F.collect_set("print").alias("found"))
