@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash_dedup
+from . import decontaminate, minhash_dedup, substring_dedup
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,12 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op2_decontaminate"] = decontaminate.SQL
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that repeat a passage of an earlier one."""
+    return substring_dedup.remove_repeats(load(spark, folder, "documents")).drop("kept")
+
+
+SQL["op4_substring_dedup"] = substring_dedup.SQL
