@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash_dedup, substring_dedup
+from . import decontaminate, minhash_dedup, substring_dedup, token_files
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,16 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op4_substring_dedup"] = substring_dedup.SQL
+
+
+def word_vocabulary() -> str:
+    """The vocabulary file of the public word-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Where every document's token ids lie, read back from the packed files."""
+    return token_files.packed(load(spark, folder, "documents"), word_vocabulary())
