@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash_dedup, substring_dedup, token_files
+from . import decontaminate, minhash_dedup, mixing, substring_dedup, token_files
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,11 @@ def word_vocabulary() -> str:
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Where every document's token ids lie, read back from the packed files."""
     return token_files.packed(load(spark, folder, "documents"), word_vocabulary())
+
+
+@query
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    rows = mixing.mixed(load(spark, folder, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return rows.select("doc_id", "size", "source_size", "target", taken)

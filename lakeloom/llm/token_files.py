@@ -128,27 +128,30 @@ def encoder(path: str, end: int) -> Callable[[list[bytes]], tuple[np.ndarray, np
 
     tokenizer = Tokenizer.from_file(path)
     places: dict[bytes, int] = {}
-    coded: list[np.ndarray] = []
+    flat, sizes = np.array([end], np.uint32), np.array([1])
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal flat, sizes
         if len(places) > CACHED_WORDS:
             places.clear()
-            coded.clear()
-        if not coded:
-            coded.append(np.array([end], np.uint32))
-        known = len(places)
+            flat, sizes = flat[:1], sizes[:1]
         rows: list[int] = []
         counts = []
+        fresh: list[str] = []
         for text in texts:
             words = text.split()
-            rows += [places.setdefault(w, len(places) + 1) for w in words]
+            for word in words:
+                place = places.get(word)
+                if place is None:
+                    place = places[word] = len(places) + 1
+                    fresh.append(word.decode())
+                rows.append(place)
             rows.append(0)
             counts.append(len(words) + 1)
-        fresh = [w.decode() for w in list(places)[known:]] if len(places) > known else []
-        for found in tokenizer.encode_batch_fast(fresh, add_special_tokens=False) if fresh else ():
-            coded.append(np.array(found.ids, np.uint32))
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.concatenate(coded)
+        if fresh:
+            found = [e.ids for e in tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            flat = np.concatenate((flat, np.array([i for ids in found for i in ids], np.uint32)))
+            sizes = np.concatenate((sizes, [len(ids) for ids in found]))
         starts = np.cumsum(sizes) - sizes
         picked = np.array(rows)
         lengths = sizes[picked]
