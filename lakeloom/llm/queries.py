@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash_dedup, mixing, substring_dedup, token_files
+from . import decontaminate, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mixed(load(spark, folder, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return rows.select("doc_id", "size", "source_size", "target", taken)
+
+
+@query
+def op10_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every document under a bigram model of the training fold."""
+    return ngram_lm.score(load(spark, folder, "documents"))
