@@ -36,8 +36,8 @@ from .common import pieces, word_hashes
 from .elias_fano import EliasFano, encode, load, save
 
 DISCOUNT = 0.75
-SHARD_TOKENS = 4_000_000
-HELD = 1_000_000  # distinct keys a task counts before it passes them on
+SHARD_TOKENS = 2_000_000
+HELD = 400_000  # distinct keys a task counts before it passes them on
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))
 
 
