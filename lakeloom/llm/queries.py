@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files
+from . import decontaminate, line_dedup, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files, warc
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,21 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Log probability of every document under a bigram model of the training fold."""
     return ngram_lm.score(load(spark, folder, "documents"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document that repeat three lines seen before."""
+    return line_dedup.remove_repeated_lines(load(spark, folder, "documents")).drop("kept")
+
+
+SQL["op6_line_dedup"] = line_dedup.SQL
+
+
+@query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as archives, normalised, and read back."""
+    return warc.archived(load(spark, folder, "pages"))
+
+
+SQL["op9_warc"] = warc.SQL
