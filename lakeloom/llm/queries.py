@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files, warc
+from . import decontaminate, line_dedup, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files, toxicity, warc
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,12 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op9_warc"] = warc.SQL
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from two thirds of the labels."""
+    docs, labels = load(spark, folder, "documents"), load(spark, folder, "labels")
+    model = toxicity.learn(docs, labels.where(~toxicity.held_out()))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "spans")
