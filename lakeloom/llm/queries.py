@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files, toxicity, warc
+from . import decontaminate, line_dedup, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files, toxicity, vector_dedup, warc
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.learn(docs, labels.where(~toxicity.held_out()))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "spans")
+
+
+@query
+def op3_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate links and components of all embeddings."""
+    return vector_dedup.near_duplicates(load(spark, folder, "embeddings"))
