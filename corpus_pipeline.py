@@ -1,31 +1,71 @@
-"""A corpus from documents to token files: score, dedup, decontaminate, mix, pack."""
+"""A corpus from documents to token files: score, dedup, decontaminate, mix, pack.
+
+Each stage works on all the rows its predecessor kept, and is written before the next
+reads it. Rows without a doc_id pass the filters: nothing can be said of them by id.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeloom.llm import minhash_dedup
+from lakeloom.llm import decontaminate, minhash_dedup, mixing, token_files, toxicity
 from lakeloom.llm.common import load
+from lakeloom.llm.queries import word_vocabulary
 from lakeloom.session import pin
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``dropped``, which grows with them."""
+    ids = dropped.select("doc_id").distinct().hint("merge")
+    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; the model learns from the labels that are not held out."""
+    labels = load(spark, sf_dir, "labels").where(~toxicity.held_out())
+    model = toxicity.learn(docs, labels)
+    return toxicity.accepted(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
-    judged = minhash_dedup.near_duplicates(docs)
-    dropped = judged.where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    judged = pin(minhash_dedup.near_duplicates(docs).select("doc_id", "kept"), "near")
+    return without(docs, judged.where("NOT kept"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    judged = decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark"))
+    judged = pin(judged.select("doc_id", "contaminated"), "contaminated")
+    return without(docs, judged.where("contaminated"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.sample(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as packed token files; where each document lies in them."""
+    return token_files.packed(docs, word_vocabulary())
 
 
 STAGES = [
-    ("minhash near-dedup", near_dedup),
+    ("toxicity", drop_toxic),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing sources to target weights", mix),
+    ("token-ID / binary output", tokens),
 ]
 
+# Learned scores and random ranks have no SQL; the stages are tested one by one.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     docs = load(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = pin(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

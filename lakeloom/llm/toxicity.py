@@ -290,6 +290,20 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataF
     return docs.select("doc_id", text).mapInArrow(rate, schema)
 
 
+def accepted(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, unchanged and where they are."""
+    if model is None:
+        return docs
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "_scored_text"):
+            scores = model.scores(batch.column("_scored_text").to_pylist())[0]
+            yield batch.drop_columns(["_scored_text"]).filter(pa.array(scores < threshold))
+
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return docs.withColumn("_scored_text", text).mapInArrow(keep, docs.schema)
+
+
 def held_out(folds: int = 3, fold: int = 1):
     """Whether a row is never learned from."""
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
