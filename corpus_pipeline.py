@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm import decontaminate, minhash_dedup, mixing, token_files, toxicity
 from lakeloom.llm.common import load
 from lakeloom.llm.queries import word_vocabulary
-from lakeloom.session import pin
+from lakeloom.session import pin, scratch_path  # noqa: F401
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:

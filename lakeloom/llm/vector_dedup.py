@@ -290,7 +290,7 @@ def recall(vectors: DataFrame, judged: DataFrame, similarity: float = SIMILARITY
     sized = sized.selectExpr("vec_id", "label", "embedding", f"{square} AS n").where("n > 0")
     asked = sized.where(F.col("vec_id") % every == 0).selectExpr("vec_id AS id", "label", "embedding AS x", "n AS nx")
     pairs = asked.hint("broadcast").join(sized.selectExpr("vec_id", "label", "embedding AS y", "n AS ny"), "label")
-    true = pairs.where(f"id <> vec_id AND {cosine} >= {similarity}").groupBy("id").count()
+    true = pairs.where(f"id <> vec_id AND {cosine} >= {similarity} AND NOT isnan({cosine})").groupBy("id").count()
     both = true.join(judged, F.col("id") == F.col("vec_id")).agg(F.sum("count"), F.sum(F.least("count", "n_links")))
     there, found = both.first()
     return 1.0 if not there else found / there
