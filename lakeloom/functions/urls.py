@@ -209,7 +209,7 @@ _HTTP_PARTS = _parts(
 _HOST = f"regexp_extract(part[2], {literal(_HOST_PORT)}, 1)"
 _PORT = f"regexp_extract(part[2], {literal(_HOST_PORT)}, 2)"
 _IS_HTTP = f"""
-length(x.url) <= {MAX_URL_LENGTH} AND size(part) = 6 AND coalesce(
+size(part) = 6 AND coalesce(
   {_HOST} <> '' AND NOT {_HOST} RLIKE {literal(_BAD_HOST)}
   AND ({_PORT} = '' OR try_cast({_PORT} AS bigint) <= 65535), false)"""
 
@@ -237,14 +237,16 @@ lower(part[0]) || '://' || part[1] || lower({_HOST}) || {let("port", _SHORT_PORT
 
 def is_http_url(url: Column) -> Column:
     """Whether the text parses as an http or https URL with a host."""
-    return F.coalesce(apply_sql(let("part", _HTTP_PARTS, _IS_HTTP), url=url), F.lit(False))
+    valid = apply_sql(let("part", _HTTP_PARTS, _IS_HTTP), url=url)
+    return F.coalesce((F.length(url) <= MAX_URL_LENGTH) & valid, F.lit(False))
 
 
-def normalize_http_url(url: Column) -> Column:
-    """The form a settings record holds a URL in; NULL if it is not http(s).
+def normalize_http_url(url: Column, longest: int | None = MAX_URL_LENGTH) -> Column:
+    """The form a settings record holds a URL in; NULL if it is not http(s) or too long.
 
     Scheme and host in lower case, default port dropped, empty path ``/``, dot
     segments folded, unsafe characters percent-encoded. Hosts outside ASCII stay
     as written (no punycode).
     """
-    return apply_sql(let("part", _HTTP_PARTS, f"CASE WHEN {_IS_HTTP} THEN {_NORMAL} END"), url=url)
+    normal = apply_sql(let("part", _HTTP_PARTS, f"CASE WHEN {_IS_HTTP} THEN {_NORMAL} END"), url=url)
+    return normal if longest is None else F.when(F.length(url) <= longest, normal)

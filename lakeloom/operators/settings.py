@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import parse_url_list
@@ -81,11 +81,13 @@ def settings_with_fallback(primary: DataFrame, fallback: DataFrame, **rules: obj
     """Per environment the primary record if all of it is valid, else the fallback one.
 
     Records are never mixed field by field. An environment for which neither is
-    valid has no row. Each input holds an environment once; both go through one
-    shuffle, so neither is computed twice.
+    valid has no row. Credentials are no part of a record: set in either, they are
+    there. Each input holds an environment once; both go through one shuffle, so
+    neither is computed twice.
     """
     both = primary.withColumn("origin", F.lit("primary")).unionByName(
         fallback.withColumn("origin", F.lit("fallback"))
     )
-    valid = valid_settings(both, **rules)
+    either = F.max("has_credentials").over(Window.partitionBy("environment"))
+    valid = valid_settings(both.withColumn("has_credentials", either), **rules)
     return resolve_conflicts(valid, LAST, key=["environment"], order=["origin"])

@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(13,2)"
+MONEY = "decimal(18,2)"
 
 
 def _line_revenue() -> Column:
-    """A decimal(18,4): the widest that is still computed as a long."""
+    """Price less discount, wide enough for amounts up to 10^16."""
     price = F.col("l_extendedprice").cast(MONEY)
     rate = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
     return price * rate

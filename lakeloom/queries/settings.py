@@ -190,3 +190,41 @@ FROM sinks
 """)
 def source_gates(spark: SparkSession, folder: str) -> DataFrame:
     return source_gate(file_settings(spark, folder))
+
+
+@query(f"""
+WITH {PARAMETER_ROWS_SQL}, {SETTINGS_SQL},
+first_choice AS ({_valid('primary_settings')}),
+second_choice AS ({_valid('file_records')} AND environment NOT IN
+    (SELECT environment FROM first_choice)),
+either AS (
+    SELECT environment, bool_or(has_credentials) AS has_credentials FROM (
+        SELECT environment, has_credentials FROM primary_settings
+        UNION ALL SELECT environment, has_credentials FROM file_records) GROUP BY environment
+),
+chosen AS (
+    SELECT environment, sink_type, bucket_name, path, kaggle_urls, crawler_urls FROM first_choice
+    UNION ALL
+    SELECT environment, sink_type, bucket_name, path, kaggle_urls, crawler_urls FROM second_choice
+),
+gated AS (
+    SELECT *, CASE WHEN sink_type = 's3' AND bucket_name = '' THEN 'bucket_name_missing'
+        WHEN sink_type = 'local' AND path = '' THEN 'path_missing' END AS no_sink FROM chosen
+)
+SELECT environment, 'kaggle' AS source_type, coalesce(no_sink, CASE
+    WHEN coalesce(trim(replace(kaggle_urls, ',', '')), '') = '' THEN 'no_urls'
+    WHEN NOT coalesce(has_credentials, false) THEN 'no_credentials' END) AS reason
+FROM gated JOIN either USING (environment)
+UNION ALL
+SELECT environment, 'crawler', coalesce(no_sink, CASE
+    WHEN coalesce(trim(replace(crawler_urls, ',', '')), '') = '' THEN 'no_urls' END) FROM gated
+""")
+def fallback_gates(spark: SparkSession, folder: str) -> DataFrame:
+    """Which sources run with the chosen record and the credentials of either."""
+    records = parameter_records(derived(spark, folder, "parameters"), "lake")
+    chosen = settings_with_fallback(
+        records_to_settings(records, "raw"),
+        file_settings(spark, folder).drop("stage"),
+        environments=None,
+    )
+    return source_gate(chosen)

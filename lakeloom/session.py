@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +28,8 @@ def build_session(app: str = "lakeloom", cpus: str | int = "*") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local master, where driver and executors share one disk, gets a
-    folder of ours when none is named. A cluster without one is an error: a
-    machine-local folder would be lost with its machine.
+    That is the checkpoint folder, or else one in the warehouse, which a session
+    always names and all executors read and write.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None)
     context = spark.sparkContext
@@ -42,9 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="lakeloom-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    context.setCheckpointDir(f"{warehouse}/lakeloom-scratch")
     return context.getCheckpointDir().rstrip("/")
 
 

@@ -68,7 +68,7 @@ def crawl(spec: SourceSpec) -> DataFrame:
     than once counts once. Listed texts that are no URL get a key of their own:
     they match no page and do not meet in one task.
     """
-    page_url = normalize_http_url(F.col("url"))
+    page_url = normalize_http_url(F.col("url"), longest=None)
     parsed = (
         spec.pages.withColumn("_url", page_url)
         .where(F.col("_url").isNotNull())

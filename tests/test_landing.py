@@ -338,7 +338,7 @@ def test_shared_folder(spark):
 
 class _Conf:
     def get(self, name, default=None):
-        return default
+        return "hdfs://x/warehouse" if name == "spark.sql.warehouse.dir" else default
 
 
 class _Context:
@@ -357,8 +357,7 @@ class _Session:
         self.conf, self.sparkContext = _Conf(), _Context(*context)
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
-    with pytest.raises(RuntimeError):
-        shared_dir(_Session("spark://host:7077"))
+def test_shared_folder_is_the_sessions():
     assert shared_dir(_Session("spark://host:7077", "hdfs://x/cp/")) == "hdfs://x/cp"
-    assert shared_dir(_Session("local[2]")).startswith("/")
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "local[2]"):
+        assert shared_dir(_Session(master)) == "hdfs://x/warehouse/lakeloom-scratch"
