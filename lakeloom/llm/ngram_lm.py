@@ -90,21 +90,24 @@ class Vocabulary:
     def __init__(self, files: list[tuple[str, int, int]], size: int):
         self.files, self.size = files, size
         self.firsts = np.array([f[1] for f in files], np.uint64)
-        self.open: dict[int, tuple[EliasFano, np.ndarray]] = {}
+        self.open: dict[int, tuple[EliasFano, np.ndarray, int]] = {}
+
+    def file(self, k: int) -> tuple[EliasFano, np.ndarray, int]:
+        if k not in self.open:
+            arrays = load(self.files[k][0])
+            self.open[k] = EliasFano(arrays), arrays["count"], int(arrays["last"][0])
+        return self.open[k]
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number and count of sorted hashes; an unknown word has the number ``size`` and count 0."""
         numbers, counts = np.full(len(hashes), self.size, np.int64), np.zeros(len(hashes), np.int64)
         cuts = [*np.searchsorted(hashes, self.firsts), len(hashes)]
-        for k, (path, first, before) in enumerate(self.files):
+        for k, (_, first, before) in enumerate(self.files):
             part = slice(cuts[k], cuts[k + 1])
             if part.start < part.stop:
-                if k not in self.open:
-                    arrays = load(path)
-                    self.open[k] = EliasFano(arrays), arrays["count"]
-                level, count = self.open[k]
+                level, count, last = self.file(k)
                 asked = hashes[part] - np.uint64(first)
-                inside = asked <= np.uint64(int(load(path)["last"][0]) - first)
+                inside = asked <= np.uint64(last - first)
                 place, equal = level.successor(np.where(inside, asked, 0))
                 known = equal & inside
                 numbers[part] = np.where(known, place + before, self.size)
@@ -316,10 +319,10 @@ def context_counts(vocabulary: Vocabulary, contexts: np.ndarray, started: int) -
     """How often each sorted context was followed; the number ``size`` stands for a text's start."""
     out = np.full(len(contexts), started, np.int64)
     befores = [f[2] for f in vocabulary.files] + [vocabulary.size]
-    for k, (path, _, before) in enumerate(vocabulary.files):
+    for k, (_, _, before) in enumerate(vocabulary.files):
         lo, hi = np.searchsorted(contexts, [before, befores[k + 1]])
         if lo < hi:
-            out[lo:hi] = load(path)["count"][contexts[lo:hi] - before]
+            out[lo:hi] = vocabulary.file(k)[1][contexts[lo:hi] - before]
     return out
 
 
