@@ -236,12 +236,16 @@ QUALIFY row_number() OVER (PARTITION BY target_key
                            ORDER BY load DESC, source_ord DESC, url_pos DESC, link_pos DESC) = 1
 """)
 def overwriting_sink_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Three loads into an overwriting layer; the last replaces part of the first."""
+    """Eleven loads into an overwriting layer; the last three decide what stays.
+
+    Ids are not padded: the order is that of the loads, not of their names.
+    """
     wanted = _offered(spark, folder)
     layer = Layer(scratch_path(spark, "local"))
     archives, files = (wanted.where(f"source_type = '{s}'") for s in ("kaggle", "crawler"))
     again = archives.where(F.endswith("object_id", F.lit("-ring.zip")))
-    loads = ((archives, "old "), (files, "new "), (again, "newest "))
+    loads = [(again, f"early {n} ") for n in range(8)]
+    loads += [(archives, "old "), (files, "new "), (again, "newest ")]
     for number, (offered, word) in enumerate(loads, start=1):
         SINKS["local"](offered, _objects(offered, word), layer, f"load-{number}")
     fresh = rewrite(layer, Layer(scratch_path(spark, "local")), spark)

@@ -1,9 +1,11 @@
 """Layer paths and the landed table of a layer.
 
-A landed table is plain parquet below one root, one folder ``load_id=...`` per
-load. A load only ever writes its own folder and replaces it as a whole, so a
-load that is run again after a failure leaves the same table as one that ran
-once. A layer has one writer at a time.
+A landed table is plain parquet below one root, one folder
+``load_seq=.../load_id=...`` per load. Loads are numbered as they are first
+written; ids are names and need not sort. A load only ever writes its own folder
+and replaces it as a whole, so a load that is run again after a failure leaves
+the same table, at the same place in the order, as one that ran once. A layer
+has one writer at a time.
 """
 
 from __future__ import annotations
@@ -53,19 +55,26 @@ def layer_path(lake: Column, layer: Column, prefix: Column, name: Column) -> Col
 
 @dataclass(frozen=True)
 class Layer:
-    """A landed table; ``schema`` is that of its rows, without ``load_id``."""
+    """A landed table; ``schema`` is that of its rows, without ``load_seq`` and ``load_id``."""
 
     root: str
     schema: T.StructType = LANDED
 
-    def load_path(self, load_id: str) -> str:
+    def load_path(self, load_id: str, load_seq: int) -> str:
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
             raise ValueError(f"load_id has letters, digits, '_', '.' and '-' only, not {load_id!r}")
-        return f"{self.root}/load_id={load_id}"
+        return f"{self.root}/load_seq={load_seq}/load_id={load_id}"
+
+    def load_seq(self, spark: SparkSession, load_id: str) -> int:
+        """The number of a load: the one it has, or the next. No column of a row is read."""
+        own = F.max(F.when(F.col("load_id") == load_id, F.col("load_seq")))
+        known, last = self.read(spark).agg(own, F.max("load_seq")).first()
+        return known if known is not None else (last or 0) + 1
 
     def read(self, spark: SparkSession, besides: str | None = None) -> DataFrame:
         """All landed rows, but for those of load ``besides``, whose files stay unread."""
-        schema = T.StructType([*self.schema.fields, T.StructField("load_id", T.StringType())])
+        folders = [T.StructField("load_seq", T.LongType()), T.StructField("load_id", T.StringType())]
+        schema = T.StructType([*self.schema.fields, *folders])
         try:
             rows = spark.read.schema(schema).parquet(self.root)
         except AnalysisException as error:
@@ -75,26 +84,26 @@ class Layer:
         return rows if besides is None else rows.where(F.col("load_id") != besides)
 
     def latest(self, spark: SparkSession, key: str = "target_key") -> DataFrame:
-        """The newest row of each key; load ids sort by age.
+        """The newest row of each key, by the number of its load.
 
-        Only keys are ranked. Rows that a later load replaced are then left out
-        by key, so content is not shuffled while those are few.
+        Only keys are ranked, combined by hash before the shuffle. Rows that a
+        later load replaced are then left out by key, so content is not shuffled
+        while those are few.
         """
         rows = self.read(spark)
         newest = rows.groupBy(key).agg(
-            F.max("load_id").alias("_newest"), F.count(F.lit(1)).alias("_n")
+            F.max("load_seq").alias("_newest"), F.count(F.lit(1)).alias("_n")
         )
         replaced = (
-            rows.select(key, "load_id")
+            rows.select(key, "load_seq")
             .join(newest.where("_n > 1"), key)
-            .where(F.col("load_id") != F.col("_newest"))
-            .select(key, "load_id")
+            .where(F.col("load_seq") != F.col("_newest"))
+            .select(key, "load_seq")
         )
-        return rows.join(replaced, [key, "load_id"], "left_anti")
+        return rows.join(replaced, [key, "load_seq"], "left_anti")
 
     def write(self, rows: DataFrame, load_id: str) -> None:
         """Write one load, replacing what an earlier try of it left."""
         columns = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
-        rows.select(*columns).write.mode("overwrite").options(**WRITE_OPTIONS).parquet(
-            self.load_path(load_id)
-        )
+        path = self.load_path(load_id, self.load_seq(rows.sparkSession, load_id))
+        rows.select(*columns).write.mode("overwrite").options(**WRITE_OPTIONS).parquet(path)

@@ -32,7 +32,7 @@ ROW_OVERHEAD = 64
 
 
 def new_load_id() -> str:
-    """Load ids sort by the time they were made."""
+    """A name for a load that is given none, after the time it was made."""
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 

@@ -3,10 +3,15 @@
 Each micro-batch writes its own load, named after the batch, so a batch that is
 run again after a failure replaces what its first try left. No state store is
 needed: what has landed is read from the layer.
+
+Files count by arrival: modification time, then path. Spark hands them out in the
+same order, so what lands does not depend on how many files a batch holds, but for
+files of one instant that fall into different batches.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from hashlib import sha256
 
@@ -16,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.media import content_type
-from ..functions.urls import basename, target_key
+from ..functions.urls import target_key
 from ..operators.landing import resolve_conflicts, skip_landed
 from ..schemas import FILES
 from ..session import pin
@@ -26,7 +31,7 @@ from ..sinks.row_sink import land_rows
 
 
 def batch_load_id(name: str, checkpoint: str, batch_id: int) -> str:
-    """Sorts like the batches of one stream.
+    """The name of a batch's load.
 
     Batches are counted from zero for each checkpoint. So that a stream started
     over with a new one replaces nothing, its loads have other names.
@@ -63,7 +68,7 @@ def stream_rows(
 ) -> StreamingQuery:
     """Land the rows of CSV, JSON or parquet files, one row per key.
 
-    Runs over what has arrived and stops, or looks again ``every`` so often.
+    The file that arrived first wins, then the row first in ``order``. Runs over what has arrived and stops, or looks again ``every`` so often.
     """
     rows = (
         spark.readStream.schema(schema)
@@ -71,14 +76,33 @@ def stream_rows(
         .option("maxFilesPerTrigger", max_files)
         .options(**options)
         .load(folder)
+        .select(
+            "*",
+            F.col("_metadata.file_modification_time").alias("_arrived"),
+            F.col("_metadata.file_path").alias("_file"),
+        )
     )
+    by_arrival = ("_arrived", "_file", *order)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_rows(batch, layer, batch_load_id(name, checkpoint, batch_id), key, order)
+        land_rows(batch, layer, batch_load_id(name, checkpoint, batch_id), key, by_arrival)
 
     return _start(rows, land, name, checkpoint, every)
 
 
+def watched_root(spark: SparkSession, folder: str) -> str:
+    """The part of the watched folder without wildcards, as paths of its files begin."""
+    fixed = re.split(r"[^/]*[*?\[{\\]", folder, maxsplit=1)[0] or "."
+    path = spark._jvm.org.apache.hadoop.fs.Path(fixed)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString().rstrip("/")
+
+
+def literal(path: str) -> str:
+    """The path as a pattern that only it fits."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def stream_objects(
     spark: SparkSession,
     folder: str,
@@ -91,7 +115,7 @@ def stream_objects(
     every: str | None = None,
     outcomes: Layer | None = None,
 ) -> StreamingQuery:
-    """Land whole files under ``destination``, by file name, unread.
+    """Land whole files under ``destination``, by their path below ``folder``, unread.
 
     The stream carries names only. The bytes of a batch's winners, at most
     ``max_files`` of them, are read once, straight into the write. With
@@ -107,10 +131,12 @@ def stream_objects(
         .select("path", "modificationTime", "length")
     )
 
+    below = F.substr(F.col("path"), F.lit(len(watched_root(spark, folder)) + 2))
+
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         load_id = batch_load_id(name, checkpoint, batch_id)
-        key = target_key(F.lit(destination), basename(F.col("path")))
+        key = target_key(F.lit(destination), below)
         arrived = pin(batch.withColumn("target_key", key), "arrivals")
         storable = arrived.where(F.col("length") <= MAX_OBJECT_LENGTH)
         first = resolve_conflicts(storable, order=("modificationTime", "path"))
@@ -118,7 +144,7 @@ def stream_objects(
         # All of this is bounded by max_files, like the file list the stream itself holds.
         few = fits_broadcast(first, "target_key")
         fresh = pin(skip_landed(first, landed, few=few).select("path", "target_key"), "fresh")
-        paths = [row.path for row in fresh.select("path").toLocalIterator()]
+        paths = [literal(row.path) for row in fresh.select("path").toLocalIterator()]
         if paths:
             objects = session.read.format("binaryFile").load(paths).join(fresh, "path")
             rows = objects.withColumn("content_type", content_type(F.col("target_key")))

@@ -223,7 +223,19 @@ def test_layer_names(spark):
         with pytest.raises(ValueError):
             layer_root(*bad)
     with pytest.raises(ValueError):
-        Layer("x").load_path("../y")
+        Layer("x").load_path("../y", 1)
+
+
+def test_loads_count_in_the_order_they_were_written(spark):
+    layer = Layer(scratch_path(spark, "l"))
+    rows = offer(spark, candidate((0, 0, 0), "k", "a"))
+    for load_id in ("load-9", "load-10", "a"):
+        SINKS["local"](rows, stock(spark, a=load_id), layer, load_id)
+    newest = [r.content.decode() for r in layer.latest(spark).collect()]
+    assert newest == ["a"]
+    # A load that runs again keeps its place.
+    SINKS["local"](rows, stock(spark, a="again"), layer, "load-9")
+    assert [r.content.decode() for r in layer.latest(spark).collect()] == ["a"]
 
 
 PAGE = "<a href=one.csv>1</a><a href='/two.csv'>2</a><a href=no.txt>n</a><a href=one.csv>again</a>"
