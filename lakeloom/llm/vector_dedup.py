@@ -8,7 +8,8 @@ random, are robust-pruned to ``DEGREE``, and edges are laid both ways. The lists
 from its shards are united. Then every class is searched: from the block's medoid a greedy
 search with a beam, whose range widens through every node near enough, until none is left.
 All blocks of a shard are searched by all others, so a large group costs more tasks, not
-larger ones. Links are verified by cosine in double precision on the given vectors.
+larger ones, and a task asks ``ASKED`` queries at a time, so a block of nothing but near
+copies holds two flags a pair and no more. Links are verified by cosine in double precision on the given vectors.
 
 A pair may share several shards; it is counted in the first that both have. Each task
 reports counts and a spanning star of the links it found, never pairs. ``recall`` measures
@@ -43,6 +44,8 @@ CANDIDATES = 64
 DRAWN = 32
 ALPHA = 1.2
 BEAM = 16
+ASKED = 256
+PAIRS = 1 << 15
 SLACK = 0.03  # how far below the similarity the range goes on
 
 
@@ -54,6 +57,15 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def dots(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of rows ``i`` of ``a`` with rows ``j`` of ``b``, ``PAIRS`` at a time."""
+    out = np.empty(len(i), a.dtype)
+    for at in range(0, len(i), PAIRS):
+        part = slice(at, at + PAIRS)
+        out[part] = (a[i[part]] * b[j[part]]).sum(1)
+    return out
+
+
 def robust_graph(x: np.ndarray, seed: int = 7) -> list[np.ndarray]:
     """Neighbours of each row: candidates pruned where a closer one already leads there."""
     n = len(x)
@@ -126,15 +138,15 @@ def search(queries: np.ndarray, x: np.ndarray, lists: np.ndarray, start: int, le
     todo = np.argwhere(inside & ~opened)
     while len(todo):
         following = []
-        for part in np.array_split(todo, -(-len(todo) // 20_000)):
+        for part in np.array_split(todo, -(-len(todo) // 2000)):
             opened[part[:, 0], part[:, 1]] = True
             found = lists[part[:, 1]]
             new = ~met[part[:, :1], found]
-            pairs = np.unique(np.stack((np.broadcast_to(part[:, :1], found.shape)[new], found[new]), 1), axis=0)
-            met[pairs[:, 0], pairs[:, 1]] = True
-            close = np.einsum("pd,pd->p", q[pairs[:, 0]], x[pairs[:, 1]]) >= least
-            inside[pairs[close, 0], pairs[close, 1]] = True
-            following.append(pairs[close])
+            who, what = np.divmod(np.unique((part[:, :1] * (m + 1) + found)[new]), m + 1)
+            met[who, what] = True
+            close = dots(q, x, who, what) >= least
+            inside[who[close], what[close]] = True
+            following.append(np.stack((who[close], what[close]), 1))
         todo = np.concatenate(following)
     return inside
 
@@ -146,10 +158,13 @@ def _assigned(classes: DataFrame) -> DataFrame:
         if not len(members):
             return pd.DataFrame({"node": [], "centres": []})
         centres = centres.sort_values("place")
-        near = unit(matrix(members["embedding"])) @ unit(matrix(centres["embedding"])).T
-        k = min(OVERLAP, near.shape[1])
-        top = np.sort(np.argpartition(-near, k - 1, 1)[:, :k], 1)
-        return pd.DataFrame({"node": members["node"].to_numpy(), "centres": list(top)})
+        given, to = unit(matrix(members["embedding"])), unit(matrix(centres["embedding"])).T
+        k = min(OVERLAP, to.shape[1])
+        top = []
+        for at in range(0, len(given), ASKED):
+            far = -(given[at : at + ASKED] @ to)
+            top += list(np.sort(np.argpartition(far, k - 1, 1)[:, :k], 1))
+        return pd.DataFrame({"node": members["node"].to_numpy(), "centres": top})
 
     sizes = classes.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
     wanted = F.least(F.lit(CENTRES), F.ceil(F.col("n") / PER_CENTRE))
@@ -213,28 +228,39 @@ def _near(classes: DataFrame, similarity: float) -> DataFrame:
             place = place[nodes[place] == own]
             lists[k, : len(place)] = place
         medoid = int((x @ x.mean(0)).argmax())
-        pairs = np.argwhere(search(q, x, lists, medoid, similarity - SLACK))
-        a, b = asked[pairs[:, 0]], given[pairs[:, 1]]
-        cosine = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
-        pairs = pairs[cosine >= similarity]
-        asks, copies_of_asks = asking["node"].to_numpy(), asking["copies"].to_numpy()
+        lengths_of_asked, lengths = np.sqrt((asked * asked).sum(1)), np.sqrt((given * given).sum(1))
+        slices = range(0, len(q), ASKED)
+        linked = np.zeros((len(q), len(x)), bool)
+        for at in slices:
+            who, what = np.nonzero(search(q[at : at + ASKED], x, lists, medoid, similarity - SLACK))
+            who += at
+            near = dots(asked, given, who, what) / (lengths_of_asked[who] * lengths[what]) >= similarity
+            linked[who[near], what[near]] = True
+        asks, copies_of_asks, copies = asking["node"].to_numpy(), asking["copies"].to_numpy(), target["copies"].to_numpy()
         if low == high:
-            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-            pairs = np.unique(np.sort(pairs, 1), axis=0)
-        one, two = matrix(asking["centres"])[pairs[:, 0]], matrix(target["centres"])[pairs[:, 1]]
-        common = np.where((one[:, :, None] == two[:, None, :]).any(2), one, np.inf).min(1, initial=np.inf)
-        counted = pairs[common == centre]
+            linked = np.triu(linked | linked.T, 1)
+        of_asks, of_targets = matrix(asking["centres"]), matrix(target["centres"])
         every = np.unique(np.concatenate((asks, nodes)))
         left, right = np.searchsorted(every, asks), np.searchsorted(every, nodes)
-        links = np.zeros(len(every), np.int64)
-        np.add.at(links, left[counted[:, 0]], target["copies"].to_numpy()[counted[:, 1]])
-        np.add.at(links, right[counted[:, 1]], copies_of_asks[counted[:, 0]])
-        root, u, v = np.arange(len(every)), left[pairs[:, 0]], right[pairs[:, 1]]
+        links, root = np.zeros(len(every), np.int64), np.arange(len(every))
+        for at in slices:
+            who, what = np.nonzero(linked[at : at + ASKED])
+            who += at
+            shared = np.full(len(who), np.inf)
+            for own in of_asks.T:
+                common = (own[who, None] == of_targets[what]).any(1)
+                shared = np.where(common, np.minimum(shared, own[who]), shared)
+            first = shared == centre
+            np.add.at(links, left[who[first]], copies[what[first]])
+            np.add.at(links, right[what[first]], copies_of_asks[who[first]])
         while True:
             before = root.copy()
-            least = np.minimum(root[u], root[v])
-            np.minimum.at(root, u, least)
-            np.minimum.at(root, v, least)
+            for at in slices:
+                who, what = np.nonzero(linked[at : at + ASKED])
+                u, v = left[who + at], right[what]
+                least = np.minimum(root[u], root[v])
+                np.minimum.at(root, u, least)
+                np.minimum.at(root, v, least)
             root = root[root]
             if (root == before).all():
                 break
