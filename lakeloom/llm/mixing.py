@@ -9,8 +9,8 @@ and the smallest are taken until the source's remaining words are as near to rea
 whole documents allow. ``u`` is a hash of the row, so reruns agree.
 
 The cut is found without sorting a source: ranks are counted in ``BINS`` bins with
-map-side sums, the bins of a source are accumulated, and only the bin that holds the cut
-is ordered. With more rows a bin holds more, but always one part in ``BINS`` of a source.
+map-side sums. Ranges of ``RANGE`` bins are accumulated, then the bins of the range that
+holds the cut, and only the bin that holds the cut is ordered. With more rows a bin holds more, but always one part in ``BINS`` of a source.
 
 Nulls, empty texts, ties: a null text has size 0; documents of size 0 take part and count
 nothing. A null source is a source of its own, last in order. Equal rows share their fate,
@@ -31,6 +31,7 @@ from ..session import pin
 WEIGHTS = (1.0, 2.0, 3.0)
 CAP = 3
 BINS = 1 << 16
+RANGE = 1 << 8
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -72,6 +73,16 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = C
     return weighed.select("nameless", "name", "source_size", target.alias("target"))
 
 
+def _crossing(counted: DataFrame, at: str) -> DataFrame:
+    """Per source the value of ``at`` where the sizes reach ``left``, and their sum before it."""
+    source = ["nameless", "name"]
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*source).orderBy(at))
+    reached = counted.withColumn("upto", upto).where("upto >= left AND upto - n < left")
+    return reached.groupBy(*source).agg(
+        F.min(at).alias(f"cut_{at}"), F.min_by(F.col("upto") - F.col("n"), at).alias("before")
+    )
+
+
 def mixed(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: int = 17, bins: int = BINS
 ) -> DataFrame:
@@ -108,12 +119,10 @@ def mixed(
     )
     open_rows = known.where("rank IS NOT NULL")
     counted = open_rows.groupBy(*source, "left", "bin").agg(F.sum("size").alias("n"))
-    run = Window.partitionBy(*source).orderBy("bin")
-    counted = counted.select(*source, "left", "bin", "n", F.sum("n").over(run).alias("upto"))
-    cut = counted.where("upto >= left AND upto - n < left").groupBy(*source).agg(
-        F.min("bin").alias("cut_bin"), F.min_by(F.col("upto") - F.col("n"), "bin").alias("before")
-    )
-    cut = pin(cut, "cut")
+    counted = pin(counted.withColumn("range", F.floor(F.col("bin") / RANGE)), "bins")
+    ranges = counted.groupBy(*source, "left", "range").agg(F.sum("n").alias("n"))
+    wide = _crossing(ranges.withColumn("before", F.lit(0).cast("bigint")), "range")
+    cut = pin(_crossing(counted.join(wide, source).where("range = cut_range"), "bin"), "cut")
     inside = open_rows.join(cut, source).where("bin = cut_bin")
     ranked = inside.groupBy(*source, "rank", "left", "before").agg(F.sum("size").alias("n"))
     order = Window.partitionBy(*source).orderBy("rank")
