@@ -74,13 +74,9 @@ def group_candidates(candidates: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at"))
 
 
-def with_presence(groups: DataFrame, objects: DataFrame, max_length: int) -> DataFrame:
+def with_presence(groups: DataFrame, stored: DataFrame) -> DataFrame:
     """Adds how many copies of the object were fetched and can be stored."""
-    fetched = (
-        objects.where(F.col("length") <= max_length)
-        .groupBy("object_id")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    fetched = stored.groupBy("object_id").agg(F.count(F.lit(1)).alias("copies"))
     return groups.join(fetched, "object_id", "left")
 
 

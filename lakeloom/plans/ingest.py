@@ -19,7 +19,10 @@ from ..sources import SourceSpec, candidates
 
 @dataclass(frozen=True)
 class Fetched:
-    """What was fetched beforehand: pages, and objects ``(object_id, length, content)``."""
+    """What was fetched beforehand: pages, and objects ``(object_id, length, content)``.
+
+    With a column ``path``, an object too long for a cell is landed from its file.
+    """
 
     pages: DataFrame
     objects: DataFrame

@@ -369,6 +369,12 @@ def arriving_objects(spark: SparkSession, folder: str) -> DataFrame:
         spark, folder, layer, "raw", checkpoint=scratch_path(spark, "stream"), glob="*.parquet"
     )
     stream.awaitTermination()
-    return layer.read(spark).select(
-        "target_key", "content_type", (F.length("content") == F.col("length")).alias("is_whole")
-    )
+    rows = layer.read(spark)
+    size = F.length("content").cast("long")
+    landed = rows.where("path IS NULL").select("target_key", "content_type", "length", size.alias("size"))
+    long = rows.where("path IS NOT NULL").select("target_key", "content_type", "length", "path")
+    if not long.isEmpty():
+        files = read_objects(spark, f"{layer.root}/_files").select("path", F.col("length").alias("size"))
+        landed = landed.unionByName(long.join(files, "path", "left").drop("path"))
+    whole = F.coalesce(F.col("size") == F.col("length"), F.lit(False))
+    return landed.select("target_key", "content_type", whole.alias("is_whole"))

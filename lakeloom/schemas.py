@@ -48,11 +48,14 @@ FILES = _struct(
     content=T.BinaryType(),
 )
 
+# A long object lies in a file of its own: content is NULL, path and sha256 are set.
 LANDED = _struct(
     target_key=T.StringType(),
     content_type=T.StringType(),
     length=T.LongType(),
     content=T.BinaryType(),
+    path=T.StringType(),
+    sha256=T.StringType(),
 )
 
 OUTCOMES = _struct(source_type=T.StringType(), status=T.StringType(), n=T.LongType())

@@ -5,7 +5,7 @@ A landed table is plain parquet below one root, one folder
 written; ids are names and need not sort. A load only ever writes its own folder
 and replaces it as a whole, so a load that is run again after a failure leaves
 the same table, at the same place in the order, as one that ran once. A layer
-has one writer at a time.
+has one writer at a time. Objects too long for a cell lie in files below ``_files``.
 """
 
 from __future__ import annotations
@@ -53,6 +53,12 @@ def layer_path(lake: Column, layer: Column, prefix: Column, name: Column) -> Col
     return F.when(valid, path)
 
 
+def _named(load_id: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
+        raise ValueError(f"load_id has letters, digits, '_', '.' and '-' only, not {load_id!r}")
+    return load_id
+
+
 @dataclass(frozen=True)
 class Layer:
     """A landed table; ``schema`` is that of its rows, without ``load_seq`` and ``load_id``."""
@@ -61,9 +67,11 @@ class Layer:
     schema: T.StructType = LANDED
 
     def load_path(self, load_id: str, load_seq: int) -> str:
-        if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
-            raise ValueError(f"load_id has letters, digits, '_', '.' and '-' only, not {load_id!r}")
-        return f"{self.root}/load_seq={load_seq}/load_id={load_id}"
+        return f"{self.root}/load_seq={load_seq}/load_id={_named(load_id)}"
+
+    def files_path(self, load_id: str) -> str:
+        """Where the long objects of a load lie, out of sight of scans of the table."""
+        return f"{self.root}/_files/load_id={_named(load_id)}"
 
     def load_seq(self, spark: SparkSession, load_id: str) -> int:
         """The number of a load: the one it has, or the next. No column of a row is read."""

@@ -1,0 +1,95 @@
+"""Objects too long for a cell: copied file to file by tasks, never held as a whole.
+
+A copy is written under a temporary name next to its place and then renamed, so a file
+under its final name is whole. The place follows from the load and the key: an attempt
+that runs again puts the same file there. The row keeps path, length and digest.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Iterable, Iterator
+from hashlib import sha256
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A longer object is not read into a cell if it lies in a file of its own.
+CELL_BYTES = 128 * 1024 * 1024
+# Spark cannot make a longer cell.
+LONGEST_CELL = 2**31 - 16
+CHUNK_BYTES = 8 * 1024 * 1024
+
+
+def resolved(spark: SparkSession, folder: str) -> str:
+    """The folder's own place, without mount points only Hadoop knows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.resolvePath(path).toString().rstrip("/")
+
+
+def made(spark: SparkSession, folder: str) -> str:
+    """The folder, made if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return resolved(spark, folder)
+
+
+def locate(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, without escapes, and the path there."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        rest = rest if colon else path
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
+
+
+def copy_file(source: str, target: str, length: int) -> str:
+    """Copy by chunks; the digest. A file that is not as long as listed is not landed."""
+    system, path = locate(source)
+    to_system, to_path = locate(target)
+    part = f"{to_path}.{uuid.uuid4().hex}.tmp"
+    digest, copied = sha256(), 0
+    try:
+        with system.open_input_stream(path, compression=None) as given:
+            with to_system.open_output_stream(part, compression=None) as out:
+                while chunk := given.read(CHUNK_BYTES):
+                    out.write(chunk)
+                    digest.update(chunk)
+                    copied += len(chunk)
+        if copied != length:
+            raise OSError(f"{source} was listed with {length} bytes and has {copied}")
+        to_system.move(part, to_path)
+    except BaseException:
+        if to_system.get_file_info(part).type == fs.FileType.File:
+            to_system.delete_file(part)
+        raise
+    return digest.hexdigest()
+
+
+def copied(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows ``(target_key, length, path)`` with their files copied to ``folder``, path and digest there."""
+    spark = rows.sparkSession
+    parent = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    mounted = rows.where("path LIKE 'viewfs:%'").select(parent.alias("folder")).distinct()
+    mounts = {r.folder: resolved(spark, r.folder) for r in mounted.toLocalIterator()}
+    folder = made(spark, folder)
+
+    def copy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                above, _, name = row["path"].rpartition("/")
+                source = f"{mounts.get(above, above)}/{name}"
+                target = f"{folder}/{sha256(row['target_key'].encode()).hexdigest()}"
+                digest = copy_file(source, target, row["length"])
+                yield pa.RecordBatch.from_pylist(
+                    [{"target_key": row["target_key"], "length": row["length"], "path": target, "sha256": digest}]
+                )
+
+    # A task each: a copy is long, and files next to each other need not wait.
+    dealt = rows.select("target_key", "length", "path").repartition(rows.count() or 1, "target_key")
+    return dealt.mapInArrow(copy, "target_key string, length bigint, path string, sha256 string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.media import content_type
@@ -20,12 +20,10 @@ from ..operators.landing import (
     with_presence,
 )
 from ..session import pin
+from . import long_objects
 from .layer import Layer
 from .registry import sink
 
-# A cell cannot hold more; a longer object counts as failed.
-MAX_OBJECT_LENGTH = 2_000_000_000
-
 # Up to this size, names and overhead together, the winners of a load are broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 64
@@ -48,8 +46,39 @@ def fits_broadcast(rows: DataFrame, *names: str) -> bool:
     return (rows.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
 
 
+def _in_file(objects: DataFrame) -> Column:
+    """Whether an object is landed from its own file, which bounds no length."""
+    if "path" not in objects.columns:
+        return F.lit(False)
+    return F.col("path").isNotNull() & (F.col("length") > long_objects.CELL_BYTES)
+
+
+def storable(objects: DataFrame) -> DataFrame:
+    """The objects that have bytes: in a file of any length, or in a cell."""
+    return objects.where(_in_file(objects) | (F.col("length") <= long_objects.LONGEST_CELL))
+
+
+def _parts(objects: DataFrame) -> DataFrame:
+    """Rows ``(object_id, length, content, path)``: the bytes in a cell, or the path of a long object.
+
+    No file above ``CELL_BYTES`` is read: the scan leaves it out by its length.
+    """
+    if "path" not in objects.columns:
+        cells = objects.where(F.col("length") <= long_objects.LONGEST_CELL)
+        return cells.withColumn("path", F.lit(None).cast("string"))
+    no_path, no_content = F.lit(None).cast("string"), F.lit(None).cast("binary")
+    short = objects.where(F.col("length") <= long_objects.CELL_BYTES).withColumn("path", no_path)
+    files = objects.where(_in_file(objects)).withColumn("content", no_content)
+    parts = short.unionByName(files)
+    above = (F.col("length") > long_objects.CELL_BYTES) & (F.col("length") <= long_objects.LONGEST_CELL)
+    cells = objects.where(above & F.col("path").isNull())
+    if not cells.select("object_id").isEmpty():
+        parts = parts.unionByName(cells)
+    return parts
+
+
 def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
-    """The winners with their bytes.
+    """The winners with their bytes, or with the path of a long object's file.
 
     ``winners`` is a written table without bytes. While its measured size is
     small it is broadcast and the bytes go from scan to write without a shuffle;
@@ -57,7 +86,7 @@ def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
     objects are a table bucketed by ``object_id``. Objects fetched more than
     once are few; only those are ranked.
     """
-    stored = objects.where(F.col("length") <= MAX_OBJECT_LENGTH)
+    stored = _parts(objects).select("object_id", "length", "content", "path")
     small = fits_broadcast(winners, "object_id", "target_key")
 
     def rows(which: str) -> DataFrame:
@@ -67,11 +96,25 @@ def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
     payload = rows("copies = 1")
     if not winners.where("copies > 1").isEmpty():
         rank = F.row_number().over(
-            Window.partitionBy("target_key").orderBy(F.desc("length"), F.sha2("content", 256))
+            Window.partitionBy("target_key").orderBy(
+                F.desc("length"), F.sha2("content", 256), "path"
+            )
         )
         ranked = rows("copies > 1").withColumn("_rank", rank)
         payload = payload.unionByName(ranked.where("_rank = 1").drop("_rank"))
-    return payload.withColumn("content_type", content_type(F.col("target_key")))
+    return payload
+
+
+def write_objects(rows: DataFrame, layer: Layer, load_id: str) -> None:
+    """Write a load of ``(target_key, length, content, path)``; files named by a path are copied."""
+    digest = F.lit(None).cast("string")
+    cells = rows.where("path IS NULL").withColumn("sha256", digest)
+    names = rows.where("path IS NOT NULL").select("target_key", "length", "path")
+    if not names.isEmpty():
+        names = pin(names, "long")
+        files = long_objects.copied(names, layer.files_path(load_id))
+        cells = cells.unionByName(files.withColumn("content", F.lit(None).cast("binary")))
+    layer.write(cells.withColumn("content_type", content_type(F.col("target_key"))), load_id)
 
 
 @dataclass(frozen=True)
@@ -99,7 +142,7 @@ def decide(
     The choice is written down before the layer changes: what is counted later is
     what was decided, and no later step repeats the extraction of links.
     """
-    groups = pin(with_presence(group_candidates(candidates), objects, MAX_OBJECT_LENGTH), "groups")
+    groups = pin(with_presence(group_candidates(candidates), storable(objects)), "groups")
     winners = pin(pick_winners(groups, mode), "winners")
     if mode == FIRST:
         landed = layer.read(candidates.sparkSession, besides=load_id)
@@ -114,7 +157,7 @@ def land(
     """Decide on keys, write the bytes, return counts ``(source_type, status, n)``."""
     load_id = load_id or new_load_id()
     decision = decide(candidates, objects, layer, mode, load_id)
-    layer.write(_payload(decision.winners, objects), load_id)
+    write_objects(_payload(decision.winners, objects), layer, load_id)
     return decision.counts()
 
 
@@ -139,8 +182,9 @@ def keep_last(
 
 
 def rewrite(layer: Layer, fresh: Layer, spark: SparkSession, load_id: str | None = None) -> Layer:
-    """Write the newest row of each key to another, empty root."""
+    """Write the newest row of each key to another, empty root, long objects with their files."""
     if fresh.root == layer.root:
         raise ValueError("a layer cannot be rewritten onto the path it is read from")
-    fresh.write(layer.latest(spark), load_id or new_load_id())
+    rows = layer.latest(spark).select("target_key", "length", "content", "path")
+    write_objects(rows, fresh, load_id or new_load_id())
     return fresh

@@ -25,13 +25,13 @@ def read_objects(spark: SparkSession, path: str, glob: str | None = None) -> Dat
 
 
 def archive_objects(objects: DataFrame) -> DataFrame:
-    """Fetched archives as ``(object_id, length, content)``.
+    """Fetched archives as ``(object_id, length, content, path)``.
 
     An archive lies in a folder named after its owner, so the last two parts of
     its path are the dataset's name and the download ending.
     """
     object_id = F.substring_index("path", "/", -2)
-    return objects.select(object_id.alias("object_id"), "length", "content")
+    return objects.select(object_id.alias("object_id"), "length", "content", "path")
 
 
 def file_names(objects: DataFrame) -> DataFrame:

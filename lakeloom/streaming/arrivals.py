@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.media import content_type
 from ..functions.urls import target_key
 from ..operators.landing import resolve_conflicts, skip_landed
 from ..schemas import FILES
 from ..session import pin
+from ..sinks import long_objects
 from ..sinks.layer import Layer
-from ..sinks.object_sinks import MAX_OBJECT_LENGTH, fits_broadcast
+from ..sinks.object_sinks import fits_broadcast, write_objects
 from ..sinks.row_sink import land_rows
 
 
@@ -118,7 +118,8 @@ def stream_objects(
     """Land whole files under ``destination``, by their path below ``folder``, unread.
 
     The stream carries names only. The bytes of a batch's winners, at most
-    ``max_files`` of them, are read once, straight into the write. With
+    ``max_files`` of them, are read once, straight into the write; long files are
+    copied file to file. With
     ``outcomes``, a table ``(status, n)``, each batch also records its counts.
     """
     names = (
@@ -138,19 +139,20 @@ def stream_objects(
         load_id = batch_load_id(name, checkpoint, batch_id)
         key = target_key(F.lit(destination), below)
         arrived = pin(batch.withColumn("target_key", key), "arrivals")
-        storable = arrived.where(F.col("length") <= MAX_OBJECT_LENGTH)
-        first = resolve_conflicts(storable, order=("modificationTime", "path"))
+        first = resolve_conflicts(arrived, order=("modificationTime", "path"))
         landed = layer.read(session, besides=load_id)
         # All of this is bounded by max_files, like the file list the stream itself holds.
         few = fits_broadcast(first, "target_key")
-        fresh = pin(skip_landed(first, landed, few=few).select("path", "target_key"), "fresh")
-        paths = [literal(row.path) for row in fresh.select("path").toLocalIterator()]
+        fresh = pin(skip_landed(first, landed, few=few).select("path", "target_key", "length"), "fresh")
+        short = fresh.where(F.col("length") <= long_objects.CELL_BYTES).select("path", "target_key")
+        long = fresh.where(F.col("length") > long_objects.CELL_BYTES)
+        rows = long.withColumn("content", F.lit(None).cast("binary"))
+        paths = [literal(row.path) for row in short.select("path").toLocalIterator()]
         if paths:
-            objects = session.read.format("binaryFile").load(paths).join(fresh, "path")
-            rows = objects.withColumn("content_type", content_type(F.col("target_key")))
-        else:
-            rows = session.createDataFrame([], layer.schema)
-        layer.write(rows, load_id)
+            objects = session.read.format("binaryFile").load(paths).join(short, "path")
+            cells = objects.select("target_key", "length", "content", F.lit(None).cast("string").alias("path"))
+            rows = rows.unionByName(cells)
+        write_objects(rows, layer, load_id)
         if outcomes is not None:
             outcomes.write(_batch_counts(arrived, fresh), load_id)
 
@@ -159,9 +161,7 @@ def stream_objects(
 
 def _batch_counts(arrived: DataFrame, fresh: DataFrame) -> DataFrame:
     one = F.lit(1).cast("long")
-    status = F.when(F.col("length") <= MAX_OBJECT_LENGTH, F.lit("skipped_exists")).otherwise(
-        F.lit("failed")
-    )
+    status = F.lit("skipped_exists")
     # A landed file moves from skipped to landed.
     moves = F.array(
         F.struct(F.lit("landed").alias("status"), one.alias("n")),
