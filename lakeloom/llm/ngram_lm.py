@@ -1,4 +1,4 @@
-"""A bigram model in an Elias-Fano trie, learned and queried by tasks.
+"""A trigram model in an Elias-Fano trie, learned and queried by tasks.
 
 Level 1 holds the vocabulary: sorted word hashes in Elias-Fano form with exact counts.
 A word's place is its number. Level 2 holds, for each context, its successors: the
@@ -6,13 +6,16 @@ sequence ``context * V + successor``, so a search is relative to the context, mo
 pointers from contexts to their successors, and for each successor its discounted
 probability ``(n - d) / n(context)`` in 8 bits on a logarithmic scale. The model
 interpolates: ``p(w | c) = discounted + d * distinct(c) / n(c) * p1(w)``, where ``p1``
-adds one to each count. An unknown context leaves ``p1``.
+adds one to each count. An unknown context leaves ``p1``. Level 3 is of the same form: a
+context is the place of a bigram in level 2, which also holds exact counts as a monotone
+sequence of their sums, and ``p(w | b, c)`` interpolates with ``p(w | c)``. A context that
+was not seen, and the first token of a text, leave ``p(w | c)``.
 
-Both levels are cut into files: level 1 by ranges of hashes, level 2 by ranges of
+All levels are cut into files: level 1 by ranges of hashes, levels 2 and 3 by ranges of
 contexts with about ``SHARD_TOKENS`` tokens each; a popular context is cut by
-successors. Bigrams are counted per task first and travel as sorted blocks. A scoring
-task maps the files it needs into memory and asks for the distinct words and bigrams of
-a few MiB of text at a time. Nothing but file names passes through the driver.
+successors. Bigrams and trigrams are counted per task first and travel as sorted blocks. A
+scoring task maps the files it needs into memory and asks for the distinct words, bigrams
+and trigrams of a few MiB of text at a time. Nothing but file names passes through the driver.
 
 Nulls, empty texts, ties: a null or empty text is the end token alone. Rows that repeat
 a doc_id are counted and scored each. A row without a doc_id is trained on. Without
@@ -116,9 +119,9 @@ class Vocabulary:
 
 
 class Successors:
-    """Level 2: files ``(path, first key)`` in order of keys ``context * width + successor``."""
+    """Level 2: files ``(path, first key, bigrams before)`` in order of keys ``context * width + successor``."""
 
-    def __init__(self, files: list[tuple[str, int]], width: int):
+    def __init__(self, files: list[tuple[str, int, int]], width: int):
         self.files, self.width = files, np.uint64(width)
         self.firsts = np.array([f[1] for f in files], np.uint64)
         self.open: dict[int, tuple] = {}
@@ -128,20 +131,32 @@ class Successors:
             arrays = load(self.files[k][0])
             self.open[k] = (
                 EliasFano(arrays), EliasFano(arrays, "pointer_"), arrays["code"], arrays["book"],
-                arrays["context"], int(arrays["last"][0]),
+                arrays["context"], int(arrays["last"][0]), EliasFano(arrays, "upto_"),
             )
         return self.open[k]
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Discounted probabilities of sorted keys, 0 where a bigram was not seen."""
-        out = np.zeros(len(keys))
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted probabilities of sorted keys and their places, 0 and -1 where a bigram was not seen."""
+        out, places = np.zeros(len(keys)), np.full(len(keys), -1)
         shard = np.searchsorted(self.firsts, keys, "right") - 1
         for k in np.unique(shard[shard >= 0]):
-            level, _, code, book, _, last = self._file(int(k))
+            level, _, code, book, _, last, _ = self._file(int(k))
             at = np.flatnonzero((shard == k) & (keys <= np.uint64(last)))
             if len(at):
                 place, equal = level.successor(keys[at] - self.firsts[k])
                 out[at[equal]] = book[code[place[equal]]]
+                places[at[equal]] = place[equal] + self.files[k][2]
+        return out, places
+
+    def counts(self, places: np.ndarray) -> np.ndarray:
+        """How often each of the sorted places of bigrams was counted."""
+        out = np.zeros(len(places), np.int64)
+        cuts = [*np.searchsorted(places, [f[2] for f in self.files]), len(places)]
+        for k, (_, _, before) in enumerate(self.files):
+            part = slice(cuts[k], cuts[k + 1])
+            if part.start < part.stop:
+                upto, at = self._file(k)[6], places[part] - before
+                out[part] = pointers_at(upto, at) - np.where(at > 0, pointers_at(upto, np.maximum(at - 1, 0)), 0)
         return out
 
     def distinct(self, contexts: np.ndarray) -> np.ndarray:
@@ -153,7 +168,7 @@ class Successors:
                 self.files
             ) else len(contexts)
             if lo < hi:
-                _, pointers, _, _, listed, _ = self._file(k)
+                _, pointers, _, _, listed, _, _ = self._file(k)
                 asked = contexts[lo:hi]
                 place = np.minimum(np.searchsorted(listed, asked), len(listed) - 1)
                 same = listed[place] == asked
@@ -164,6 +179,39 @@ class Successors:
         return out
 
 
+class Trigrams:
+    """Level 3: files ``(path, first key, trigrams before)`` in order of keys ``place of the bigram * width + successor``."""
+
+    def __init__(self, files: list[tuple[str, int, int]], total: int, width: int):
+        self.files, self.width = files, np.uint64(width)
+        self.firsts = np.array([f[1] for f in files], np.uint64)
+        self.ends = [f[2] for f in files[1:]] + [total]
+        self.open: dict[int, tuple] = {}
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted probabilities of sorted keys, 0 where not seen, and how many trigrams are smaller."""
+        out, smaller = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+        shard = np.searchsorted(self.firsts, keys, "right") - 1
+        for k in np.unique(shard[shard >= 0]).tolist():
+            if k not in self.open:
+                arrays = load(self.files[k][0])
+                self.open[k] = EliasFano(arrays), arrays["code"], arrays["book"], int(arrays["last"][0])
+            level, code, book, last = self.open[k]
+            at = np.flatnonzero(shard == k)
+            smaller[at] = self.ends[k]
+            at = at[keys[at] <= np.uint64(last)]
+            if len(at):
+                place, equal = level.successor(keys[at] - self.firsts[k])
+                out[at[equal]] = book[code[place[equal]]]
+                smaller[at] = place + self.files[k][2]
+        return out, smaller
+
+    def distinct(self, places: np.ndarray) -> np.ndarray:
+        """How many successors each of the sorted bigrams has, over all files that hold a part."""
+        contexts = places.astype(np.uint64)
+        return self.find((contexts + np.uint64(1)) * self.width)[1] - self.find(contexts * self.width)[1]
+
+
 def pointers_at(sequence: EliasFano, i: np.ndarray) -> np.ndarray:
     """Entries of an Elias-Fano sequence: high part by the ``i``-th one, low part as it lies."""
     ones = getattr(sequence, "ones", None)
@@ -245,6 +293,36 @@ def learn_vocabulary(train: DataFrame, folder: str) -> DataFrame:
     return pin(files, "level1")
 
 
+def blocks(tally: Tally, cuts: np.ndarray) -> pa.RecordBatch:
+    """What a task counted, as one sorted block of keys for each shard; keys as steps, which are small."""
+    keys, counts = tally.take()
+    at = [*np.searchsorted(keys, cuts), len(keys)]
+    parts = [(k, slice(at[k], at[k + 1])) for k in range(len(cuts)) if at[k] < at[k + 1]]
+    columns = [
+        pa.array([k for k, _ in parts], pa.int32()),
+        pa.array([planes(np.diff(keys[p], prepend=np.uint64(0))) for _, p in parts], pa.binary()),
+        pa.array([planes(counts[p]) for _, p in parts], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "keys", "counts"])
+
+
+def merged(shard: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and counts of all blocks of a shard."""
+    keys = [np.cumsum(from_planes(x, np.uint64), dtype=np.uint64) for x in shard["keys"]]
+    return add_up(keys, [from_planes(x, np.int64) for x in shard["counts"]])
+
+
+def coded(n: np.ndarray, totals: np.ndarray, discount: float) -> dict[str, np.ndarray]:
+    """Discounted probabilities in 8 bits on a logarithmic scale."""
+    log = np.log10((n - discount) / totals)
+    low, high = log.min(), log.max()
+    step = max(high - low, 1e-9)
+    return {
+        "code": np.rint((log - low) / step * 255).astype(np.uint8),
+        "book": 10 ** (low + np.arange(256) / 255 * step),
+    }
+
+
 def learn(docs: DataFrame, folder: str, discount: float) -> dict:
     """Learn from the rows that are not held out; what a scoring task needs to know."""
     spark = docs.sparkSession
@@ -264,57 +342,105 @@ def learn(docs: DataFrame, folder: str, discount: float) -> dict:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, tally = Vocabulary(files, size), Tally()
-
-        def blocks() -> pa.RecordBatch:
-            keys, counts = tally.take()
-            at = [*np.searchsorted(keys, cuts), len(keys)]
-            parts = [(k, slice(at[k], at[k + 1])) for k in range(len(cuts)) if at[k] < at[k + 1]]
-            columns = [
-                pa.array([k for k, _ in parts], pa.int32()),
-                pa.array([planes(keys[p]) for _, p in parts], pa.binary()),
-                pa.array([planes(counts[p]) for _, p in parts], pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["shard", "keys", "counts"])
-
         for batch in pieces(batches):
             tally.add(bigrams(batch, vocabulary)[0])
             if tally.size > HELD:
-                yield blocks()
-        yield blocks()
+                yield blocks(tally, cuts)
+        yield blocks(tally, cuts)
 
     def build(shard: pd.DataFrame) -> pd.DataFrame:
-        keys, n = add_up(
-            [from_planes(x, np.uint64) for x in shard["keys"]], [from_planes(x, np.int64) for x in shard["counts"]]
-        )
+        keys, n = merged(shard)
         first, last = int(cuts[shard["shard"].iloc[0]]), int(keys[-1])
         context = (keys // np.uint64(width)).astype(np.int64)
         listed, ends = np.unique(context, return_index=True)
         ends = np.concatenate((ends[1:], [len(keys)]))
         totals = context_counts(Vocabulary(files, size), listed, started)
-        log = np.log10((n - discount) / np.repeat(totals, np.diff(np.concatenate(([0], ends)))))
-        low, high = log.min(), log.max()
-        code = np.rint((log - low) / max(high - low, 1e-9) * 255).astype(np.uint8)
-        book = 10 ** (low + np.arange(256) / 255 * max(high - low, 1e-9))
+        codes = coded(n, np.repeat(totals, np.diff(np.concatenate(([0], ends)))), discount)
         pointers = encode(ends.astype(np.uint64), len(keys) + 1)
+        upto = np.cumsum(n)
+        sums = encode(upto.astype(np.uint64), int(upto[-1]) + 1)
         arrays = encode(keys - np.uint64(first), last - first + 1)
         path = f"{folder}/{uuid.uuid4().hex}.level2"
         save(
             path,
             arrays
             | {f"pointer_{k}": v for k, v in pointers.items()}
-            | {"code": code, "book": book, "context": listed, "last": np.array([last], np.uint64)},
+            | {f"upto_{k}": v for k, v in sums.items()}
+            | codes
+            | {"context": listed, "last": np.array([last], np.uint64)},
+        )
+        # Where level 3 is cut, as level 2 is.
+        steps = np.arange(SHARD_TOKENS, int(upto[-1]), SHARD_TOKENS)
+        place = np.searchsorted(upto, steps, "left")
+        share = (steps - (upto[place] - n[place])) / n[place]
+        return pd.DataFrame(
+            {"shard": [shard["shard"].iloc[0]], "path": [path], "n": [len(keys)], "place": [place], "share": [share]}
         )
-        return pd.DataFrame({"shard": [shard["shard"].iloc[0]], "path": [path]})
 
     counted = train.select("text").mapInArrow(count, "shard int, keys binary, counts binary")
-    level2 = pin(counted.groupBy("shard").applyInPandas(build, "shard int, path string"), "level2")
-    second = sorted((r.shard, r.path) for r in level2.collect())
+    built = "shard int, path string, n bigint, place array<bigint>, share array<double>"
+    level2 = pin(counted.groupBy("shard").applyInPandas(build, built), "level2")
+    second, places, above = [], 0, [0]
+    for r in level2.orderBy("shard").collect():
+        second.append((r.path, int(cuts[r.shard]), places))
+        # A cut after every SHARD_TOKENS tokens and after each file.
+        above += [(p + places) * width + int(s * size) for p, s in zip(r.place, r.share, strict=True)]
+        places += r.n
+        above.append(places * width)
+    third, trigrams = learn_trigrams(train, folder, discount, files, second, size, np.unique(np.array(above, np.uint64)))
     return {
         "files": files, "size": size, "tokens": total, "started": started,
-        "successors": [(path, int(cuts[k])) for k, path in second], "discount": discount,
+        "successors": second, "trigrams": (third, trigrams), "discount": discount,
     }
 
 
+def learn_trigrams(
+    train: DataFrame, folder: str, discount: float, files: list, second: list, size: int, cuts: np.ndarray
+) -> tuple[list[tuple[str, int, int]], int]:
+    """Count the trigrams and write level 3; its files and how many trigrams there are."""
+    width = size + 1
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, successors, tally = Vocabulary(files, size), Successors(second, width), Tally()
+        for batch in pieces(batches):
+            keys, *_, counts = bigrams(batch, vocabulary)
+            distinct, where = np.unique(keys, return_inverse=True)
+            tally.add(trigrams(keys, successors.find(distinct)[1][where], counts, width)[1])
+            if tally.size > HELD:
+                yield blocks(tally, cuts)
+        yield blocks(tally, cuts)
+
+    def build(shard: pd.DataFrame) -> pd.DataFrame:
+        keys, n = merged(shard)
+        first, last = int(cuts[shard["shard"].iloc[0]]), int(keys[-1])
+        contexts, where = np.unique((keys // np.uint64(width)).astype(np.int64), return_inverse=True)
+        path = f"{folder}/{uuid.uuid4().hex}.level3"
+        arrays = encode(keys - np.uint64(first), last - first + 1)
+        codes = coded(n, Successors(second, width).counts(contexts)[where], discount)
+        save(path, arrays | codes | {"last": np.array([last], np.uint64)})
+        return pd.DataFrame({"shard": [shard["shard"].iloc[0]], "path": [path], "n": [len(keys)]})
+
+    counted = train.select("text").mapInArrow(count, "shard int, keys binary, counts binary")
+    level3 = pin(counted.groupBy("shard").applyInPandas(build, "shard int, path string, n bigint"), "level3")
+    third, before = [], 0
+    for r in level3.orderBy("shard").collect():
+        third.append((r.path, int(cuts[r.shard]), before))
+        before += r.n
+    return third, before
+
+
+def trigrams(keys: np.ndarray, places: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Where tokens with a known bigram before them stand, and the keys of their trigrams.
+
+    ``keys`` and ``places`` are of the bigram that ends at each token; a first token has none before.
+    """
+    inner = np.ones(len(keys), bool)
+    inner[np.cumsum(counts) - counts] = False
+    at = np.flatnonzero(inner)
+    at = at[places[at - 1] >= 0]
+    return at, places[at - 1].astype(np.uint64) * np.uint64(width) + keys[at] % np.uint64(width)
+
+
 def context_counts(vocabulary: Vocabulary, contexts: np.ndarray, started: int) -> np.ndarray:
     """How often each sorted context was followed; the number ``size`` stands for a text's start."""
     out = np.full(len(contexts), started, np.int64)
@@ -354,15 +480,24 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, discount: float = DISC
     def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model["files"], size)
         successors = Successors(model["successors"], size + 1)
+        level3 = Trigrams(*model["trigrams"], size + 1)
         for batch in pieces(batches):
             keys, context, unknown, n, counts = bigrams(batch, vocabulary)
             p1 = (n + 1) / (total + size + 1)
             distinct, where = np.unique(keys, return_inverse=True)
-            seen = np.where(unknown, 0.0, successors.find(distinct)[where])
+            found, places = successors.find(distinct)
+            seen = np.where(unknown, 0.0, found[where])
+            places = np.where(unknown, -1, places[where])
             contexts, place = np.unique(context, return_inverse=True)
             followed = np.maximum(context_counts(vocabulary, contexts, model["started"]), 1)
             rest = (discount * successors.distinct(contexts) / followed)[place]
             p = seen + np.where(unknown, 1.0, np.where(rest > 0, rest, 1.0)) * p1
+            at, keys = trigrams(keys, places, counts, size + 1)
+            distinct, where = np.unique(keys, return_inverse=True)
+            seen = level3.find(distinct)[0][where]
+            known, place = np.unique(places[at - 1], return_inverse=True)
+            rest = discount * level3.distinct(known) / np.maximum(successors.counts(known), 1)
+            p[at] = seen + np.where(rest > 0, rest, 1.0)[place] * p[at]
             firsts = np.cumsum(counts) - counts
             sums = [np.add.reduceat(x, firsts) for x in ((n > 0).astype(np.int64), np.log10(p1), np.log10(p))]
             columns = [
