@@ -6,7 +6,7 @@ reads it. Rows without a doc_id pass the filters: nothing can be said of them by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontaminate, minhash_dedup, mixing, token_files, toxicity
@@ -28,10 +28,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.accepted(docs, model)
 
 
+def once(docs: DataFrame) -> DataFrame:
+    """One row of those that repeat doc_id and text; a task sends one row of each."""
+    same = Window.partitionBy("doc_id", F.sha2("text", 256)).orderBy(F.xxhash64(*docs.columns))
+    first = docs.where("doc_id IS NOT NULL").withColumn("_place", F.row_number().over(same))
+    return first.where("_place = 1").drop("_place").unionByName(docs.where("doc_id IS NULL"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
-    judged = pin(minhash_dedup.near_duplicates(docs).select("doc_id", "kept"), "near")
-    return without(docs, judged.where("NOT kept"))
+    """One document of each group of near-duplicates stays, the one with the smallest id.
+
+    Shingles are of five words, as for any stage; four are op1's own contract.
+    """
+    judged = pin(minhash_dedup.near_duplicates(docs, words=5).select("doc_id", "kept"), "near")
+    return once(without(docs, judged.where("NOT kept")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
