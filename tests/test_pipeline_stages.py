@@ -6,6 +6,8 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+from lakeloom.llm import mixing, toxicity
+from lakeloom.llm.common import load
 
 DOCS = "doc_id bigint, text string, lang string, source string"
 
@@ -46,3 +48,30 @@ def test_near_duplicates_that_stay(spark, tables):
     want[None, texts[0]] = 2
     assert (1, texts[1]) in want and (2, texts[2]) not in want and (3, texts[3]) not in want
     assert kept(corpus_pipeline.drop_near_duplicates, spark, made(spark, rows), tables) == want
+
+
+def test_clean_documents_stay(spark, tables):
+    """Decontamination drops what holds a passage of the benchmark, toxicity what is predicted, and no more."""
+    items = [r.text for r in load(spark, tables, "benchmark").orderBy("item_id").limit(5).collect()]
+    clean = [(k, f"q{k} " * 40, "s") for k in range(30)]
+    leaked = [(100 + k, f"before {t} after", "s") for k, t in enumerate(items)]
+    docs = made(spark, [*clean, *leaked, (None, "no id", "s")])
+    want = Counter((k, t) for k, t, _ in clean) + Counter({(None, "no id"): 1})
+    assert kept(corpus_pipeline.drop_contaminated, spark, docs, tables) == want
+
+    whole = load(spark, tables, "documents")
+    labels = load(spark, tables, "labels").where(~toxicity.held_out())
+    predicted = {r.doc_id: r.predicted for r in toxicity.score(whole, toxicity.learn(whole, labels)).collect()}
+    want = Counter((r.doc_id, r.text) for r in whole.collect() if not predicted[r.doc_id])
+    assert 0 < sum(want.values()) < len(predicted)
+    assert kept(corpus_pipeline.drop_toxic, spark, whole, tables) == want
+
+
+def test_mix_and_tokens_hold_every_document(spark, tables):
+    whole = load(spark, tables, "documents")
+    copies = {r.doc_id: r.copies for r in mixing.mixed(whole).collect()}
+    mix = corpus_pipeline.mix(spark, whole, tables)
+    taken = Counter(r.doc_id for r in mix.collect())
+    assert taken == Counter({k: n for k, n in copies.items() if n})
+    packed = corpus_pipeline.tokens(spark, mix, tables).collect()
+    assert Counter(r.doc_id for r in packed) == taken
