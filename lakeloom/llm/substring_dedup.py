@@ -18,7 +18,8 @@ settled in the piece and travel under a key of their own.
 Nulls, empty texts, ties: a null or empty text has no words; with fewer than ``WINDOW``
 words nothing is removed. Equal texts are judged once: the smallest id owns the text, in
 all others every word goes that a window covers. Rows that repeat a doc_id with one text
-are one document; texts of equal ids do not remove from each other. A row without a
+are one document; rows of one id with two texts are judged text by text, and do not remove
+from each other. A row without a
 doc_id is left whole and removes nothing. Other columns are not looked at.
 """
 
@@ -77,7 +78,7 @@ def own_keys(keys: np.ndarray, ids: np.ndarray, ask: np.ndarray) -> np.ndarray:
 
 
 def _recurring_anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Rows ``(doc_id, found)``: the anchors of a document that other documents hold too."""
+    """Rows ``(doc_id, digest, found)``: the anchors of a text that other documents hold too."""
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -87,31 +88,34 @@ def _recurring_anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 prints.append(found)
                 lengths.append(len(found))
             ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), lengths)
+            digests = np.repeat(batch.column("digest").to_numpy(), lengths)
             keys = np.concatenate(prints)
             ask, _, alone = settle(keys, ids)
             columns = [
                 pa.array(own_keys(keys, ids, ask)),
                 pa.array(ids),
+                pa.array(digests),
                 pa.array(keys.view(np.int64)),
                 pa.array(~alone),
             ]
             keep = pa.array(ask | ~alone)
-            yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "anchor", "shared"]).filter(keep)
+            yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "digest", "anchor", "shared"]).filter(keep)
 
     rows = docs.where("doc_id IS NOT NULL").mapInArrow(
-        post, "key bigint, doc_id bigint, anchor bigint, shared boolean"
+        post, "key bigint, doc_id bigint, digest bigint, anchor bigint, shared boolean"
     )
     same = Window.partitionBy("key")
     seen = rows.select(
         "doc_id",
+        "digest",
         "anchor",
         (F.max("shared").over(same) | (F.min("doc_id").over(same) < F.max("doc_id").over(same))).alias("recurs"),
     )
-    return seen.where("recurs").groupBy("doc_id").agg(F.collect_set("anchor").alias("found"))
+    return seen.where("recurs").groupBy("doc_id", "digest").agg(F.collect_set("anchor").alias("found"))
 
 
 def _phrases(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """Rows ``(doc_id, phrases)``: places of windows that a smaller document holds, and their owners."""
+    """Rows ``(doc_id, digest, phrases)``: places of windows that a smaller document holds, and their owners."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -128,20 +132,22 @@ def _phrases(rows: DataFrame, window: int, gram: int) -> DataFrame:
                 starts.append(held)
                 lengths.append(len(held))
             ids = np.repeat(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), lengths)
+            digests = np.repeat(batch.column("digest").to_numpy(), lengths)
             keys = np.concatenate(phrases)
             ask, owner, _ = settle(keys, ids)
             columns = [
                 pa.array(own_keys(keys, ids, ask)),
                 pa.array(ids),
+                pa.array(digests),
                 pa.array(np.concatenate(starts).astype(np.int32)),
                 pa.array(owner),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "start", "owner"])
+            yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "digest", "start", "owner"])
 
-    cuts = rows.mapInArrow(cut, "key bigint, doc_id bigint, start int, owner bigint")
+    cuts = rows.mapInArrow(cut, "key bigint, doc_id bigint, digest bigint, start int, owner bigint")
     least = F.min("owner").over(Window.partitionBy("key"))
-    owned = cuts.select("doc_id", "start", least.alias("owner")).where("owner < doc_id")
-    return owned.groupBy("doc_id").agg(F.collect_list(F.struct("start", "owner")).alias("phrases"))
+    owned = cuts.select("doc_id", "digest", "start", least.alias("owner")).where("owner < doc_id")
+    return owned.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "owner")).alias("phrases"))
 
 
 def removed_words(
@@ -209,17 +215,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, patt
 
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text)
-    digests = source.where("doc_id IS NOT NULL").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
-    least = digests.groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
-    copies = digests.join(least.where("owner < last"), "digest").where("owner < doc_id")
-    copies = pin(copies.select("doc_id").distinct(), "copies")
-    found = _recurring_anchors(source, window, gram).join(copies, "doc_id", "left_anti")
+    # Of the rows of one id, the digest tells the text; where ids have one text each, it is 0 and takes no room.
+    digest, one = F.xxhash64("text"), ["doc_id", "digest"]
+    texts = source.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(digest).alias("x"), F.max(digest).alias("y"))
+    single = texts.where("x <> y").isEmpty()
+    source = source.withColumn("digest", F.lit(0).cast("bigint") if single else digest)
+    exact = source.where("doc_id IS NOT NULL").select(*one, F.unhex(F.sha2("text", 256)).alias("sha"))
+    least = exact.groupBy("sha").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
+    copies = exact.join(least.where("owner < last"), "sha").where("owner < doc_id")
+    copies = pin(copies.select(*one).distinct(), "copies")
+    found = _recurring_anchors(source, window, gram).join(copies, one, "left_anti")
 
     # Both joins use the same shuffle of the texts.
-    cut = source.join(found.hint("merge"), "doc_id", "left").select("doc_id", "text", "found")
+    cut = source.join(found.hint("merge"), one, "left").select(*one, "text", "found")
     phrases = _phrases(cut, window, gram)
-    own = source.join(phrases.hint("merge"), "doc_id", "left").join(
-        copies.withColumn("copy", F.lit(True)), "doc_id", "left"
+    own = source.join(phrases.hint("merge"), one, "left").join(
+        copies.withColumn("copy", F.lit(True)), one, "left"
     )
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept binary"
     return own.select("doc_id", "text", "phrases", "copy").mapInArrow(mark, schema)
