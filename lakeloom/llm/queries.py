@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, minhash_dedup, mixing, ngram_lm, substring_dedup, token_files, toxicity, vector_dedup, warc
+from . import (
+    collocations,
+    decontaminate,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    ngram_lm,
+    substring_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+    vector_dedup,
+    warc,
+    whitening,
+)
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,7 +80,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
-    """Log probability of every document under a bigram model of the training fold."""
+    """Log probability of every document under a trigram model of the training fold."""
     return ngram_lm.score(load(spark, folder, "documents"))
 
 
@@ -101,3 +115,31 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op3_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate links and components of all embeddings."""
     return vector_dedup.near_duplicates(load(spark, folder, "embeddings"))
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings on the leading eigenvectors of their covariance."""
+    return whitening.whiten(load(spark, folder, "embeddings"))
+
+
+def byte_vocabulary() -> str:
+    """The vocabulary file of the public byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts.count_tokens(load(spark, folder, "documents"), byte_vocabulary())
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of each language whose words go together most."""
+    return collocations.phrases(load(spark, folder, "documents"))
+
+
+SQL["op13_collocations"] = collocations.SQL
