@@ -12,8 +12,11 @@ ORDER = ("source_ord", "url_pos", "link_pos")
 
 FIRST, LAST = "first", "last"
 
+# What is said of candidates whose object was fetched and could not be read.
+UNREADABLE = "unreadable"
+
 # Reasons that mean "could not be fetched"; every other reason rejects the row.
-FETCH_REASONS = ("page_missing",)
+FETCH_REASONS = ("page_missing", UNREADABLE)
 
 
 def resolve_conflicts(
@@ -59,8 +62,8 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, numbered)
 
 
-def group_candidates(candidates: DataFrame) -> DataFrame:
-    """Candidates of one source, key, object and reason as one row.
+def group_candidates(candidates: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Candidates of one source, key, object and reason as one row; columns ``also`` tell groups apart too.
 
     Counts and ends of order are combined before the shuffle: a file linked from
     a third of all pages is one row per task, and so are all rows set aside for
@@ -70,14 +73,24 @@ def group_candidates(candidates: DataFrame) -> DataFrame:
     page = F.col("url_pos").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)")
     at = page + F.col("link_pos").cast("decimal(10,0)")
     return candidates.groupBy(
-        "source_ord", "source_type", "target_key", "object_id", "reason"
+        *also, "source_ord", "source_type", "target_key", "object_id", "reason"
     ).agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at"))
 
 
-def with_presence(groups: DataFrame, stored: DataFrame) -> DataFrame:
-    """Adds how many copies of the object were fetched and can be stored."""
-    fetched = stored.groupBy("object_id").agg(F.count(F.lit(1)).alias("copies"))
-    return groups.join(fetched, "object_id", "left")
+def with_presence(groups: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Adds where the object lies, ``(length, path, start)``, and ``copies``, NULL if it was not fetched.
+
+    ``fetched`` names each object once.
+    """
+    return groups.join(fetched.withColumn("copies", F.lit(1)), "object_id", "left")
+
+
+def set_aside(groups: DataFrame, broken: DataFrame) -> DataFrame:
+    """The groups ``(source_ord, source_type, target_key, object_id)`` of ``broken`` no longer compete."""
+    place = ["source_ord", "source_type", "target_key", "object_id"]
+    marked = groups.join(broken.select(*place, F.lit(True).alias("_broken")).distinct(), place, "left")
+    reason = F.when(F.col("_broken") & F.col("reason").isNull(), F.lit(UNREADABLE)).otherwise(F.col("reason"))
+    return marked.withColumn("reason", reason).drop("_broken")
 
 
 def _competing(groups: DataFrame) -> DataFrame:
@@ -101,14 +114,16 @@ def _status(mode: str) -> Column:
     )
 
 
-def outcome_counts(groups: DataFrame, winners: DataFrame, mode: str = FIRST) -> DataFrame:
-    """Rows ``(source_type, status, n)`` over all candidates.
+def outcome_counts(
+    groups: DataFrame, winners: DataFrame, mode: str = FIRST, by: Sequence[str] = ("source_type",)
+) -> DataFrame:
+    """Rows ``(*by, status, n)`` over all candidates.
 
     Everything is summed from counts; no candidate is joined back to its key. In
     mode ``last`` each present candidate is written in its turn, so all of them
     count as landed.
     """
-    rows = groups.select("source_type", _status(mode).alias("status"), "n")
+    rows = groups.select(*by, _status(mode).alias("status"), "n")
     if mode == FIRST:
         # A winner moves one of its group's candidates from skipped to landed.
         one = F.lit(1).cast("long")
@@ -116,8 +131,8 @@ def outcome_counts(groups: DataFrame, winners: DataFrame, mode: str = FIRST) ->
             F.struct(F.lit("landed").alias("status"), one.alias("n")),
             F.struct(F.lit("skipped_exists").alias("status"), (-one).alias("n")),
         )
-        rows = rows.unionByName(winners.select("source_type", F.inline(moves)))
-    return rows.groupBy("source_type", "status").agg(F.sum("n").alias("n")).where("n > 0")
+        rows = rows.unionByName(winners.select(*by, F.inline(moves)))
+    return rows.groupBy(*by, "status").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def outcome_items(groups: DataFrame, winners: DataFrame, mode: str = FIRST) -> DataFrame:

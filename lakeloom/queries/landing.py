@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 
 from ..operators.landing import FIRST, LAST, resolve_conflicts, skip_landed
 from ..operators.links import file_rows, file_targets
-from ..plans.ingest import landing_targets
+from ..plans.ingest import Fetched, ingest_all, landing_targets
 from ..session import pin, scratch_path
 from ..sinks import SINKS, Layer
 from ..sinks.object_sinks import decide, rewrite
+from ..sinks.parts import PART_BYTES, staged
 from ..sources import SourceSpec, candidates
 from ..sources.scans import CORRUPT, read_csv, read_json, read_objects
 from ..streaming.arrivals import stream_objects, stream_rows
@@ -136,25 +137,23 @@ def _offered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _objects(wanted: DataFrame, prefix: str = "bytes of ") -> DataFrame:
-    """Objects for the named ids, written as a fetcher would leave them."""
+    """Objects for the named ids, in files as a fetcher would leave them."""
     name = F.col("object_id")
     known = wanted.where(
         name.isNotNull() & ~F.contains(name, F.lit("?")) & ~F.contains(name, F.lit(".net"))
     )
     body = F.encode(F.concat(F.lit(prefix), name), "UTF-8")
     fetched = known.select("object_id").distinct()
-    return pin(
-        fetched.select(
-            "object_id", F.length(body).cast("long").alias("length"), body.alias("content")
-        ),
-        "objects",
-    )
+    return pin(staged(fetched.select("object_id", body.alias("content"))), "objects")
 
 
-def _landed(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "target_key", "content_type", "length", F.decode("content", "UTF-8").alias("body")
-    )
+def _landed(spark: SparkSession, layer: Layer) -> DataFrame:
+    """What a layer holds, each object's bytes and the digest its key was committed with."""
+    bodies = layer.read(spark).select("target_key", "part_no", F.decode("content", "UTF-8").alias("body"))
+    whole = bodies.groupBy("target_key").agg(F.array_sort(F.collect_list(F.struct("part_no", "body"))).alias("parts"))
+    body = F.array_join(F.transform("parts", lambda p: p["body"]), "").alias("body")
+    named = layer.keys(spark).select("target_key", "content_type", "length", "sha256")
+    return named.join(whole.select("target_key", body), "target_key")
 
 
 _TYPE_SQL = """CASE WHEN target_key LIKE '%.zip' THEN 'application/zip'
@@ -164,13 +163,14 @@ _TYPE_SQL = """CASE WHEN target_key LIKE '%.zip' THEN 'application/zip'
 
 @query(f"""
 WITH {OBJECTS_SQL}
-SELECT target_key, {_TYPE_SQL}, strlen(body) AS length, body FROM present WHERE place = 1
+SELECT target_key, {_TYPE_SQL}, strlen(body) AS length, body, sha256(body) AS sha256
+FROM present WHERE place = 1
 """)
 def object_sink_table(spark: SparkSession, folder: str) -> DataFrame:
     wanted = _offered(spark, folder)
     layer = Layer(scratch_path(spark, "bronze"))
     SINKS["s3"](wanted, _objects(wanted), layer)
-    return _landed(layer.read(spark))
+    return _landed(spark, layer)
 
 
 @query(f"""
@@ -231,7 +231,7 @@ loads AS (
     SELECT 3, target_key, 'newest ' || object_id, source_ord, url_pos, link_pos FROM present
     WHERE source_type = 'kaggle' AND object_id LIKE '%-ring.zip'
 )
-SELECT target_key, {_TYPE_SQL}, strlen(body) AS length, body FROM loads
+SELECT target_key, {_TYPE_SQL}, strlen(body) AS length, body, sha256(body) AS sha256 FROM loads
 QUALIFY row_number() OVER (PARTITION BY target_key
                            ORDER BY load DESC, source_ord DESC, url_pos DESC, link_pos DESC) = 1
 """)
@@ -249,7 +249,109 @@ def overwriting_sink_table(spark: SparkSession, folder: str) -> DataFrame:
     for number, (offered, word) in enumerate(loads, start=1):
         SINKS["local"](offered, _objects(offered, word), layer, f"load-{number}")
     fresh = rewrite(layer, Layer(scratch_path(spark, "local")), spark)
-    return _landed(fresh.read(spark))
+    return _landed(spark, fresh)
+
+
+# ---- runs --------------------------------------------------------------------
+
+# A nation is an environment: its region says where it lands, its key which URLs it lists.
+# One region's buckets have no name, one has no sink; one nation of each has no credentials.
+RUN_SQL = f"""
+{OBJECTS_SQL},
+nations AS (
+    SELECT n_nationkey, n_name AS environment, n_regionkey AS root,
+           CASE WHEN n_regionkey = 1 THEN 'last' ELSE 'first' END AS mode,
+           n_regionkey < 3 AS has_sink, n_nationkey % 5 <> 2 AS has_credentials
+    FROM nation
+),
+wanted AS (
+    SELECT c.* EXCLUDE (target_key), nations.*, o.object_id IS NOT NULL AS is_there,
+           replace(c.target_key, 'raw/', CASE WHEN mode = 'last' THEN 'local/' ELSE 'raw/' END) AS target_key
+    FROM (SELECT *, CASE WHEN source_ord = 0 THEN url_pos // 1000 ELSE url_pos END AS of FROM candidates) AS c
+    JOIN nations ON n_nationkey = of % 25
+    LEFT JOIN objects AS o ON o.object_id = c.object_id
+),
+"""
+
+
+def _run_sql(chosen: str) -> str:
+    return f"""
+    WITH {RUN_SQL}
+    chosen AS ({chosen}),
+    running AS (SELECT * FROM chosen WHERE has_sink AND (has_credentials OR source_ord = 1)),
+    run_placed AS (
+        SELECT *, CASE WHEN reason IS NULL AND is_there THEN row_number() OVER (
+            PARTITION BY root, target_key, reason IS NULL AND is_there
+            ORDER BY environment, source_ord, url_pos, link_pos) END AS place
+        FROM running
+    ),
+    listed AS (
+        SELECT 'kaggle' AS source_type, p_partkey % 25 AS n_nationkey FROM url_rows
+        UNION ALL SELECT 'crawler', pos % 25 FROM listed_urls
+    )
+    SELECT environment, source_type,
+           CASE WHEN reason = 'page_missing' THEN 'failed' WHEN reason IS NOT NULL THEN 'rejected'
+                WHEN NOT is_there THEN 'failed' WHEN mode = 'last' OR place = 1 THEN 'landed'
+                ELSE 'skipped_exists' END AS status,
+           count(*) AS n
+    FROM run_placed GROUP BY ALL
+    UNION ALL
+    SELECT environment, source_type, 'not_run', count(*) FROM listed JOIN nations USING (n_nationkey)
+    WHERE NOT has_sink OR (source_type = 'kaggle' AND NOT has_credentials) GROUP BY ALL
+    """
+
+
+def _control(spark: SparkSession, folder: str, local: str) -> DataFrame:
+    """The control table of the runs: one environment per nation."""
+    listed = url_list_scan(spark, folder)
+    place = F.col("p_partkey") * 1000 + F.col("pos")
+    kaggle = listed.select((F.col("p_partkey") % 25).alias("n_nationkey"), place.alias("at"), "url")
+    crawled = derived(spark, folder, "listed_urls").select((F.col("pos") % 25).alias("n_nationkey"), F.col("pos").alias("at"), "url")
+
+    def lists(rows: DataFrame, name: str) -> DataFrame:
+        urls = F.transform(F.array_sort(F.collect_list(F.struct("at", "url"))), lambda r: r["url"])
+        return rows.groupBy("n_nationkey").agg(urls.alias(name))
+
+    region = F.col("n_regionkey")
+    sink = F.struct(
+        F.when(region == 1, F.lit("local")).when(region < 4, F.lit("s3")).alias("type"),
+        F.when(region < 3, F.concat(F.lit("bucket-"), region.cast("string"))).otherwise(F.lit("")).alias("bucket_name"),
+        F.when(region == 1, F.lit(local)).alias("path"),
+    )
+    nations = table(spark, folder, "nation")
+    return (
+        nations.join(lists(kaggle, "kaggle_urls"), "n_nationkey", "left")
+        .join(lists(crawled, "crawler_urls"), "n_nationkey", "left")
+        .select(
+            F.col("n_name").alias("environment"), sink.alias("sink"), "kaggle_urls", "crawler_urls",
+            (F.col("n_nationkey") % 5 != 2).alias("has_credentials"), F.lit("raw").alias("destination"),
+        )
+    )
+
+
+def _run(spark: SparkSession, folder: str, select: str) -> DataFrame:
+    base = scratch_path(spark, "run")
+    pages = derived(spark, folder, "index_pages")
+    return ingest_all(
+        _control(spark, folder, f"{base}/local"), Fetched(pages, _objects(_offered(spark, folder))), base, select=select
+    )
+
+
+@query(_run_sql("SELECT * FROM wanted"))
+def ingest_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """A run over a control table of all nations, and what became of all they list."""
+    return _run(spark, folder, "all")
+
+
+@query(_run_sql("""
+    SELECT * FROM wanted WHERE source_ord = 1
+    UNION ALL
+    (SELECT * FROM wanted WHERE source_ord = 0
+     QUALIFY row_number() OVER (PARTITION BY environment ORDER BY url_pos) = 2)
+"""))
+def ingest_second_or_first(spark: SparkSession, folder: str) -> DataFrame:
+    """The same run, with the second archive of each list alone."""
+    return _run(spark, folder, "second_or_first")
 
 
 # ---- files -------------------------------------------------------------------
@@ -265,7 +367,7 @@ def object_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents.write.partitionBy("lang").text(path)
     objects = read_objects(spark, path, "*.txt")
     lang = F.regexp_extract("path", "/lang=([^/]*)/", 1)
-    return objects.groupBy(lang.alias("lang")).agg(F.sum("length").alias("n_bytes"))
+    return objects.groupBy(lang.alias("lang")).agg(F.sum(F.octet_length("content")).alias("n_bytes"))
 
 
 @query("""
@@ -369,12 +471,16 @@ def arriving_objects(spark: SparkSession, folder: str) -> DataFrame:
         spark, folder, layer, "raw", checkpoint=scratch_path(spark, "stream"), glob="*.parquet"
     )
     stream.awaitTermination()
-    rows = layer.read(spark)
-    size = F.length("content").cast("long")
-    landed = rows.where("path IS NULL").select("target_key", "content_type", "length", size.alias("size"))
-    long = rows.where("path IS NOT NULL").select("target_key", "content_type", "length", "path")
-    if not long.isEmpty():
-        files = read_objects(spark, f"{layer.root}/_files").select("path", F.col("length").alias("size"))
-        landed = landed.unionByName(long.join(files, "path", "left").drop("path"))
-    whole = F.coalesce(F.col("size") == F.col("length"), F.lit(False))
+    files = read_objects(spark, folder, "*.parquet")
+    key = F.concat(F.lit("raw/"), F.substring_index("path", "/", -1))
+    # The files' own digests, by Spark's reader, against those the keys were committed with.
+    parts = F.sequence(F.lit(0), F.greatest(F.floor((F.col("length") - 1) / PART_BYTES), F.lit(0)))
+    part = lambda k: F.sha2(F.substring("content", (k * PART_BYTES + 1).cast("int"), F.lit(PART_BYTES)), 256)
+    digest = F.when(F.size(parts) == 1, F.sha2("content", 256)).otherwise(
+        F.sha2(F.array_join(F.transform(parts, part), ""), 256)
+    )
+    own = files.select(key.alias("target_key"), digest.alias("own"))
+    held = layer.read(spark).groupBy("target_key").agg(F.sum(F.octet_length("content")).alias("held"))
+    landed = layer.keys(spark).join(held, "target_key").join(own, "target_key", "left")
+    whole = F.coalesce((F.col("own") == F.col("sha256")) & (F.col("held") == F.col("length")), F.lit(False))
     return landed.select("target_key", "content_type", whole.alias("is_whole"))

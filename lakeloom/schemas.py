@@ -38,6 +38,7 @@ CANDIDATES = _struct(
     reason=T.StringType(),
 )
 
+# Objects as cells; objects in files have path, and start where they are a stretch of one.
 OBJECTS = _struct(object_id=T.StringType(), length=T.LongType(), content=T.BinaryType())
 
 # What Spark's binaryFile source gives.
@@ -48,14 +49,21 @@ FILES = _struct(
     content=T.BinaryType(),
 )
 
-# A long object lies in a file of its own: content is NULL, path and sha256 are set.
+# A part of a landed object; parts are numbered from 0. Where a part could not be read,
+# error says why, and no part of that attempt has landed.
 LANDED = _struct(
     target_key=T.StringType(),
     content_type=T.StringType(),
     length=T.LongType(),
+    part_no=T.IntegerType(),
     content=T.BinaryType(),
-    path=T.StringType(),
     sha256=T.StringType(),
+    attempt=T.IntegerType(),
+    error=T.StringType(),
 )
 
 OUTCOMES = _struct(source_type=T.StringType(), status=T.StringType(), n=T.LongType())
+
+RUN_OUTCOMES = _struct(
+    environment=T.StringType(), source_type=T.StringType(), status=T.StringType(), n=T.LongType()
+)

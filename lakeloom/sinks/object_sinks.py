@@ -1,11 +1,16 @@
-"""Sinks for fetched objects."""
+"""Sinks for fetched objects.
+
+A load decides on names alone, then the tasks that write the winners read their bytes. What
+is counted is what the write has done: an object that could not be read is failed, and
+the key goes to the next candidate in order, as if the failed one had not been offered.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.media import content_type
@@ -16,105 +21,41 @@ from ..operators.landing import (
     outcome_counts,
     outcome_items,
     pick_winners,
-    skip_landed,
+    set_aside,
     with_presence,
 )
 from ..session import pin
-from . import long_objects
 from .layer import Layer
+from .parts import digests, one_each, read_parts, references
 from .registry import sink
 
-# Up to this size, names and overhead together, the winners of a load are broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-ROW_OVERHEAD = 64
-
 
 def new_load_id() -> str:
     """A name for a load that is given none, after the time it was made."""
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
-def fits_broadcast(rows: DataFrame, *names: str) -> bool:
-    """Whether the named text columns are small enough to be sent to every task.
+def write_objects(chosen: DataFrame, layer: Layer, load_id: str, attempt: int = 0) -> tuple[DataFrame, bool]:
+    """Write the objects of a written table of names ``(target_key, length, path, start)``.
 
-    Measured on the rows themselves; never true when broadcasts are switched off.
+    Returns rows ``(target_key, content_type, length, parts, sha256, error)``, read from
+    what was written without its bytes, and whether any object failed.
     """
-    threshold = rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if threshold.strip().startswith("-"):
-        return False
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in names), F.lit(ROW_OVERHEAD))
-    return (rows.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
-
-
-def _in_file(objects: DataFrame) -> Column:
-    """Whether an object is landed from its own file, which bounds no length."""
-    if "path" not in objects.columns:
-        return F.lit(False)
-    return F.col("path").isNotNull() & (F.col("length") > long_objects.CELL_BYTES)
-
-
-def storable(objects: DataFrame) -> DataFrame:
-    """The objects that have bytes: in a file of any length, or in a cell."""
-    return objects.where(_in_file(objects) | (F.col("length") <= long_objects.LONGEST_CELL))
-
+    seen = Observation()
+    parts = read_parts(chosen).withColumns(
+        {"content_type": content_type(F.col("target_key")), "attempt": F.lit(attempt)}
+    )
+    parts = parts.observe(seen, F.count("error").alias("failed"))
+    path = layer.write(parts, load_id, mode="append" if attempt else "overwrite")
+    written = chosen.sparkSession.read.schema(layer.schema).parquet(path).where(F.col("attempt") == attempt)
+    named = digests(written).withColumn("content_type", content_type(F.col("target_key")))
+    return named, bool(seen.get["failed"])
 
-def _parts(objects: DataFrame) -> DataFrame:
-    """Rows ``(object_id, length, content, path)``: the bytes in a cell, or the path of a long object.
 
-    No file above ``CELL_BYTES`` is read: the scan leaves it out by its length.
-    """
-    if "path" not in objects.columns:
-        cells = objects.where(F.col("length") <= long_objects.LONGEST_CELL)
-        return cells.withColumn("path", F.lit(None).cast("string"))
-    no_path, no_content = F.lit(None).cast("string"), F.lit(None).cast("binary")
-    short = objects.where(F.col("length") <= long_objects.CELL_BYTES).withColumn("path", no_path)
-    files = objects.where(_in_file(objects)).withColumn("content", no_content)
-    parts = short.unionByName(files)
-    above = (F.col("length") > long_objects.CELL_BYTES) & (F.col("length") <= long_objects.LONGEST_CELL)
-    cells = objects.where(above & F.col("path").isNull())
-    if not cells.select("object_id").isEmpty():
-        parts = parts.unionByName(cells)
-    return parts
-
-
-def _payload(winners: DataFrame, objects: DataFrame) -> DataFrame:
-    """The winners with their bytes, or with the path of a long object's file.
-
-    ``winners`` is a written table without bytes. While its measured size is
-    small it is broadcast and the bytes go from scan to write without a shuffle;
-    beyond that both sides are shuffled by object, or only the winners if the
-    objects are a table bucketed by ``object_id``. Objects fetched more than
-    once are few; only those are ranked.
-    """
-    stored = _parts(objects).select("object_id", "length", "content", "path")
-    small = fits_broadcast(winners, "object_id", "target_key")
-
-    def rows(which: str) -> DataFrame:
-        chosen = winners.where(which).select("object_id", "target_key")
-        return stored.join(F.broadcast(chosen) if small else chosen, "object_id").drop("object_id")
-
-    payload = rows("copies = 1")
-    if not winners.where("copies > 1").isEmpty():
-        rank = F.row_number().over(
-            Window.partitionBy("target_key").orderBy(
-                F.desc("length"), F.sha2("content", 256), "path"
-            )
-        )
-        ranked = rows("copies > 1").withColumn("_rank", rank)
-        payload = payload.unionByName(ranked.where("_rank = 1").drop("_rank"))
-    return payload
-
-
-def write_objects(rows: DataFrame, layer: Layer, load_id: str) -> None:
-    """Write a load of ``(target_key, length, content, path)``; files named by a path are copied."""
-    digest = F.lit(None).cast("string")
-    cells = rows.where("path IS NULL").withColumn("sha256", digest)
-    names = rows.where("path IS NOT NULL").select("target_key", "length", "path")
-    if not names.isEmpty():
-        names = pin(names, "long")
-        files = long_objects.copied(names, layer.files_path(load_id))
-        cells = cells.unionByName(files.withColumn("content", F.lit(None).cast("binary")))
-    layer.write(cells.withColumn("content_type", content_type(F.col("target_key"))), load_id)
+def commit(written: DataFrame, layer: Layer, load_id: str) -> None:
+    """The objects written without an error have landed."""
+    whole = written.where("error IS NULL")
+    layer.commit(whole.select("target_key", "content_type", "length", "parts", "sha256"), load_id)
 
 
 @dataclass(frozen=True)
@@ -133,6 +74,25 @@ class Decision:
         """Rows ``(source_type, target_key, object_id, reason, status, n)``."""
         return outcome_items(self.groups, self.winners, self.mode)
 
+    def without(self, broken: DataFrame) -> DataFrame:
+        """The next candidates of the keys whose winners ``broken`` could not be read."""
+        rest = set_aside(self.groups, broken).join(broken.select("target_key").distinct(), "target_key", "left_semi")
+        return pick_winners(rest, self.mode)
+
+
+def fetched(objects: DataFrame) -> DataFrame:
+    """Names of the objects that were fetched, each once; cells are written to files first."""
+    refs = references(objects.where("length IS NOT NULL"))
+    return one_each(pin(refs, "references") if "content" in objects.columns else refs)
+
+
+def decide_groups(groups: DataFrame, layer: Layer, mode: str, load_id: str) -> Decision:
+    """Choose the winner of each key among written groups; the layer is read but not changed."""
+    winners = pin(pick_winners(groups, mode), "winners")
+    if mode == FIRST:
+        winners = pin(layer.unlanded(winners, ["target_key"], load_id), "fresh")
+    return Decision(groups, winners, mode)
+
 
 def decide(
     candidates: DataFrame, objects: DataFrame, layer: Layer, mode: str, load_id: str
@@ -140,25 +100,55 @@ def decide(
     """Choose the winner of each key; the layer is read but not changed.
 
     The choice is written down before the layer changes: what is counted later is
-    what was decided, and no later step repeats the extraction of links.
+    what was decided, and no later step repeats the extraction of links. Of the
+    objects only their names are read.
     """
-    groups = pin(with_presence(group_candidates(candidates), storable(objects)), "groups")
-    winners = pin(pick_winners(groups, mode), "winners")
-    if mode == FIRST:
-        landed = layer.read(candidates.sparkSession, besides=load_id)
-        few = fits_broadcast(winners, "target_key")
-        winners = pin(skip_landed(winners, landed, few=few), "fresh")
-    return Decision(groups, winners, mode)
+    groups = pin(with_presence(group_candidates(candidates), fetched(objects)), "groups")
+    return decide_groups(groups, layer, mode, load_id)
+
+
+def carry_out(decision: Decision, layer: Layer, load_id: str) -> Decision:
+    """Write the winners, and for those that fail the next in order; what has landed in the end.
+
+    Rounds end: each sets aside at least one object of every key it is about.
+    """
+    layer.open_keys(decision.groups.sparkSession)
+    place = ["source_ord", "source_type", "target_key", "object_id"]
+    names = ["target_key", "length", "path", "start"]
+    turn, landed, named, broken = decision.winners, None, None, None
+    attempt = 0
+    while True:
+        written, failed = write_objects(turn.select(*names), layer, load_id, attempt)
+        if failed:
+            written = pin(written, "written")
+        wrong = written.where("error IS NOT NULL").select("target_key")
+        won = turn.join(wrong, "target_key", "left_anti") if failed else turn
+        landed = won if landed is None else landed.unionByName(won)
+        named = written if named is None else named.unionByName(written)
+        if not failed:
+            break
+        lost = turn.join(wrong, "target_key", "left_semi").select(*place)
+        broken = pin(lost if broken is None else broken.unionByName(lost), "broken")
+        turn = pin(decision.without(broken).join(wrong, "target_key", "left_semi").select(*turn.columns), "turn")
+        attempt += 1
+        if turn.isEmpty():
+            break
+    commit(named, layer, load_id)
+    groups = decision.groups if broken is None else pin(set_aside(decision.groups, broken), "groups")
+    return replace(decision, groups=groups, winners=landed)
 
 
 def land(
     candidates: DataFrame, objects: DataFrame, layer: Layer, mode: str, load_id: str | None = None
 ) -> DataFrame:
-    """Decide on keys, write the bytes, return counts ``(source_type, status, n)``."""
+    """Decide on keys, write the bytes, return counts ``(source_type, status, n)`` of what was done.
+
+    ``objects`` are files, ``(object_id, length, path)``, stretches of files with
+    ``start``, or cells ``(object_id, length, content)``.
+    """
     load_id = load_id or new_load_id()
     decision = decide(candidates, objects, layer, mode, load_id)
-    write_objects(_payload(decision.winners, objects), layer, load_id)
-    return decision.counts()
+    return carry_out(decision, layer, load_id).counts()
 
 
 @sink("s3")
@@ -182,9 +172,13 @@ def keep_last(
 
 
 def rewrite(layer: Layer, fresh: Layer, spark: SparkSession, load_id: str | None = None) -> Layer:
-    """Write the newest row of each key to another, empty root, long objects with their files."""
+    """Write the newest version of each object to another, empty root."""
     if fresh.root == layer.root:
         raise ValueError("a layer cannot be rewritten onto the path it is read from")
-    rows = layer.latest(spark).select("target_key", "length", "content", "path")
-    write_objects(rows, fresh, load_id or new_load_id())
+    load_id = load_id or new_load_id()
+    fresh.open_keys(spark)
+    rows = layer.latest(spark).withColumns({"attempt": F.lit(0), "error": F.lit(None).cast("string")})
+    path = fresh.write(rows, load_id)
+    written = spark.read.schema(fresh.schema).parquet(path)
+    commit(digests(written).withColumn("content_type", content_type(F.col("target_key"))), fresh, load_id)
     return fresh

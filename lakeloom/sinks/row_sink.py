@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.landing import FIRST, resolve_conflicts, skip_landed
-from .layer import Layer
+from .layer import Layer, bucket_of
 
 
 def land_rows(
@@ -19,11 +19,17 @@ def land_rows(
     """Write the first row of each key that no other load holds.
 
     A row without a full key cannot be told from another: all of them land,
-    unsorted and without a shuffle. The layer is not touched by its own plan:
-    rows of this load are left out of the check, which also makes a repeated load
-    write the same rows again.
+    unsorted and without a shuffle. The layer is not touched by its own plan: keys are
+    looked up in the buckets of the new ones, those of this load are left out of the
+    check, which also makes a repeated load write the same rows again.
     """
+    spark = rows.sparkSession
+    layer.open_keys(spark)
     whole = reduce(and_, (F.col(c).isNotNull() for c in key))
-    landed = layer.read(rows.sparkSession, besides=load_id)
+    touched = rows.where(whole).select(bucket_of(key).alias("bucket")).distinct()
+    landed = layer.keys(spark, key, sorted(r.bucket for r in touched.collect()))
     first = resolve_conflicts(rows.where(whole), FIRST, key, order)
-    layer.write(skip_landed(first, landed, key).unionByName(rows.where(~whole)), load_id)
+    fresh = skip_landed(first, landed.where(F.col("load_id") != load_id), key)
+    path = layer.write(fresh.unionByName(rows.where(~whole)), load_id)
+    written = spark.read.schema(layer.schema).parquet(path)
+    layer.commit(written.where(whole).select(*key), load_id, key)

@@ -24,8 +24,8 @@ def _selected(spec: SourceSpec) -> DataFrame:
         return spec.urls
     if spec.select != "second_or_first":
         raise ValueError(f"select must be 'all' or 'second_or_first', not {spec.select!r}")
-    one_list = spec.urls.withColumn("_list", F.lit(0))
-    return second_or_first_rows(one_list, ["_list"], ["pos"]).drop("_list")
+    lists = spec.urls.withColumn("_list", F.lit(0))
+    return second_or_first_rows(lists, [*spec.carry, "_list"], ["pos"]).drop("_list")
 
 
 def _candidate(
@@ -53,9 +53,10 @@ def archives(spec: SourceSpec) -> DataFrame:
             F.col("pos"),
             F.lit(0),
             F.concat(slug, F.lit(ARCHIVE_SUFFIX)),
-            target_key(F.lit(spec.destination), archive_name(slug)),
+            target_key(spec.folder, archive_name(slug)),
             F.when(slug.isNull(), F.lit("no_dataset_name")),
-        )
+        ),
+        *spec.carry,
     )
 
 
@@ -84,13 +85,13 @@ def crawl(spec: SourceSpec) -> DataFrame:
     listed = _selected(spec).withColumn("_url", F.coalesce(page_url, no_url))
     links = (
         listed.join(parsed, "_url", "left")
-        .select("pos", "url", "_found", F.inline_outer("_files"))
+        .select("pos", "url", *spec.carry, "_found", F.inline_outer("_files"))
         .where(F.col("_found").isNull() | F.col("link_pos").isNotNull())
     )
     reason = F.when(F.col("_found").isNull(), F.lit("page_missing")).when(
         F.col("file_url").isNull(), F.lit("link_unresolvable")
     )
-    key = target_key(F.lit(spec.destination), basename(F.col("file_url")))
+    key = target_key(spec.folder, basename(F.col("file_url")))
     return links.select(
         *_candidate(
             "crawler",
@@ -99,5 +100,6 @@ def crawl(spec: SourceSpec) -> DataFrame:
             F.col("file_url"),
             key,
             reason,
-        )
+        ),
+        *spec.carry,
     )

@@ -21,12 +21,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.urls import target_key
-from ..operators.landing import resolve_conflicts, skip_landed
+from ..operators.landing import resolve_conflicts
 from ..schemas import FILES
 from ..session import pin
-from ..sinks import long_objects
 from ..sinks.layer import Layer
-from ..sinks.object_sinks import fits_broadcast, write_objects
+from ..sinks.object_sinks import commit, write_objects
 from ..sinks.row_sink import land_rows
 
 
@@ -98,11 +97,6 @@ def watched_root(spark: SparkSession, folder: str) -> str:
     return system.makeQualified(path).toString().rstrip("/")
 
 
-def literal(path: str) -> str:
-    """The path as a pattern that only it fits."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
 def stream_objects(
     spark: SparkSession,
     folder: str,
@@ -118,9 +112,9 @@ def stream_objects(
     """Land whole files under ``destination``, by their path below ``folder``, unread.
 
     The stream carries names only. The bytes of a batch's winners, at most
-    ``max_files`` of them, are read once, straight into the write; long files are
-    copied file to file. With
-    ``outcomes``, a table ``(status, n)``, each batch also records its counts.
+    ``max_files`` of them, are read once, by the tasks that write them. A file that
+    cannot be read is failed and ends no batch. With ``outcomes``, a table
+    ``(status, n)``, each batch also records what became of its files.
     """
     names = (
         spark.readStream.schema(FILES)
@@ -138,36 +132,27 @@ def stream_objects(
         session = batch.sparkSession
         load_id = batch_load_id(name, checkpoint, batch_id)
         key = target_key(F.lit(destination), below)
+        layer.open_keys(session)
         arrived = pin(batch.withColumn("target_key", key), "arrivals")
         first = resolve_conflicts(arrived, order=("modificationTime", "path"))
-        landed = layer.read(session, besides=load_id)
         # All of this is bounded by max_files, like the file list the stream itself holds.
-        few = fits_broadcast(first, "target_key")
-        fresh = pin(skip_landed(first, landed, few=few).select("path", "target_key", "length"), "fresh")
-        short = fresh.where(F.col("length") <= long_objects.CELL_BYTES).select("path", "target_key")
-        long = fresh.where(F.col("length") > long_objects.CELL_BYTES)
-        rows = long.withColumn("content", F.lit(None).cast("binary"))
-        paths = [literal(row.path) for row in short.select("path").toLocalIterator()]
-        if paths:
-            objects = session.read.format("binaryFile").load(paths).join(short, "path")
-            cells = objects.select("target_key", "length", "content", F.lit(None).cast("string").alias("path"))
-            rows = rows.unionByName(cells)
-        write_objects(rows, layer, load_id)
+        fresh = layer.unlanded(first, ["target_key"], load_id)
+        chosen = pin(fresh.select("target_key", "length", "path", F.lit(None).cast("long").alias("start")), "fresh")
+        written, _ = write_objects(chosen, layer, load_id)
+        commit(written, layer, load_id)
         if outcomes is not None:
-            outcomes.write(_batch_counts(arrived, fresh), load_id)
+            outcomes.write(_batch_counts(arrived, written), load_id)
 
     return _start(names, land, name, checkpoint, every)
 
 
-def _batch_counts(arrived: DataFrame, fresh: DataFrame) -> DataFrame:
-    one = F.lit(1).cast("long")
-    status = F.lit("skipped_exists")
-    # A landed file moves from skipped to landed.
+def _batch_counts(arrived: DataFrame, written: DataFrame) -> DataFrame:
+    one, skipped = F.lit(1).cast("long"), F.lit("skipped_exists")
+    # A file that was written, or that failed, is not among those skipped.
+    status = F.when(F.col("error").isNull(), F.lit("landed")).otherwise(F.lit("failed"))
     moves = F.array(
-        F.struct(F.lit("landed").alias("status"), one.alias("n")),
-        F.struct(F.lit("skipped_exists").alias("status"), (-one).alias("n")),
-    )
-    rows = arrived.select(status.alias("status"), one.alias("n")).unionByName(
-        fresh.select(F.inline(moves))
+        F.struct(status.alias("status"), one.alias("n")),
+        F.struct(skipped.alias("status"), (-one).alias("n")),
     )
+    rows = arrived.select(skipped.alias("status"), one.alias("n")).unionByName(written.select(F.inline(moves)))
     return rows.groupBy("status").agg(F.sum("n").alias("n")).where("n > 0")

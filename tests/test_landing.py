@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators.landing import FIRST, LAST, resolve_conflicts, skip_landed
-from lakeloom.plans.ingest import Fetched, NotConfigured, ingest
+from lakeloom.plans.ingest import Fetched, NotConfigured, ingest, ingest_all
 from lakeloom.schemas import CANDIDATES, OBJECTS, PAGES, SETTINGS
 from lakeloom.session import pin, scratch_path, shared_dir
 from lakeloom.sinks import SINKS, Layer, layer_root, sink
+from lakeloom.sinks import layer as layers
 from lakeloom.sinks import object_sinks
 from lakeloom.sinks.object_sinks import rewrite
 from lakeloom.sinks.row_sink import land_rows
@@ -99,15 +100,15 @@ def test_large_loads_take_the_other_join(spark):
     objects = stock(spark, **{f"o{i}": f"body {i}" for i in range(0, 100, 3)})
     objects = objects.union(stock(spark, o0="x"))
     tables = []
-    for bound, threshold in ((object_sinks.BROADCAST_BYTES, None), (10, None), (10, "-1")):
+    for bound, threshold in ((layers.BROADCAST_BYTES, None), (10, None), (10, "-1")):
         layer = Layer(scratch_path(spark, "b"))
-        kept, object_sinks.BROADCAST_BYTES = object_sinks.BROADCAST_BYTES, bound
+        kept, layers.BROADCAST_BYTES = layers.BROADCAST_BYTES, bound
         try:
             if threshold:
                 spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
             SINKS["s3"](rows, objects, layer)
         finally:
-            object_sinks.BROADCAST_BYTES = kept
+            layers.BROADCAST_BYTES = kept
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         tables.append(table(layer, spark))
     assert tables[0] == tables[1] == tables[2]
@@ -290,6 +291,39 @@ def test_run_without_a_crawler(spark):
     assert none.isEmpty()
 
 
+def by_environment(outcomes):
+    return {(r.environment, r.source_type, r.status): r.n for r in outcomes.collect()}
+
+
+def test_run_over_all_environments(spark):
+    """Two environments share a bucket, one overwrites, one has no sink, one is there twice."""
+    base = scratch_path(spark, "run")
+    one = settings(spark).drop("environment")
+    named = lambda name, rows: rows.withColumn("environment", F.lit(name)).select("environment", *one.columns)
+    local = settings(spark, ("local", None, f"{base}/local"), False).drop("environment")
+    no_sink = settings(spark, None).drop("environment")
+    control = named("dev", one)
+    for name, rows in (("prod", one), ("qc", local), ("none", no_sink), ("twice", one), ("twice", local)):
+        control = control.unionByName(named(name, rows))
+    got = by_environment(ingest_all(control, fetched(spark), base=base, load_id="x"))
+    first = {("kaggle", "landed"): 1, ("kaggle", "failed"): 1, ("kaggle", "rejected"): 1,
+             ("crawler", "landed"): 2, ("crawler", "skipped_exists"): 2, ("crawler", "failed"): 1}
+    second = {("kaggle", "skipped_exists"): 1, ("kaggle", "failed"): 1, ("kaggle", "rejected"): 1,
+              ("crawler", "skipped_exists"): 4, ("crawler", "failed"): 1}
+    over = {("kaggle", "not_run"): 3, ("crawler", "landed"): 4, ("crawler", "failed"): 1}
+    none = {("kaggle", "not_run"): 3, ("crawler", "not_run"): 3}
+    want = {"dev": first, "prod": second, "qc": over, "none": none, "twice": {k: 2 * n for k, n in none.items()}}
+    assert got == {(name, *key): n for name, counted in want.items() for key, n in counted.items()}
+    assert table(Layer(f"{base}/bucket"), spark) == {
+        "raw/dev/own_data.zip": "archive", "raw/dev/one.csv": "1", "raw/dev/two.csv": "2"}
+    assert table(Layer(f"{base}/local"), spark) == {f"{base}/local/one.csv": "1", f"{base}/local/two.csv": "22"}
+    # The same run as one environment alone.
+    alone = scratch_path(spark, "run")
+    single = {(k[1], k[2]): n for k, n in by_environment(ingest_all(named("dev", one), fetched(spark), base=alone)).items()}
+    assert single == counts(ingest(settings(spark), "dev", fetched(spark), base=f"{alone}-2"))
+    assert ingest_all(control.where("environment = 'none'"), fetched(spark), base=alone).count() == 2
+
+
 def test_run_refuses_bad_settings(spark):
     with pytest.raises(NotConfigured):
         ingest(settings(spark), "prod", fetched(spark))

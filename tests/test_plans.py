@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from lakeloom.operators.landing import group_candidates, resolve_conflicts, skip_landed
 from lakeloom.operators.links import file_rows
-from lakeloom.schemas import CANDIDATES
-from lakeloom.session import scratch_path
+from lakeloom.schemas import CANDIDATES, OBJECTS
+from lakeloom.session import pin, scratch_path
+from lakeloom.sinks import SINKS, Layer
+from lakeloom.sinks.layer import BUCKETS
+from lakeloom.sinks.row_sink import land_rows
 from lakeloom.sources.scans import read_objects
+from lakeloom.streaming.arrivals import stream_objects, stream_rows
 
 
 def plan(df):
@@ -52,6 +56,66 @@ def test_few_new_keys_do_not_shuffle_the_layer(spark, tables):
     assert "BroadcastHashJoin" in semi
 
 
+def keyed(spark, names, load_id="old"):
+    layer = Layer(scratch_path(spark, "keyed"), spark.createDataFrame([], "k string, v long").schema)
+    rows = spark.createDataFrame([(n, i) for i, n in enumerate(names)], layer.schema)
+    land_rows(rows, layer, load_id, ["k"], ["v"])
+    return layer
+
+
+def test_only_buckets_of_new_keys_are_read(spark):
+    layer = keyed(spark, [f"key {i}" for i in range(500)])
+    new = pin(spark.createDataFrame([("key 7",), ("fresh",)], "k string"), "new")
+    for df in (layer.unlanded(new, ["k"], "new"), layer.latest(spark, "k", only=new)):
+        text = plan(df)
+        scans = [line for line in text.splitlines() if "FileScan" in line and "_keys" in line]
+        assert scans and all("PartitionFilters" in line and "bucket" in line for line in scans)
+    assert [r.k for r in layer.unlanded(new, ["k"], "new").collect()] == ["fresh"]
+    assert [(r.k, r.v) for r in layer.latest(spark, "k", only=new).collect()] == [("key 7", 7)]
+    files = {f.split("bucket=")[1].split("/")[0] for f in layer.keys(spark, ["k"], [3, 5]).inputFiles()}
+    assert len(files) == BUCKETS  # before pruning; the plan above reads the named ones
+    pruned = layer.keys(spark, ["k"], [3, 5])
+    assert {r.bucket for r in pruned.select("bucket").distinct().collect()} == {3, 5}
+
+
+def test_no_landing_reads_the_layer(spark, tmp_path, monkeypatch):
+    """Rows, objects and both streams look keys up in a few buckets and never scan what has landed."""
+    layer, asked = keyed(spark, [f"key {i}" for i in range(50)]), []
+    keys = Layer.keys
+
+    def seen(self, session, key=("target_key",), buckets=None):
+        asked.append(buckets)
+        return keys(self, session, key, buckets)
+
+    def forbidden(self, *rest):
+        raise AssertionError("the layer was read")
+
+    (tmp_path / "a.json").write_text('{"k": "key 7", "v": 1}\n{"k": "new", "v": 2}\n')
+    objects = Layer(scratch_path(spark, "objects"))
+    offered = spark.createDataFrame([(0, "s", 0, 0, "u", "o", "k", None)], CANDIDATES)
+    stock = spark.createDataFrame([("o", 1, b"x")], OBJECTS)
+    with monkeypatch.context() as patched:
+        patched.setattr(Layer, "keys", seen)
+        patched.setattr(Layer, "read", forbidden)
+        land_rows(spark.createDataFrame([("key 1", 1), ("more", 2)], layer.schema), layer, "two", ["k"], ["v"])
+        stream_rows(spark, str(tmp_path), layer.schema, layer, ["k"], ["v"], scratch_path(spark, "cp"),
+                    "json").awaitTermination()
+        SINKS["s3"](offered, stock, objects, "one")
+        stream_objects(spark, str(tmp_path), objects, "raw", scratch_path(spark, "cp")).awaitTermination()
+    assert len(asked) == 4 and all(buckets is not None and len(buckets) <= 2 for buckets in asked)
+    assert sorted(r.k for r in layer.read(spark).where("v < 3 AND k NOT LIKE 'key%'").collect()) == ["more", "new"]
+    assert layer.read(spark).count() == 52 and objects.read(spark).count() == 2
+
+
+def test_a_load_counts_once_its_keys_are_written(spark):
+    layer = keyed(spark, ["a", "b"])
+    layer.write(spark.createDataFrame([("c", 1), ("a", 2)], layer.schema), "died")
+    assert sorted(r.k for r in layer.read(spark).collect()) == ["a", "b"]
+    land_rows(spark.createDataFrame([("c", 5), ("b", 6)], layer.schema), layer, "next", ["k"], ["v"])
+    land_rows(spark.createDataFrame([("c", 1), ("d", 2)], layer.schema), layer, "died", ["k"], ["v"])
+    assert sorted((r.k, r.v) for r in layer.read(spark).collect()) == [("a", 0), ("b", 1), ("c", 5), ("d", 2)]
+
+
 def test_bytes_are_not_read_for_names(spark, tables):
     scan = plan(read_objects(spark, tables, "*.parquet").where("length > 10").select("path"))
     assert "content" not in scan and "PushedFilters: [GreaterThan(length,10)" in scan.replace("IsNotNull(length), ", "")
