@@ -9,9 +9,13 @@ left to the optimizer, which goes by table size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.layer import Layer
+
 MONEY = "decimal(18,2)"
 
 
@@ -53,6 +57,59 @@ def revenue_by_region(
     )
 
 
+@dataclass(frozen=True)
+class Totals:
+    """Sums per group that can be added up: columns of groups, and what is summed in them."""
+
+    groups: dict[str, Column]
+    sums: dict[str, Column]
+
+    def of(self, rows: DataFrame, sign: int = 1) -> DataFrame:
+        """The groups of some rows with their sums and ``n``, the number of rows."""
+        one = F.lit(sign).cast("long")
+        columns = [c.alias(name) for name, c in self.groups.items()]
+        sums = [F.sum(c * F.lit(sign).cast("decimal(1,0)")).cast("decimal(38,2)").alias(name) for name, c in self.sums.items()]
+        return rows.groupBy(*columns).agg(F.sum(one).alias("n"), *sums)
+
+    def added(self, partials: DataFrame) -> DataFrame:
+        """The groups of sums, added up."""
+        sums = [F.sum(name).cast("decimal(38,2)").alias(name) for name in self.sums]
+        return partials.groupBy(*self.groups).agg(F.sum("n").alias("n"), *sums)
+
+
+def add_to_gold(put: DataFrame, replaced: DataFrame, totals: Totals, gold: Layer, load_id: str) -> None:
+    """Store what a change of a silver table adds to its totals: new rows less those they replace.
+
+    A load holds one row for each group the batch touches. A batch that runs again replaces
+    its load, so nothing is added twice.
+    """
+    partials = totals.added(totals.of(put).unionByName(totals.of(replaced, -1)))
+    gold.open_keys(put.sparkSession)
+    gold.write(partials, load_id)
+    gold.commit(partials.sparkSession.createDataFrame([], "n bigint"), load_id, ["n"])
+
+
+def read_gold(spark: SparkSession, totals: Totals, gold: Layer) -> DataFrame:
+    """The totals as they stand: stored sums of all loads added up, without groups whose rows are all gone."""
+    return totals.added(gold.read(spark)).where("n <> 0")
+
+
+def fold_gold(spark: SparkSession, totals: Totals, gold: Layer, fresh: Layer, load_id: str = "folded") -> Layer:
+    """Write the totals as one load of another, empty root, from which a stream can go on."""
+    if fresh.root == gold.root:
+        raise ValueError("a layer cannot be folded onto the path it is read from")
+    fresh.open_keys(spark)
+    fresh.write(read_gold(spark, totals, gold), load_id)
+    fresh.commit(spark.createDataFrame([], "n bigint"), load_id, ["n"])
+    return fresh
+
+
+def user_days() -> Totals:
+    """Events per day, type and user; users can be counted from these, whenever they came."""
+    groups = {"event_day": F.to_date("ts"), "event_type": F.col("event_type"), "user_id": F.col("user_id")}
+    return Totals(groups, {"total": F.coalesce(F.col("value").cast(MONEY), F.lit(0).cast(MONEY))})
+
+
 def daily_event_totals(events: DataFrame) -> DataFrame:
     """Events, their users and summed value per day and type.
 
@@ -63,6 +120,11 @@ def daily_event_totals(events: DataFrame) -> DataFrame:
     per_user = events.groupBy(day, "event_type", "user_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast(MONEY)).alias("total")
     )
+    return days_of(per_user)
+
+
+def days_of(per_user: DataFrame) -> DataFrame:
+    """Totals per day and type from those per day, type and user."""
     return per_user.groupBy("event_day", "event_type").agg(
         F.sum("n").alias("n_events"),
         F.count("user_id").alias("n_users"),

@@ -15,7 +15,7 @@ from ..sinks.object_sinks import decide, rewrite
 from ..sinks.parts import PART_BYTES, staged
 from ..sources import SourceSpec, candidates
 from ..sources.scans import CORRUPT, read_csv, read_json, read_objects
-from ..streaming.arrivals import stream_objects, stream_rows
+from ..streaming.arrivals import QUARANTINED, stream_objects, stream_rows
 from .catalog import query, table
 from .derived import ctes, derived
 from .scalars import URL_ROWS_SQL, links_sql, url_list_scan
@@ -404,7 +404,23 @@ FROM events
 def json_landing_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Events as uploaded JSON lines, some with a value that is no number."""
     path = scratch_path(spark, "json")
-    events = table(spark, folder, "events")
+    _event_lines(table(spark, folder, "events")).write.text(path)
+    schema = T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("event_type", T.StringType()),
+            T.StructField("props", T.StructType([T.StructField("k", T.LongType())])),
+            T.StructField("value", T.DoubleType()),
+        ]
+    )
+    landed = read_json(spark, path, schema)
+    return landed.select(
+        "event_id", "event_type", "value", "props.k", F.col(CORRUPT).isNotNull().alias("is_corrupt")
+    )
+
+
+def _event_lines(events: DataFrame) -> DataFrame:
+    """Events as JSON lines; the value of some is no number."""
     text = F.col("value").cast("string")
     value = F.when(F.col("event_type") == "error", F.concat(F.lit('"'), text, F.lit('?"')))
     line = F.concat(
@@ -418,19 +434,7 @@ def json_landing_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(value, text),
         F.lit("}"),
     )
-    events.select(line.alias("value")).write.text(path)
-    schema = T.StructType(
-        [
-            T.StructField("event_id", T.LongType()),
-            T.StructField("event_type", T.StringType()),
-            T.StructField("props", T.StructType([T.StructField("k", T.LongType())])),
-            T.StructField("value", T.DoubleType()),
-        ]
-    )
-    landed = read_json(spark, path, schema)
-    return landed.select(
-        "event_id", "event_type", "value", "props.k", F.col(CORRUPT).isNotNull().alias("is_corrupt")
-    )
+    return events.select(line.alias("value"))
 
 
 # ---- streams -----------------------------------------------------------------
@@ -459,6 +463,30 @@ def arriving_rows(spark: SparkSession, folder: str) -> DataFrame:
     return layer.read(spark).select(*kept)
 
 
+@query("""
+SELECT 'row' AS verdict, event_id, event_type, value FROM events WHERE event_type <> 'error'
+UNION ALL
+SELECT 'line', cast(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT), event_type, count(*)::DOUBLE
+FROM events WHERE event_type = 'error' GROUP BY ALL
+""")
+def arriving_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON lines that arrive a few files at a time; lines that do not parse set aside and counted."""
+    path = scratch_path(spark, "json")
+    _event_lines(table(spark, folder, "events")).repartition(5).write.text(path)
+    schema = T.StructType.fromDDL("event_id bigint, event_type string, value double")
+    layer, aside = Layer(scratch_path(spark, "events"), schema), Layer(scratch_path(spark, "lines"), QUARANTINED)
+    stream_rows(
+        spark, path, schema, layer, ["event_id"], ["value"], scratch_path(spark, "stream"), "json",
+        max_files=2, quarantine=aside,
+    ).awaitTermination()
+    k = F.regexp_extract("line", '"k": ([0-9]+)', 1).cast("long")
+    kind = F.regexp_extract("line", '"event_type": "([^"]*)"', 1)
+    lines = aside.read(spark).groupBy(k.alias("event_id"), kind.alias("event_type"))
+    counted = lines.agg(F.count("file").cast("double").alias("value"))
+    rows = layer.read(spark).select(F.lit("row").alias("verdict"), "event_id", "event_type", "value")
+    return rows.unionByName(counted.withColumn("verdict", F.lit("line")))
+
+
 @query("""
 SELECT 'raw/' || unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
        'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations'])

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..plans.gold import daily_event_totals, revenue_by_region, supplier_returns
-from ..plans.silver import Conformed, distinct_texts, refine, write_silver
+from ..plans.gold import daily_event_totals, days_of, read_gold, revenue_by_region, supplier_returns, user_days
+from ..plans.silver import Conformed, distinct_texts, quarantine_schema, refine, silver_schema, write_silver
 from ..session import scratch_path
+from ..sinks.layer import Layer
+from ..streaming.arrivals import stream_silver
 from .catalog import query, table
 from .derived import ctes, derived
 
@@ -80,24 +83,48 @@ def silver_orders_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {SILVER_ORDERS_SQL}
-SELECT 'valid' AS verdict, count(*) AS n FROM valid
-UNION ALL SELECT 'quarantine', count(*) FROM checked WHERE broken <> ''
+SELECT 'valid' AS verdict, {_SILVER_COLUMNS}, NULL AS broken FROM valid
+UNION ALL SELECT 'quarantine', {_SILVER_COLUMNS}, broken FROM checked WHERE broken <> ''
 """)
 def silver_orders_written(spark: SparkSession, folder: str) -> DataFrame:
+    """Both results as they were written, from one pass over the input."""
     path = scratch_path(spark, "silver")
     write_silver(derived(spark, folder, "raw_orders"), _orders(), path)
-    return spark.read.parquet(path).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+    rows = spark.read.parquet(path)
+    broken = F.when(F.col("broken_rules").isNotNull(), F.array_join("broken_rules", ",")).alias("broken")
+    return _plain(rows).select("verdict", *_orders().columns, broken)
+
+
+@query(f"""
+WITH {SILVER_ORDERS_SQL}
+SELECT 'valid' AS verdict, {_SILVER_COLUMNS}, NULL AS broken FROM valid
+UNION ALL SELECT 'quarantine', {_SILVER_COLUMNS}, broken FROM checked WHERE broken <> ''
+""")
+def arriving_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw orders in files that arrive a few at a time, copies before and after what they repeat."""
+    table, path = _orders(), scratch_path(spark, "raw")
+    raw = derived(spark, folder, "raw_orders")
+    raw.repartition(5).write.parquet(path)
+    silver = Layer(scratch_path(spark, "silver"), silver_schema(table))
+    aside = Layer(scratch_path(spark, "aside"), quarantine_schema(table))
+    stream_silver(
+        spark, path, raw.schema, table, silver, aside, scratch_path(spark, "stream"), max_files=2
+    ).awaitTermination()
+    names = list(table.columns)
+    valid = silver.latest(spark, table.key).select(F.lit("valid").alias("verdict"), *names, F.lit(None).alias("broken"))
+    broken = F.array_join("broken_rules", ",").alias("broken")
+    return _plain(valid.unionByName(aside.read(spark).select(F.lit("quarantine").alias("verdict"), *names, broken)))
 
 
 @query("""
-SELECT doc_id, lang, source, n_chars, sha256(trim(text, ' ' || chr(9) || chr(10) || chr(13)))
+SELECT doc_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS text, lang, source, n_chars, sha256(trim(text, ' ' || chr(9) || chr(10) || chr(13)))
        AS text_sha256
 FROM documents
 QUALIFY row_number() OVER (PARTITION BY trim(text, ' ' || chr(9) || chr(10) || chr(13))
                            ORDER BY doc_id) = 1
 """)
 def silver_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return distinct_texts(table(spark, folder, "documents"), "doc_id", "text").drop("text")
+    return distinct_texts(table(spark, folder, "documents"), "doc_id", "text")
 
 
 @query("""
@@ -124,6 +151,33 @@ def gold_daily_events(spark: SparkSession, folder: str) -> DataFrame:
     return totals.withColumn("total_value", F.col("total_value").cast("double"))
 
 
+@query("""
+SELECT ts::DATE AS event_day, event_type, count(*) AS n_events,
+       count(DISTINCT user_id) AS n_users, sum(value::DECIMAL(18, 2))::DOUBLE AS total_value
+FROM events GROUP BY ALL
+""")
+def arriving_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """The same daily totals, kept as sums that each batch of arriving events adds to."""
+    events = table(spark, folder, "events")
+    path = scratch_path(spark, "raw")
+    events.repartition(5).write.parquet(path)
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
+    conformed = Conformed(kinds, key=["event_id"], order=["ts"], required=["event_id", "ts"])
+    totals, gold = user_days(), Layer(scratch_path(spark, "gold"), _user_days_schema())
+    silver = Layer(scratch_path(spark, "silver"), silver_schema(conformed))
+    aside = Layer(scratch_path(spark, "aside"), quarantine_schema(conformed))
+    stream_silver(
+        spark, path, events.schema, conformed, silver, aside, scratch_path(spark, "stream"), max_files=2,
+        gold=[(totals, gold)],
+    ).awaitTermination()
+    days = days_of(read_gold(spark, totals, gold))
+    return days.withColumn("total_value", F.col("total_value").cast("double"))
+
+
+def _user_days_schema() -> T.StructType:
+    return T.StructType.fromDDL("event_day date, event_type string, user_id bigint, n bigint, total decimal(38,2)")
+
+
 @query("""
 SELECT n_name, (sum(l_quantity::DECIMAL(18, 2)) FILTER (l_returnflag = 'R'))::DOUBLE AS returned,
        (sum(l_quantity::DECIMAL(18, 2)) FILTER (l_returnflag <> 'R'))::DOUBLE AS kept

@@ -20,7 +20,7 @@ from ..functions.urls import (
 )
 from ..operators.links import file_rows, file_targets, link_rows
 from ..operators.lists import choose_list, join_url_rows, second_or_first_rows, url_rows
-from ..operators.rules import accepted, rejected
+from ..operators.split import split
 from ..sinks.layer import layer_path
 from ..sources.scans import read_pages
 from .catalog import query, table
@@ -113,10 +113,9 @@ def dataset_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     rows = url_list_scan(spark, folder).withColumn(
         "reason", F.when(unnamed, F.lit("no_dataset_name"))
     )
-    return (
-        accepted(rows)
-        .withColumn("verdict", F.lit("accepted"))
-        .unionByName(rejected(rows).withColumn("verdict", F.lit("rejected")))
+    done = split(rows, F.col("reason").isNull(), "named")
+    return done.valid.withColumn("verdict", F.lit("accepted")).unionByName(
+        done.quarantine.withColumn("verdict", F.lit("rejected"))
     )
 
 

@@ -181,22 +181,24 @@ class Layer:
         few = fits_broadcast(rows, *key) if few is None else few
         return skip_landed(rows, landed.where(F.col("load_id") != load_id), key, few=few)
 
-    def latest(self, spark: SparkSession, key: str = "target_key", only: DataFrame | None = None) -> DataFrame:
+    def latest(
+        self, spark: SparkSession, key: str | Sequence[str] = "target_key", only: DataFrame | None = None
+    ) -> DataFrame:
         """The newest row of each key, by the number of its load; with ``only``, of its keys alone.
 
         Keys are ranked where they lie in buckets. Rows that a later load replaced are
         then left out by key, so content is not shuffled while those are few.
         """
-        buckets = None
+        buckets, key = None, [key] if isinstance(key, str) else list(key)
         rows = self.read(spark)
         if only is not None:
-            touched = only.select(bucket_of([key]).alias("bucket")).distinct()
+            touched = only.select(bucket_of(key).alias("bucket")).distinct()
             buckets = sorted(r.bucket for r in touched.collect())
-            rows = rows.join(only.select(key).distinct(), key, "left_semi")
-        landed = self.keys(spark, [key], buckets).select(key, "load_seq")
-        newest = landed.groupBy(key).agg(F.max("load_seq").alias("_newest"), F.count(F.lit(1)).alias("_n"))
+            rows = rows.join(only.select(*key).distinct(), key, "left_semi")
+        landed = self.keys(spark, key, buckets).select(*key, "load_seq")
+        newest = landed.groupBy(*key).agg(F.max("load_seq").alias("_newest"), F.count(F.lit(1)).alias("_n"))
         replaced = landed.join(newest.where("_n > 1"), key).where(F.col("load_seq") != F.col("_newest"))
-        return rows.join(replaced.select(key, "load_seq"), [key, "load_seq"], "left_anti")
+        return rows.join(replaced.select(*key, "load_seq"), [*key, "load_seq"], "left_anti")
 
     def write(self, rows: DataFrame, load_id: str, mode: str = "overwrite") -> str:
         """Write the rows of one load, replacing what an earlier try of it left; where they lie."""

@@ -22,11 +22,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.urls import target_key
 from ..operators.landing import resolve_conflicts
+from ..operators.split import split
+from ..plans.gold import Totals, add_to_gold
+from ..plans.silver import Conformed, upsert
 from ..schemas import FILES
 from ..session import pin
 from ..sinks.layer import Layer
 from ..sinks.object_sinks import commit, write_objects
 from ..sinks.row_sink import land_rows
+from ..sources.scans import CORRUPT
+
+# Lines set aside: the file they are from, and their text.
+QUARANTINED = T.StructType([T.StructField("file", T.StringType()), T.StructField("line", T.StringType())])
 
 
 def batch_load_id(name: str, checkpoint: str, batch_id: int) -> str:
@@ -63,12 +70,20 @@ def stream_rows(
     name: str = "rows",
     max_files: int = 1000,
     every: str | None = None,
+    quarantine: Layer | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Land the rows of CSV, JSON or parquet files, one row per key.
 
-    The file that arrived first wins, then the row first in ``order``. Runs over what has arrived and stops, or looks again ``every`` so often.
+    The file that arrived first wins, then the row first in ``order``. Runs over what has
+    arrived and stops, or looks again ``every`` so often. With ``quarantine``, a layer of
+    ``QUARANTINED`` rows, lines that do not fit the schema are set aside there with the file
+    they are from; a batch is parsed once and written by verdict, and a repeated batch
+    replaces its load in both layers.
     """
+    if quarantine is not None:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
     rows = (
         spark.readStream.schema(schema)
         .format(file_format)
@@ -84,11 +99,55 @@ def stream_rows(
     by_arrival = ("_arrived", "_file", *order)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_rows(batch, layer, batch_load_id(name, checkpoint, batch_id), key, by_arrival)
+        load_id = batch_load_id(name, checkpoint, batch_id)
+        if quarantine is not None:
+            done = split(batch, F.col(CORRUPT).isNull(), "lines")
+            bad = done.quarantine.select(F.col("_file").alias("file"), F.col(CORRUPT).alias("line"))
+            quarantine.write(bad, load_id)
+            batch = done.valid.drop(CORRUPT)
+        land_rows(batch, layer, load_id, key, by_arrival)
 
     return _start(rows, land, name, checkpoint, every)
 
 
+def stream_silver(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    table: Conformed,
+    silver: Layer,
+    quarantine: Layer,
+    checkpoint: str,
+    file_format: str = "parquet",
+    name: str = "silver",
+    max_files: int = 1000,
+    every: str | None = None,
+    gold: Sequence[tuple[Totals, Layer]] = (),
+    **options: str,
+) -> StreamingQuery:
+    """Carry arriving rows on to a silver layer, and its changes on to gold totals.
+
+    A batch's rows are conformed, set aside or upserted by key; what that puts into
+    the silver table and what it replaces there is added to and taken from each of ``gold``. The
+    tables equal those of one batch over all files, however many files a batch holds.
+    """
+    rows = (
+        spark.readStream.schema(schema)
+        .format(file_format)
+        .option("maxFilesPerTrigger", max_files)
+        .options(**options)
+        .load(folder)
+    )
+
+    def carry(batch: DataFrame, batch_id: int) -> None:
+        load_id = batch_load_id(name, checkpoint, batch_id)
+        change = upsert(batch, table, silver, quarantine, load_id)
+        for totals, layer in gold:
+            add_to_gold(change.put, change.replaced, totals, layer, load_id)
+
+    return _start(rows, carry, name, checkpoint, every)
+
+
 def watched_root(spark: SparkSession, folder: str) -> str:
     """The part of the watched folder without wildcards, as paths of its files begin."""
     fixed = re.split(r"[^/]*[*?\[{\\]", folder, maxsplit=1)[0] or "."

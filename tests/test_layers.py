@@ -3,11 +3,33 @@
 import datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
-
-from lakeloom.plans.gold import daily_event_totals, revenue_by_region, supplier_returns
-from lakeloom.plans.silver import Conformed, checked, distinct_texts, refine, write_silver
+from pyspark.sql import types as T
+
+from lakeloom.operators.split import split
+from lakeloom.plans.gold import (
+    Totals,
+    add_to_gold,
+    daily_event_totals,
+    fold_gold,
+    read_gold,
+    revenue_by_region,
+    supplier_returns,
+)
+from lakeloom.plans.silver import (
+    Conformed,
+    checked,
+    distinct_texts,
+    quarantine_schema,
+    refine,
+    silver_schema,
+    upsert,
+    write_silver,
+)
 from lakeloom.session import scratch_path
+from lakeloom.sinks.layer import Layer
+from lakeloom.streaming.arrivals import stream_silver
 
 RAW = [
     (" 1 ", " ab ", "2.50", "2024-01-02"),
@@ -53,7 +75,7 @@ def test_refine(spark):
 
 def test_write_silver(spark):
     path = scratch_path(spark, "silver")
-    write_silver(raw(spark), table(), path)
+    assert write_silver(raw(spark), table(), path) == {"valid": 4, "quarantine": 5}
     got = {r.verdict: r["count"] for r in spark.read.parquet(path).groupBy("verdict").count().collect()}
     assert got == {"valid": 2, "quarantine": 5}
 
@@ -89,3 +111,90 @@ def test_gold_totals(spark):
                                    "ts timestamp_ntz, user_id long, event_type string, value double")
     got = daily_event_totals(events).collect()
     assert [(r.n_events, r.n_users, float(r.total_value)) for r in got] == [(3, 2, 0.6)]
+
+
+def test_texts_that_repeat_with_their_id_and_null_texts(spark):
+    rows = [(2, "a "), (1, "a"), (1, "a"), (3, "b"), (3, "b"), (3, "c"), (4, None), (5, None), (None, "d"), (None, "d")]
+    got = distinct_texts(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect()
+    assert sorted(((r.id, r.t) for r in got), key=repr) == sorted(
+        [(1, "a"), (3, "b"), (3, "c"), (4, None), (None, "d")], key=repr)
+
+
+def test_texts_are_in_no_exchange_of_the_ranking(spark, tables):
+    documents = spark.read.parquet(f"{tables}/documents.parquet")
+    text = distinct_texts(documents, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in text and "Exchange hashpartitioning" not in text
+
+
+def batches(spark, folder, *parts):
+    for at, rows in enumerate(parts):
+        df = spark.createDataFrame(rows, "k string, v string, sent string, amount string")
+        df.coalesce(1).write.mode("append").json(folder)
+
+
+BATCHES = [
+    [("1", "x", "2", "10"), ("2", "y", "5", "7"), ("2", "y", "9", "8"), ("3", "", "1", "1")],
+    [("1", "X ", "1", "20"), ("2", "z", "6", "9"), ("4", "w", "1", "3"), ("bad", "w", "1", "3")],
+    [("1", "q", "3", "30"), ("2", "first", "4", "1"), ("5", "w", "2", "2"), (None, "w", "1", "4")],
+]
+
+
+def silver_of(spark, folder, size, scratch):
+    table = Conformed(
+        {"k": "bigint", "v": "string", "sent": "int", "amount": "decimal(18,2)"}, ["k"], ["sent"], required=["v"], upper=["v"])
+    totals = Totals({"v": F.col("v")}, {"total": F.col("amount")})
+    gold = Layer(scratch("gold"), T.StructType.fromDDL("v string, n bigint, total decimal(38,2)"))
+    silver = Layer(scratch("silver"), silver_schema(table))
+    aside = Layer(scratch("aside"), quarantine_schema(table))
+    schema = T.StructType.fromDDL("k string, v string, sent string, amount string")
+    cp = scratch("cp")
+
+    def go():
+        stream_silver(spark, folder, schema, table, silver, aside, cp, "json", max_files=size,
+                      gold=[(totals, gold)]).awaitTermination()
+
+    go()
+    rows = {(r.k, r.v, r.sent, float(r.amount)) for r in silver.latest(spark, "k").collect()}
+    sums = {(r.v, r.n, float(r.total)) for r in read_gold(spark, totals, gold).collect()}
+    folded = fold_gold(spark, totals, gold, Layer(scratch("gold"), gold.schema))
+    assert {(r.v, r.n, float(r.total)) for r in read_gold(spark, totals, folded).collect()} == sums
+    return rows, aside.read(spark).count(), sums
+
+
+@pytest.mark.parametrize("size", [1, 1000])
+def test_silver_and_gold_do_not_depend_on_the_size_of_batches(spark, scratch, size):
+    """A row that comes late and is first in order replaces, and gold gives back what it replaced."""
+    folder = scratch("in")
+    batches(spark, folder, *BATCHES)
+    rows, aside, sums = silver_of(spark, folder, size, scratch)
+    assert rows == {(1, "X", 1, 20.0), (2, "FIRST", 4, 1.0), (4, "W", 1, 3.0), (5, "W", 2, 2.0)}
+    assert aside == 3
+    assert sums == {("X", 1, 20.0), ("FIRST", 1, 1.0), ("W", 2, 5.0)}
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, scratch):
+    table = Conformed({"k": "bigint", "sent": "int"}, ["k"], ["sent"])
+    totals = Totals({"k": F.col("k") % 2}, {})
+    gold = Layer(scratch("gold"), T.StructType.fromDDL("k bigint, n bigint"))
+    silver, aside = Layer(scratch("silver"), silver_schema(table)), Layer(scratch("aside"), quarantine_schema(table))
+
+    def run(load_id, *rows):
+        change = upsert(spark.createDataFrame([*rows], "k string, sent int"), table, silver, aside, load_id)
+        add_to_gold(change.put, change.replaced, totals, gold, load_id)
+        put, replaced = (sorted((r.k, r.sent) for r in df.collect()) for df in (change.put, change.replaced))
+        return put, replaced, change.n_valid, change.n_quarantine
+
+    run("a", ("1", 5), ("2", 5), ("x", 1))
+    again = run("b", ("1", 3), ("2", 7), ("3", 1))
+    assert again == ([(1, 3), (3, 1)], [(1, 5)], 3, 0)
+    assert run("b", ("1", 3), ("2", 7), ("3", 1)) == again
+    assert sorted((r.k, r.sent) for r in silver.latest(spark, "k").collect()) == [(1, 3), (2, 5), (3, 1)]
+    assert sorted((r.k, r.n) for r in read_gold(spark, totals, gold).collect()) == [(0, 1), (1, 2)]
+    assert aside.read(spark).count() == 1
+
+
+def test_split_reads_its_input_once(spark):
+    done = split(spark.range(10).withColumn("v", F.when(F.col("id") > 2, F.col("id"))), F.col("v") < 8)
+    assert (done.n_valid, done.n_quarantine) == (5, 5)
+    assert sorted(r.id for r in done.valid.collect()) == [3, 4, 5, 6, 7]
+    assert sorted(r.id for r in done.quarantine.collect()) == [0, 1, 2, 8, 9]
