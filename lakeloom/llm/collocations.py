@@ -11,8 +11,9 @@ and only candidates whose highest score reaches it have their rests counted exac
 equal to the line stay in, so ties are settled too.
 
 Tasks cut texts into words once and write them as blocks of places in the block's own
-vocabulary. The words of all blocks meet by a shuffle, and the frequent ones get numbers;
-everything after that counts numbers, not strings or hashes. Pairs and windows are counted
+vocabulary. The words of all blocks meet by a shuffle, once; the frequent ones are named
+by the first of their places, and everything after that counts these numbers, not strings
+or hashes. Pairs and windows are counted
 within a block before they are shuffled. Scores are decimals of 38 digits: exact up to
 10^14 occurrences of a phrase and 10^16 words of a language.
 
@@ -26,12 +27,12 @@ without any is a single stretch, held by its task.
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 CUT = re.compile(rb"[.,;:!?\n-\r]")
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 FOLD = bytes.maketrans(UPPER + SEPARATORS + b"\t", UPPER.lower() + b"\n" * len(SEPARATORS) + b" ")
+# A word's number: the task, the block in it, the place in the block's vocabulary.
+BLOCK_BITS, PLACE_BITS = 16, 25
 # No byte of UTF-8: stands between pieces.
 BREAK = b"\xff"
 
@@ -83,20 +86,24 @@ def blocks(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = {}
-        held = 0
+        held, done, task = 0, 0, TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal done
             for lang, parts in waiting.items():
                 codes, vocabulary, counts = coded(parts)
                 if len(vocabulary):
+                    if done >> BLOCK_BITS or len(vocabulary) >> PLACE_BITS:
+                        raise OverflowError("more blocks in a task, or words in a block, than can be numbered")
                     row = [
                         pa.array([lang]),
-                        pa.array([uuid.uuid4().hex]),
+                        pa.array([task << BLOCK_BITS | done]),
                         lists(codes, [len(codes)], pa.int32()),
                         pa.ListArray.from_arrays([0, len(vocabulary)], vocabulary),
                         lists(counts, [len(counts)], pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(row, ["lang", "block", "codes", "words", "counts"])
+                    done += 1
             waiting.clear()
 
         for batch in batches:
@@ -110,23 +117,26 @@ def blocks(docs: DataFrame) -> DataFrame:
         yield from flush()
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
-    form = "lang string, block string, codes array<int>, words array<string>, counts array<bigint>"
+    form = "lang string, block bigint, codes array<int>, words array<string>, counts array<bigint>"
     return texts(docs, lang).mapInArrow(cut, form)
 
 
-def frequent_words(cut: DataFrame) -> DataFrame:
-    """Rows ``(id, lang, word, f)`` of the words that can be part of a candidate, numbered from 1."""
-    counted = cut.select("lang", F.inline(F.arrays_zip("words", "counts")))
-    totals = counted.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f"))
-    return totals.where(F.col("f") >= LEAST).select((F.monotonically_increasing_id() + 1).alias("id"), "*")
+def frequent(cut: DataFrame) -> DataFrame:
+    """Rows ``(block, at, own, id, lang, word, f)`` of the words that can be part of a candidate.
+
+    A word is in a block's vocabulary once, so a popular one has as many rows as blocks.
+    """
+    places = cut.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "entry"))
+    own = F.shiftleft("block", PLACE_BITS).bitwiseOR(F.col("at").cast("long")) + 1
+    rows = places.select("block", "at", own.alias("own"), "lang", F.col("entry.words").alias("word"), "entry.counts")
+    same = Window.partitionBy("lang", "word")
+    rows = rows.withColumns({"f": F.sum("counts").over(same), "id": F.min("own").over(same)})
+    return rows.where(F.col("f") >= LEAST).drop("counts")
 
 
-def numbered(cut: DataFrame, words: DataFrame) -> DataFrame:
+def numbered(cut: DataFrame, known: DataFrame) -> DataFrame:
     """Rows ``(lang, codes, ids, fs)``: blocks of frequent words only, 0 where others or a break were."""
-    places = cut.select("block", "lang", F.posexplode("words").alias("at", "word"))
-    known = places.join(words, ["lang", "word"]).groupBy("block").agg(
-        F.collect_list(F.struct("at", "id", "f")).alias("known")
-    )
+    known = known.groupBy("block").agg(F.collect_list(F.struct("at", "id", "f")).alias("known"))
 
     def renumber(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,8 +327,9 @@ def phrases(docs: DataFrame, top: int = TOP) -> DataFrame:
     cut = pin(blocks(docs), "blocks")
     size = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)
     totals = pin(cut.groupBy("lang").agg(F.sum(size).alias("n")), "totals")
-    words = pin(frequent_words(cut), "words")
-    encoded = pin(numbered(cut, words), "numbered")
+    known = pin(frequent(cut), "frequent")
+    words = pin(known.where("own = id").select("id", "lang", "word", "f"), "words")
+    encoded = pin(numbered(cut, known), "numbered")
     steps = pin(turns(words), "turns")
 
     found = spark.createDataFrame([], "phrase array<bigint>, a bigint, survives boolean")
