@@ -2,6 +2,13 @@
 
 Each stage works on all the rows its predecessor kept, and is written before the next
 reads it. Rows without a doc_id pass the filters: nothing can be said of them by id.
+
+Nulls, empty and very long texts, ties: a null or empty text is neither toxic, nor a copy, nor
+contaminated, and stays; in the mix it counts no words and comes along with the whole copies of
+its source. Texts are worked on whole. Of rows that repeat doc_id and text one stays after
+near-dedup; rows of one id and different texts share what is said of the id. An empty table goes through all
+stages as one. Other columns are carried as they are, whatever their names, up to the last
+stage; map columns count as equal in rows that repeat id and text.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontaminate, minhash_dedup, mixing, token_files, toxicity
-from lakeloom.llm.common import load
+from lakeloom.llm.common import load, own, unused
 from lakeloom.llm.queries import word_vocabulary
 from lakeloom.session import pin, scratch_path  # noqa: F401
 
@@ -18,7 +25,7 @@ from lakeloom.session import pin, scratch_path  # noqa: F401
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not among ``dropped``, which grows with them."""
     ids = dropped.select("doc_id").distinct().hint("merge")
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(ids, "doc_id", "left_anti").select(*own(docs))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,9 +37,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def once(docs: DataFrame) -> DataFrame:
     """One row of those that repeat doc_id and text; a task sends one row of each."""
-    same = Window.partitionBy("doc_id", F.sha2("text", 256)).orderBy(F.xxhash64(*docs.columns))
-    first = docs.where("doc_id IS NOT NULL").withColumn("_place", F.row_number().over(same))
-    return first.where("_place = 1").drop("_place").unionByName(docs.where("doc_id IS NULL"))
+    plain = [c for c, f in zip(own(docs), docs.schema, strict=True) if f.dataType.typeName() != "map"]
+    same = Window.partitionBy("doc_id", F.sha2("text", 256)).orderBy(F.xxhash64(*plain))
+    place = unused(docs, "_place")
+    first = docs.where("doc_id IS NOT NULL").withColumn(place, F.row_number().over(same))
+    return first.where(F.col(place) == 1).drop(place).unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

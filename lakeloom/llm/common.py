@@ -24,20 +24,33 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for k in range(len(taken) + 1) if (name := f"{stem}{k or ''}").lower() not in taken)
+
+
+def own(df: DataFrame) -> list[Column]:
+    """The columns of a table, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def texts(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """The named columns and the text as UTF-8 bytes; a null text is empty."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return docs.select(*columns, text.alias("text"))
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def pieces(
+    batches: Iterable[pa.RecordBatch], column: str = "text", size: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a piece holds a few MiB of text, or one longer text."""
     for batch in batches:
         sizes = np.diff(offsets(batch.column(column)))
         done = 0
         while done < len(sizes):
             total = np.cumsum(sizes[done:])
-            n = max(int(np.searchsorted(total, PIECE_BYTES, "right")), 1)
+            n = max(int(np.searchsorted(total, size, "right")), 1)
             yield batch.slice(done, n)
             done += n
 

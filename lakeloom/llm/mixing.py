@@ -1,19 +1,21 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Sizes are words. Each source's target is its weight's share of all words, stopped at
-``CAP`` times what the source holds; what that leaves is shared anew by weight. A document
-of a source with target ``t`` and size ``s`` is expected ``t / s`` times: the whole part
-are certain copies, the rest is its inclusion probability ``p`` for one more. For that,
-documents are ranked by random odds over inclusion odds, ``(u / (1 - u)) / (p / (1 - p))``,
-and the smallest are taken until the source's remaining words are as near to reached as
-whole documents allow. ``u`` is a hash of the row, so reruns agree.
-
-The cut is found without sorting a source: ranks are counted in ``BINS`` bins with
-map-side sums. Ranges of ``RANGE`` bins are accumulated, then the bins of the range that
+``CAP`` times what the source holds; what that leaves is shared anew by weight. Of a
+source with target ``t`` and size ``s`` each document is taken the whole part of ``t / s``
+times for certain. What words are left are drawn: a document is taken once more with a
+probability ``p`` in proportion to its size, up to 1, such that the words expected are those
+left. For that, documents are ranked by random odds over inclusion odds, ``(u / (1 - u)) /
+(p / (1 - p))``, and the smallest are taken until the source's remaining words are as near
+to reached as whole documents allow. ``u`` is a hash of the row, so reruns agree.
+
+Probabilities follow from the counts of each size, of which a source has no more than its
+longest text has words. The cut is found without sorting a source: ranks are counted in
+``BINS`` bins with map-side sums. Ranges of ``RANGE`` bins are accumulated, then the bins of the range that
 holds the cut, and only the bin that holds the cut is ordered. With more rows a bin holds more, but always one part in ``BINS`` of a source.
 
-Nulls, empty texts, ties: a null text has size 0; documents of size 0 take part and count
-nothing. A null source is a source of its own, last in order. Equal rows share their fate,
+Nulls, empty texts, ties: a null text has size 0; documents of size 0 count
+nothing and are taken only as whole copies. A null source is a source of its own, last in order. Equal rows share their fate,
 as their hash is the same. Without any words all targets are 0. Columns other than doc_id,
 text and source are only carried.
 """
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import pin
+from .common import own, unused
 
 WEIGHTS = (1.0, 2.0, 3.0)
 CAP = 3
@@ -83,6 +86,23 @@ def _crossing(counted: DataFrame, at: str) -> DataFrame:
     )
 
 
+def per_word(known: DataFrame, source: list[str]) -> DataFrame:
+    """Rows ``(*source, a_word)``: the inclusion probability a word brings, where words are left.
+
+    Documents too long for it are certain. The longest that are not, and what is left without
+    the certain ones, give the probability: expected words are those left.
+    """
+    sizes = known.where("left > 0 AND size > 0").groupBy(*source, "left", "size").agg(F.count(F.lit(1)).alias("n"))
+    longer = Window.partitionBy(*source).orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    shorter = Window.partitionBy(*source).orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.col("size").cast("double")
+    certain = F.coalesce(F.sum(F.col("n") * size).over(longer), F.lit(0.0))
+    squares = F.sum(F.col("n") * size * size).over(shorter)
+    rows = sizes.select(*source, "size", ((F.col("left") - certain) / squares).alias("a_word"))
+    fits = rows.where(F.col("a_word") * F.col("size") <= 1)
+    return fits.groupBy(*source).agg(F.max_by("a_word", "size").alias("a_word"))
+
+
 def mixed(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: int = 17, bins: int = BINS
 ) -> DataFrame:
@@ -108,15 +128,13 @@ def mixed(
     known = sized.join(shares, source).withColumns(
         {"whole": F.when(F.col("source_size") > 0, F.least(F.floor(expected), F.lit(cap))).otherwise(0), "u": u}
     )
-    known = known.withColumn("p", F.when(F.col("source_size") > 0, expected - F.col("whole")).otherwise(0.0))
-    # u itself is the place of a rank among the ranks of equal p; bins follow it.
-    known = known.withColumns(
-        {
-            "rank": F.when((F.col("p") > 0) & (F.col("p") < 1), odds),
-            "bin": F.floor(F.col("u") * bins),
-            "left": F.col("target") - F.col("whole") * F.col("source_size"),
-        }
-    )
+    known = known.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
+    # Where no words are left there is no probability a word brings.
+    p = F.when(F.col("a_word").isNotNull(), F.least(F.col("a_word") * F.col("size"), F.lit(1.0)))
+    known = known.join(pin(per_word(known, source), "a-word"), source, "left").withColumn("p", F.coalesce(p, F.lit(0.0)))
+    # Ranks from 0 up are brought between 0 and 1; a certain document comes first.
+    rank = F.when(F.col("p") >= 1, F.lit(0.0)).when(F.col("p") > 0, odds)
+    known = known.withColumn("rank", rank).withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * bins))
     open_rows = known.where("rank IS NOT NULL")
     counted = open_rows.groupBy(*source, "left", "bin").agg(F.sum("size").alias("n"))
     counted = pin(counted.withColumn("range", F.floor(F.col("bin") / RANGE)), "bins")
@@ -143,10 +161,9 @@ def mixed(
 def sample(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     key = F.xxhash64(F.coalesce("text", F.lit("")), F.lit(seed))
-    taken = mixed(docs, seed=seed, **options).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "copies").distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_digest"))
-    repeated = docs.join(taken, same).select(
-        *(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")
-    )
-    return repeated.drop("_copy")
+    taken, copy = unused(docs, "_taken"), unused(docs, "_copy")
+    rows = mixed(docs, seed=seed, **options).where("copies > 0")
+    rows = rows.select(F.struct("doc_id", "digest", "copies").alias(taken)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(f"{taken}.doc_id")) & (key == F.col(f"{taken}.digest"))
+    copies = F.explode(F.sequence(F.lit(1), F.col(f"{taken}.copies"))).alias(copy)
+    return docs.join(rows, same).select(*own(docs), copies).drop(copy)

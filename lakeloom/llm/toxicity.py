@@ -5,11 +5,13 @@ labelled documents (``SAMPLE`` of each label, by hash of the id), words and thei
 get log odds between the labels; tokens of toxic documents whose log odds are high are
 toxic, all others are not. The chain has the two tags, and features of a token are the bins
 of its own, the previous and the next token's log odds. It is trained by gradient steps on
-the exact likelihood. Scores are then fitted by logistic regression on what the chain says
-of the sample's documents.
+the likelihood of the sample's segments of ``SEGMENT`` tokens. Scores are then fitted by
+logistic regression on what the chain says of the sample's documents.
 
-Scoring. Each text is cut into segments of ``SEGMENT`` tokens, all of them scored by
-forward-backward; features look over the cuts. The marginals of the toxic tag make the
+Scoring. The marginals are those of one chain over the whole text. So that a text of any
+length is worked off by rows of ``SEGMENT`` tokens, each row is first reduced to the 2 x 2
+matrix that carries a message through it; messages go from row to row by these matrices, and
+forward-backward inside the rows starts from them. The marginals of the toxic tag make the
 document's score, and runs of toxic tokens its offending spans, as offsets in characters.
 
 Only the text is an input of a score. What is sent to tasks is bounded: ``LEXICON`` entries
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, unused
 
 SAMPLE = 2000
 LEXICON = 20_000
@@ -65,16 +67,53 @@ class Chain:
         return self.own[bins] + self.before[before] + self.after[after]
 
 
-def marginals(emission: np.ndarray, real: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def transfers(emission: np.ndarray, real: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """For each row of tokens the matrix from tags at its first token to tags at its last, up to scale."""
+    move, weight = np.exp(moves), np.exp(np.clip(emission, -30, 30))
+    through = np.zeros((len(emission), 2, 2))
+    through[:, 0, 0], through[:, 1, 1] = 1, weight[:, 0]
+    for t in range(1, emission.shape[1]):
+        following = through @ move
+        following[:, :, 1] *= weight[:, t, None]
+        following /= following.sum((1, 2), keepdims=True)
+        through = np.where(real[:, t, None, None], following, through)
+    return through
+
+
+def messages(through: np.ndarray, rank: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each row of a text hears from the rows before and after it; ``rank`` is its place in the text."""
+    move, n = np.exp(moves), len(rank)
+    before, after = np.ones((n, 2)), np.ones((n, 2))
+    order = np.argsort(rank, kind="stable")
+    cuts = np.searchsorted(rank[order], np.arange(int(rank.max()) + 2))
+    turns = [order[cuts[r] : cuts[r + 1]] for r in range(1, len(cuts) - 1)]
+    for row in turns:
+        heard = (before[row - 1][:, None] @ through[row - 1])[:, 0] @ move
+        before[row] = heard / heard.sum(1, keepdims=True)
+    for row in reversed(turns):
+        heard = (through[row] @ after[row][:, :, None])[:, :, 0] @ move.T
+        after[row - 1] = heard / heard.sum(1, keepdims=True)
+    return before, after
+
+
+def marginals(
+    emission: np.ndarray,
+    real: np.ndarray,
+    moves: np.ndarray,
+    before: np.ndarray | None = None,
+    after: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """Forward-backward over rows of segments: toxic marginals, and expected moves summed.
 
-    ``real`` marks tokens; the rest of a segment is filled up and carries no weight.
+    ``real`` marks tokens; the rest of a segment is filled up and carries no weight. Messages
+    come in from ``before`` and ``after`` a row; without them a row is a chain of its own.
     """
     n, length = emission.shape
     move = np.exp(moves)
     weight = np.exp(np.clip(emission, -30, 30))
     forward = np.empty((length, n, 2))
-    state = np.stack((np.ones(n), weight[:, 0]), 1)
+    state = np.ones((n, 2)) if before is None else before.copy()
+    state[:, 1] *= weight[:, 0]
     forward[0] = state / state.sum(1, keepdims=True)
     for t in range(1, length):
         state = forward[t - 1] @ move
@@ -82,7 +121,7 @@ def marginals(emission: np.ndarray, real: np.ndarray, moves: np.ndarray) -> tupl
         state /= state.sum(1, keepdims=True)
         forward[t] = np.where(real[:, t, None], state, forward[t - 1])
     toxic = np.zeros((n, length))
-    back = np.ones((n, 2))
+    back = np.ones((n, 2)) if after is None else after
     expected = np.zeros((2, 2))
     for t in range(length - 1, -1, -1):
         joint = forward[t] * back
@@ -143,10 +182,14 @@ class Model:
             bins = bin_of(odds)
             emission = self.chain.emissions(bins, *neighbours(bins, lengths))
             places, real = segments(odds, lengths)
-            for at in range(0, len(places), 4096):
-                p, r = places[at : at + 4096], real[at : at + 4096]
-                toxic, _ = marginals(emission[p], r, self.chain.moves)
-                out[p[r]] = toxic[r]
+            rows, moves = -(-lengths // SEGMENT), self.chain.moves
+            rank = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
+            steps = [slice(at, at + 4096) for at in range(0, len(places), 4096)]
+            through = np.concatenate([transfers(emission[places[k]], real[k], moves) for k in steps])
+            before, after = messages(through, rank, moves)
+            for k in steps:
+                toxic, _ = marginals(emission[places[k]], real[k], moves, before[k], after[k])
+                out[places[k][real[k]]] = toxic[real[k]]
         return out, lengths
 
     def features(self, toxic: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -295,13 +338,14 @@ def accepted(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> Da
     if model is None:
         return docs
 
+    text = unused(docs, "_scored_text")
+
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_scored_text"):
-            scores = model.scores(batch.column("_scored_text").to_pylist())[0]
-            yield batch.drop_columns(["_scored_text"]).filter(pa.array(scores < threshold))
+        for batch in pieces(batches, text):
+            scores = model.scores(batch.column(text).to_pylist())[0]
+            yield batch.drop_columns([text]).filter(pa.array(scores < threshold))
 
-    text = F.coalesce("text", F.lit("")).cast("binary")
-    return docs.withColumn("_scored_text", text).mapInArrow(keep, docs.schema)
+    return docs.withColumn(text, F.coalesce("text", F.lit("")).cast("binary")).mapInArrow(keep, docs.schema)
 
 
 def held_out(folds: int = 3, fold: int = 1):
