@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from lakeloom.operators.landing import group_candidates, resolve_conflicts, skip_landed
 from lakeloom.operators.links import file_rows
-from lakeloom.schemas import CANDIDATES, OBJECTS
+from lakeloom.schemas import CANDIDATES, OBJECTS, PAGES
 from lakeloom.session import pin, scratch_path
 from lakeloom.sinks import SINKS, Layer
 from lakeloom.sinks.layer import BUCKETS
 from lakeloom.sinks.row_sink import land_rows
+from lakeloom.sources import SOURCES, SourceSpec
 from lakeloom.sources.scans import read_objects
 from lakeloom.streaming.arrivals import stream_objects, stream_rows
 
@@ -121,6 +122,36 @@ def test_bytes_are_not_read_for_names(spark, tables):
     assert "content" not in scan and "PushedFilters: [GreaterThan(length,10)" in scan.replace("IsNotNull(length), ", "")
 
 
+def test_only_listed_pages_are_parsed(spark, tables):
+    pages = spark.read.parquet(f"{tables}/pages.parquet")
+    urls = pages.limit(3).selectExpr("page_id pos", "url")
+    text = plan(SOURCES["crawler"](SourceSpec(urls, "raw", pages=pages, suffix="er")))
+    parse = text.index("regexp_extract_all(lambda")
+    assert "BroadcastHashJoin [_url" in text[parse:] and "Inner" in text[parse:]
+
+
+def test_a_url_listed_very_often_is_dealt_out(spark):
+    """A hundred thousand listings of one page of ten links: a million candidates, no task with a tenth of them."""
+    page = "".join(f"<a href=f{k}.csv>" for k in range(10))
+    pages = spark.createDataFrame([(1, "http://h/p", page), (2, "http://h/q", "<a href=one.csv>")], PAGES)
+    listed = spark.range(100_000).selectExpr("id pos", "'http://h/p' url")
+    listed = listed.unionByName(spark.createDataFrame([(-1, "http://h/q"), (-2, "http://h/gone")], "pos long, url string"))
+    rows = SOURCES["crawler"](SourceSpec(listed, "raw", pages=pages))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = SOURCES["crawler"](SourceSpec(listed, "raw", pages=pages))
+        tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        found = {(r.target_key, r.reason): r["count"] for r in rows.groupBy("target_key", "reason").count().collect()}
+    finally:
+        for name in ("autoBroadcastJoinThreshold", "adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found == {**{(f"raw/f{k}.csv", None): 100_000 for k in range(10)}, ("raw/one.csv", None): 1, (None, "page_missing"): 1}
+    assert max(tasks) < sum(tasks) / 4 and len(tasks) > 10
+
+
 def test_links_are_extracted_once(spark, tables):
     pages = spark.read.parquet(f"{tables}/pages.parquet")
     text = plan(file_rows(pages, ".csv"))
