@@ -115,17 +115,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     found = hits.groupBy("digest").agg(F.collect_set("print").alias("found"))
     opened = texts.join(found, "digest").select("digest", words_of(F.col("text")).alias("words"), "found")
 
-    starts = None
+    # All lengths are cut out in one pass over the words.
+    cut = []
     for n, length in [(gram, window), *((n, n) for n in short)]:
         hit = f"array_contains(found, xxhash64({n}, {_run(n, 'i')}))"
         places = f"filter(sequence(0, size(words) - {n}), i -> {hit})"
         around = f"transform({places}, p -> sequence(greatest(0, p - {length - n}), p))"
         inside = f"filter(array_distinct(flatten({around})), i -> i + {length} <= size(words))"
-        phrases = f"transform({inside}, i -> struct(i AS start, concat_ws(' ', {_run(length, 'i')}) AS phrase))"
-        some = f"CASE WHEN size(words) >= {length} THEN {phrases} END"
-        cut = opened.select("digest", F.expr(f"inline_outer({some})"))
-        cut = cut.withColumn("length", F.lit(length))
-        starts = cut if starts is None else starts.unionByName(cut)
+        phrase = f"struct(i AS start, {length} AS length, concat_ws(' ', {_run(length, 'i')}) AS phrase)"
+        none = f"filter(array(struct(0 AS start, {length} AS length, '' AS phrase)), x -> false)"
+        cut.append(f"CASE WHEN size(words) >= {length} THEN transform({inside}, i -> {phrase}) ELSE {none} END")
+    starts = opened.select("digest", F.expr(f"inline_outer(concat({', '.join(cut)}))"))
 
     joined = starts.join(windows, "phrase")
     spans = joined.groupBy("digest").agg(
