@@ -7,7 +7,7 @@ import mimetypes
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import apply_sql, let, literal, literal_map
+from .text import literal_map
 
 # Fixed value: the type of everything unknown.
 DEFAULT_TYPE = "application/octet-stream"
@@ -22,19 +22,28 @@ ENCODINGS = list(_REGISTRY.encodings_map)
 SHORTHANDS = {short: "." + full.split(".")[1] for short, full in _REGISTRY.suffix_map.items()}
 
 # Last ``.xyz`` of the file name; a leading dot does not start one.
-_EXTENSION = literal(r"[^/.][^/]*(\.[^/.]*)\z")
+_EXTENSION = r"[^/.][^/]*(\.[^/.]*)\z"
 
 
-def _listed(names: list[str] | dict[str, str]) -> str:
-    return ", ".join(map(literal, names))
+def _extension(key: Column) -> Column:
+    return F.regexp_extract(key, _EXTENSION, 1)
+
+
+def _looked_up(table: dict[str, str], c: Column) -> Column:
+    """The value of a constant map, or NULL. Only keys of the same length are compared."""
+    by_length: dict[int, dict[str, str]] = {}
+    for key, value in table.items():
+        by_length.setdefault(len(key), {})[key] = value
+    found = F.lit(None).cast("string")
+    for n, part in sorted(by_length.items(), key=lambda item: len(item[1])):
+        found = F.when(F.length(c) == n, F.try_element_at(F.expr(literal_map(part)), c)).otherwise(found)
+    return found
 
 
 def content_type(key: Column, table: dict[str, str] | None = None) -> Column:
     """Type of a key by its extension, looked up in ``table`` or the usual one."""
-    inner = f"""
-CASE WHEN ext IN ({_listed(ENCODINGS)})
-     THEN regexp_extract(substr(x.key, 1, length(x.key) - length(ext)), {_EXTENSION}, 1)
-     ELSE coalesce(try_element_at({literal_map(SHORTHANDS)}, lower(ext)), ext) END"""
-    found = f"try_element_at({literal_map(table or EXTENSION_TYPES)}, lower({inner}))"
-    typed = let("ext", f"regexp_extract(x.key, {_EXTENSION}, 1)", found)
-    return F.coalesce(apply_sql(typed, key=key), F.lit(DEFAULT_TYPE))
+    last = _extension(key)
+    before = _extension(F.substr(key, F.lit(1), F.length(key) - F.length(last)))
+    short = F.coalesce(_looked_up(SHORTHANDS, F.lower(last)), last)
+    inner = F.when(last.isin(ENCODINGS), before).otherwise(short)
+    return F.coalesce(_looked_up(table or EXTENSION_TYPES, F.lower(inner)), F.lit(DEFAULT_TYPE))
