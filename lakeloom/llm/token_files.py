@@ -8,8 +8,10 @@ stream) and the mark ``BITPACK1``. A block unpacks in one numpy step, and the of
 any document without reading the rest of its file.
 
 Documents are range-partitioned and sorted by doc_id, so files follow each other in that
-order. Text is split at ASCII white space, which the tokenizer drops, and each distinct
-word of a task is encoded once; the ids are those of the whole text.
+order. Text is split at ASCII white space, which the tokenizer drops, and between a letter
+and a mark, where its pattern cuts; ASCII letters are put in lower case, as it folds them,
+but in pieces that could hold a special token. So few distinct words are left, which Arrow
+numbers; each one of a task is encoded once. The ids are those of the whole text.
 
 Nulls, empty texts, ties: a null text is empty and has only the end id. Rows without a
 doc_id come first. Rows that repeat a doc_id are each written, ordered by their text's
@@ -19,12 +21,15 @@ hash. An empty table makes no rows. Other columns are not looked at.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +38,18 @@ from ..session import pin, scratch_path
 from .common import pieces
 from .files import create, open_file
 
+# Letters that are small and composed, and letters in every version of Unicode: neither the
+# normalizer nor the pattern changes a word of them, so the merges alone are asked.
+PLAIN_LETTERS = "abcdefghijklmnopqrstuvwxyz\u00df" + "".join(map(chr, [*range(0xE0, 0xF7), *range(0xF8, 0x100)]))
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+# Stands after each text; no byte of UTF-8, so no word.
+AFTER = b"\xff"
+
 BLOCK = 1 << 16
+PIECE_BYTES = 4 << 20
+# Text of about so many bytes goes to a task, which has few words to encode that it has not
+# met before; of less text, no more than so many bytes while cores are idle.
+TASK_BYTES, IDLE_BYTES = 64 << 20, 4 << 20
 END = 2
 CACHED_WORDS = 500_000
 MARK = b"BITPACK1"
@@ -121,44 +137,62 @@ class Reader:
         return self.ids(int(self.starts[place]), int(self.starts[place + 1]))
 
 
+def bytes_shown() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def encoder(path: str, end: int) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to (ids, number of ids of each text), the end id included."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    places: dict[bytes, int] = {}
+    merge = tokenizer.model.tokenize
+    shown = bytes_shown()
+    letters = {ord(c): "".join(shown[b] for b in c.encode()) for c in PLAIN_LETTERS}
+
+    def alone(word: bytes) -> list[int]:
+        return [token.id for token in merge(word.decode().translate(letters))]
+
+    def whole(words: list[bytes]) -> list[list[int]]:
+        found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [e.ids for e in found]
+
+    probes = [c.encode() for c in PLAIN_LETTERS] + [PLAIN_LETTERS.encode()]
+    direct = [alone(p) for p in probes] == whole(probes)
+    places = {AFTER: 0}
     flat, sizes = np.array([end], np.uint32), np.array([1])
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal flat, sizes
         if len(places) > CACHED_WORDS:
             places.clear()
+            places[AFTER] = 0
             flat, sizes = flat[:1], sizes[:1]
-        rows: list[int] = []
-        counts = []
-        fresh: list[str] = []
-        for text in texts:
-            words = text.split()
-            for word in words:
-                place = places.get(word)
-                if place is None:
-                    place = places[word] = len(places) + 1
-                    fresh.append(word.decode())
-                rows.append(place)
-            rows.append(0)
-            counts.append(len(words) + 1)
+        data = b"".join(text + b" " + AFTER + b" " for text in texts)
+        if b"<|" not in data:
+            data = data.lower()
+        apart = pc.replace_substring_regex(pa.array([data], pa.large_binary()), "([A-Za-z])([.,;:!?])", "\\1 \\2")
+        words = pa.array(apart[0].as_py().split(), pa.binary()).dictionary_encode()
+        names = words.dictionary.to_pylist()
+        fresh = [w for w in names if w not in places]
         if fresh:
-            found = [e.ids for e in tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            flat = np.concatenate((flat, np.array([i for ids in found for i in ids], np.uint32)))
-            sizes = np.concatenate((sizes, [len(ids) for ids in found]))
+            plain = [w for w in fresh if PLAIN.fullmatch(w)] if direct else []
+            rest = list(set(fresh).difference(plain))
+            found = [*map(alone, plain), *whole(rest)]
+            places.update(zip([*plain, *rest], range(len(places), len(places) + len(fresh)), strict=True))
+            more = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(more.sum()))
+            flat, sizes = np.concatenate((flat, ids)), np.concatenate((sizes, more))
         starts = np.cumsum(sizes) - sizes
-        picked = np.array(rows)
+        picked = np.fromiter(map(places.__getitem__, names), np.int64, len(names))[words.indices.to_numpy()]
         lengths = sizes[picked]
         ends = np.cumsum(lengths)
         at = np.arange(ends[-1]) - np.repeat(ends - lengths - starts[picked], lengths)
-        bounds = np.cumsum(counts)
-        return flat[at], np.diff(np.concatenate(([0], ends[bounds - 1])))
+        return flat[at], np.diff(np.concatenate(([0], ends[picked == 0])))
 
     return encode
 
@@ -171,7 +205,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -> DataF
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, out, path, n_docs = encoder(tokenizer, end), None, "", 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=PIECE_BYTES):
             if out is None:
                 path = f"{folder}/{uuid.uuid4().hex}.tokens"
                 out = Writer(path, bits)
@@ -186,7 +220,10 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -> DataF
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.cast("binary").alias("text"))
     order = ["doc_id", F.xxhash64("text")]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-total // TASK_BYTES), min(cores, -(-total // IDLE_BYTES)), 1)
+    ordered = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     manifest = ordered.mapInArrow(put, "part bigint, path string, n_docs bigint, n_tokens bigint")
     return pin(manifest, "manifest")
 
