@@ -13,9 +13,11 @@ was not seen, and the first token of a text, leave ``p(w | c)``.
 
 All levels are cut into files: level 1 by ranges of hashes, levels 2 and 3 by ranges of
 contexts with about ``SHARD_TOKENS`` tokens each; a popular context is cut by
-successors. Bigrams and trigrams are counted per task first and travel as sorted blocks. A
-scoring task maps the files it needs into memory and asks for the distinct words, bigrams
-and trigrams of a few MiB of text at a time. Nothing but file names passes through the driver.
+successors. Once level 1 is there, texts are written as the numbers of their words, so they
+are cut and hashed twice in all. Bigrams and trigrams are counted per task first and travel
+as sorted blocks. A scoring task maps the files it needs into memory and asks for the
+distinct bigrams and trigrams of ``PIECE_TOKENS`` tokens at a time; sorted keys are cut at
+the files' first keys. Nothing but file names passes through the driver.
 
 Nulls, empty texts, ties: a null or empty text is the end token alone. Rows that repeat
 a doc_id are counted and scored each. A row without a doc_id is trained on. Without
@@ -35,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin, scratch_path
-from .common import pieces, word_hashes
+from .common import offsets, pieces, word_hashes
 from .elias_fano import EliasFano, encode, load, save
 
 DISCOUNT = 0.75
 SHARD_TOKENS = 2_000_000
+PIECE_TOKENS = 400_000
 HELD = 400_000  # distinct keys a task counts before it passes them on
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))
 
@@ -87,6 +90,14 @@ class Tally:
         return found
 
 
+def parts(keys: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The files that sorted keys fall into, by the files' first keys, and the keys of each."""
+    cuts = [*np.searchsorted(keys, firsts), len(keys)]
+    for k in range(len(firsts)):
+        if cuts[k] < cuts[k + 1]:
+            yield k, slice(cuts[k], cuts[k + 1])
+
+
 class Vocabulary:
     """Level 1: files ``(path, first hash, words before)`` in order."""
 
@@ -138,14 +149,14 @@ class Successors:
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Discounted probabilities of sorted keys and their places, 0 and -1 where a bigram was not seen."""
         out, places = np.zeros(len(keys)), np.full(len(keys), -1)
-        shard = np.searchsorted(self.firsts, keys, "right") - 1
-        for k in np.unique(shard[shard >= 0]):
-            level, _, code, book, _, last, _ = self._file(int(k))
-            at = np.flatnonzero((shard == k) & (keys <= np.uint64(last)))
-            if len(at):
-                place, equal = level.successor(keys[at] - self.firsts[k])
-                out[at[equal]] = book[code[place[equal]]]
-                places[at[equal]] = place[equal] + self.files[k][2]
+        for k, part in parts(keys, self.firsts):
+            level, _, code, book, _, last, _ = self._file(k)
+            asked = keys[part]
+            asked = asked[: np.searchsorted(asked, np.uint64(last), "right")]
+            place, equal = level.successor(asked - self.firsts[k])
+            at = part.start + np.flatnonzero(equal)
+            out[at] = book[code[place[equal]]]
+            places[at] = place[equal] + self.files[k][2]
         return out, places
 
     def counts(self, places: np.ndarray) -> np.ndarray:
@@ -191,19 +202,17 @@ class Trigrams:
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Discounted probabilities of sorted keys, 0 where not seen, and how many trigrams are smaller."""
         out, smaller = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
-        shard = np.searchsorted(self.firsts, keys, "right") - 1
-        for k in np.unique(shard[shard >= 0]).tolist():
+        for k, part in parts(keys, self.firsts):
             if k not in self.open:
                 arrays = load(self.files[k][0])
                 self.open[k] = EliasFano(arrays), arrays["code"], arrays["book"], int(arrays["last"][0])
             level, code, book, last = self.open[k]
-            at = np.flatnonzero(shard == k)
-            smaller[at] = self.ends[k]
-            at = at[keys[at] <= np.uint64(last)]
-            if len(at):
-                place, equal = level.successor(keys[at] - self.firsts[k])
-                out[at[equal]] = book[code[place[equal]]]
-                smaller[at] = place + self.files[k][2]
+            smaller[part] = self.ends[k]
+            asked = keys[part]
+            asked = asked[: np.searchsorted(asked, np.uint64(last), "right")]
+            place, equal = level.successor(asked - self.firsts[k])
+            out[part.start + np.flatnonzero(equal)] = book[code[place[equal]]]
+            smaller[part.start : part.start + len(asked)] = place + self.files[k][2]
         return out, smaller
 
     def distinct(self, places: np.ndarray) -> np.ndarray:
@@ -246,6 +255,35 @@ def _source(docs: DataFrame, folds: int, fold: int) -> DataFrame:
     return docs.select("doc_id", held.alias("held_out"), text.alias("text"))
 
 
+def numbers(docs: DataFrame, files: list[tuple[str, int, int]], size: int) -> DataFrame:
+    """Rows ``(doc_id, held_out, numbers)``: each text as the numbers of its tokens, 4 or 8 bytes each."""
+    kind = number_kind(size)
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(files, size)
+        for batch in pieces(batches, size=4 * PIECE_TOKENS):
+            hashes, counts = tokens(batch)
+            distinct, where = np.unique(hashes, return_inverse=True)
+            found = vocabulary.find(distinct)[0].astype(kind)[where]
+            ends = np.concatenate(([0], np.cumsum(counts))) * kind.itemsize
+            column = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(found)]
+            )
+            columns = [batch.column("doc_id"), batch.column("held_out"), column.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "numbers"])
+
+    form = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, numbers binary"
+    return pin(docs.mapInArrow(number, form), "numbers")
+
+
+def number_kind(size: int) -> np.dtype:
+    return np.dtype(np.int32 if size < 2**31 - 1 else np.int64)
+
+
+def numbered(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    return pieces(batches, "numbers", PIECE_TOKENS * number_kind(size).itemsize)
+
+
 def learn_vocabulary(train: DataFrame, folder: str) -> DataFrame:
     """Count the words and write level 1; one row per file."""
 
@@ -339,11 +377,13 @@ def learn(docs: DataFrame, folder: str, discount: float) -> dict:
     cuts = np.unique(np.array(cuts, np.uint64))
     started = train.count()
     total = sum(r.tokens for r in rows)
+    texts = numbers(docs, files, size)
+    train = texts.where("NOT held_out")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, tally = Vocabulary(files, size), Tally()
-        for batch in pieces(batches):
-            tally.add(bigrams(batch, vocabulary)[0])
+        tally = Tally()
+        for batch in numbered(batches, size):
+            tally.add(bigrams(batch, size)[0])
             if tally.size > HELD:
                 yield blocks(tally, cuts)
         yield blocks(tally, cuts)
@@ -377,7 +417,7 @@ def learn(docs: DataFrame, folder: str, discount: float) -> dict:
             {"shard": [shard["shard"].iloc[0]], "path": [path], "n": [len(keys)], "place": [place], "share": [share]}
         )
 
-    counted = train.select("text").mapInArrow(count, "shard int, keys binary, counts binary")
+    counted = train.select("numbers").mapInArrow(count, "shard int, keys binary, counts binary")
     built = "shard int, path string, n bigint, place array<bigint>, share array<double>"
     level2 = pin(counted.groupBy("shard").applyInPandas(build, built), "level2")
     second, places, above = [], 0, [0]
@@ -387,23 +427,23 @@ def learn(docs: DataFrame, folder: str, discount: float) -> dict:
         above += [(p + places) * width + int(s * size) for p, s in zip(r.place, r.share, strict=True)]
         places += r.n
         above.append(places * width)
-    third, trigrams = learn_trigrams(train, folder, discount, files, second, size, np.unique(np.array(above, np.uint64)))
+    third, trigrams = learn_trigrams(train, folder, discount, second, size, np.unique(np.array(above, np.uint64)))
     return {
-        "files": files, "size": size, "tokens": total, "started": started,
+        "files": files, "size": size, "tokens": total, "started": started, "texts": texts,
         "successors": second, "trigrams": (third, trigrams), "discount": discount,
     }
 
 
 def learn_trigrams(
-    train: DataFrame, folder: str, discount: float, files: list, second: list, size: int, cuts: np.ndarray
+    train: DataFrame, folder: str, discount: float, second: list, size: int, cuts: np.ndarray
 ) -> tuple[list[tuple[str, int, int]], int]:
     """Count the trigrams and write level 3; its files and how many trigrams there are."""
     width = size + 1
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, successors, tally = Vocabulary(files, size), Successors(second, width), Tally()
-        for batch in pieces(batches):
-            keys, *_, counts = bigrams(batch, vocabulary)
+        successors, tally = Successors(second, width), Tally()
+        for batch in numbered(batches, size):
+            keys, *_, counts = bigrams(batch, size)
             distinct, where = np.unique(keys, return_inverse=True)
             tally.add(trigrams(keys, successors.find(distinct)[1][where], counts, width)[1])
             if tally.size > HELD:
@@ -420,7 +460,7 @@ def learn_trigrams(
         save(path, arrays | codes | {"last": np.array([last], np.uint64)})
         return pd.DataFrame({"shard": [shard["shard"].iloc[0]], "path": [path], "n": [len(keys)]})
 
-    counted = train.select("text").mapInArrow(count, "shard int, keys binary, counts binary")
+    counted = train.select("numbers").mapInArrow(count, "shard int, keys binary, counts binary")
     level3 = pin(counted.groupBy("shard").applyInPandas(build, "shard int, path string, n bigint"), "level3")
     third, before = [], 0
     for r in level3.orderBy("shard").collect():
@@ -442,7 +482,7 @@ def trigrams(keys: np.ndarray, places: np.ndarray, counts: np.ndarray, width: in
 
 
 def context_counts(vocabulary: Vocabulary, contexts: np.ndarray, started: int) -> np.ndarray:
-    """How often each sorted context was followed; the number ``size`` stands for a text's start."""
+    """How often each sorted word was counted; the number ``size`` stands for a text's start, ``started`` times there."""
     out = np.full(len(contexts), started, np.int64)
     befores = [f[2] for f in vocabulary.files] + [vocabulary.size]
     for k, (_, _, before) in enumerate(vocabulary.files):
@@ -452,22 +492,22 @@ def context_counts(vocabulary: Vocabulary, contexts: np.ndarray, started: int) -
     return out
 
 
-def bigrams(batch: pa.RecordBatch, vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
-    """Keys of all bigrams of the texts, the known flag and count of each token, tokens per text.
+def bigrams(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, ...]:
+    """Keys of all bigrams of numbered texts, contexts, the unknown among them, numbers, tokens per text.
 
     The context of a first word is the start, numbered ``size``; an unknown context has no key.
     """
-    hashes, counts = tokens(batch)
-    distinct, where = np.unique(hashes, return_inverse=True)
-    numbers, n = vocabulary.find(distinct)
-    number = numbers[where]
+    column, kind = batch.column("numbers"), number_kind(size)
+    at = offsets(column)
+    number = np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].view(kind).astype(np.int64)
+    counts = np.diff(at) // kind.itemsize
     context = np.concatenate(([0], number[:-1]))
-    unknown = context == vocabulary.size
+    unknown = context == size
     firsts = np.cumsum(counts) - counts
-    context[firsts] = vocabulary.size
+    context[firsts] = size
     unknown[firsts] = False
-    keys = context.astype(np.uint64) * np.uint64(vocabulary.size + 1) + number.astype(np.uint64)
-    return keys, context, unknown, n[where], counts
+    keys = context.astype(np.uint64) * np.uint64(size + 1) + number.astype(np.uint64)
+    return keys, context, unknown, number, counts
 
 
 def score(docs: DataFrame, folds: int = 7, fold: int = 2, discount: float = DISCOUNT) -> DataFrame:
@@ -475,14 +515,16 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, discount: float = DISC
     spark = docs.sparkSession
     source = _source(docs, folds, fold)
     model = learn(source, scratch_path(spark, "ngrams"), discount)
-    size, total = model["size"], model["tokens"]
+    size, total, texts = model["size"], model["tokens"], model.pop("texts")
 
     def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model["files"], size)
         successors = Successors(model["successors"], size + 1)
         level3 = Trigrams(*model["trigrams"], size + 1)
-        for batch in pieces(batches):
-            keys, context, unknown, n, counts = bigrams(batch, vocabulary)
+        for batch in numbered(batches, size):
+            keys, context, unknown, number, counts = bigrams(batch, size)
+            distinct, where = np.unique(number, return_inverse=True)
+            n = context_counts(vocabulary, distinct, 0)[where]
             p1 = (n + 1) / (total + size + 1)
             distinct, where = np.unique(keys, return_inverse=True)
             found, places = successors.find(distinct)
@@ -514,7 +556,7 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, discount: float = DISC
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(
+    return texts.mapInArrow(
         rate,
         f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double",
