@@ -8,8 +8,9 @@ probability ``(n - d) / n(context)`` in 8 bits on a logarithmic scale. The model
 interpolates: ``p(w | c) = discounted + d * distinct(c) / n(c) * p1(w)``, where ``p1``
 adds one to each count. An unknown context leaves ``p1``. Level 3 is of the same form: a
 context is the place of a bigram in level 2, which also holds exact counts as a monotone
-sequence of their sums, and ``p(w | b, c)`` interpolates with ``p(w | c)``. A context that
-was not seen, and the first token of a text, leave ``p(w | c)``.
+sequence of their sums, and ``p(w | b, c)`` interpolates with ``p(w | c)``; its pointers are
+from each place of a bigram to where its successors end. A context that was not seen, and
+the first token of a text, leave ``p(w | c)``.
 
 All levels are cut into files: level 1 by ranges of hashes, levels 2 and 3 by ranges of
 contexts with about ``SHARD_TOKENS`` tokens each; a popular context is cut by
@@ -17,7 +18,8 @@ successors. Once level 1 is there, texts are written as the numbers of their wor
 are cut and hashed twice in all. Bigrams and trigrams are counted per task first and travel
 as sorted blocks. A scoring task maps the files it needs into memory and asks for the
 distinct bigrams and trigrams of ``PIECE_TOKENS`` tokens at a time; sorted keys are cut at
-the files' first keys. Nothing but file names passes through the driver.
+the files' first keys. What holds for a context, which is the front part of a key, is asked
+once for its keys. Nothing but file names passes through the driver.
 
 Nulls, empty texts, ties: a null or empty text is the end token alone. Rows that repeat
 a doc_id are counted and scored each. A row without a doc_id is trained on. Without
@@ -32,6 +34,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,22 +50,45 @@ HELD = 400_000  # distinct keys a task counts before it passes them on
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))
 
 
-def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of all texts, each closed by the end, and the number of each."""
-    found = [text.lower().split() for text in batch.column("text").to_pylist()]
-    counts = np.array([len(words) + 1 for words in found], np.int64)
-    out = np.full(int(counts.sum()), END)
-    keep = np.ones(len(out), bool)
+def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts and of the end, sorted, which of them each token is, tokens per text.
+
+    Each text is closed by the end. Texts are bytes to Arrow here, whatever they hold.
+    """
+    column = batch.column("text")
+    kind = pa.large_string() if pa.types.is_large_binary(column.type) else pa.string()
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(column.view(kind)))
+    split = pc.ascii_split_whitespace(texts)
+    counts = np.diff(split.offsets.to_numpy()).astype(np.int64)
+    words = split.flatten()
+    bare = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    if bare.any():
+        # An empty text is split into one empty word.
+        words = words.filter(pa.array(np.repeat(~bare, counts)))
+        counts[bare] = 0
+    counts += 1
+    coded = words.dictionary_encode()
+    hashes = np.append(word_hashes(coded.dictionary.view(column.type).to_numpy(zero_copy_only=False)), END)
+    which = np.full(int(counts.sum()), len(hashes) - 1)
+    keep = np.ones(len(which), bool)
     keep[np.cumsum(counts) - 1] = False
-    out[keep] = word_hashes([w for words in found for w in words])
-    return out, counts
+    which[keep] = coded.indices.to_numpy()
+    order = np.argsort(hashes)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return hashes[order], place[which], counts
 
 
 def add_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sums of their counts."""
-    flat, n = np.concatenate(keys), np.concatenate(counts)
+    """Distinct keys in order, and the sums of their counts. The lists are emptied, so that memory is free early."""
+    flat = np.concatenate(keys)
+    keys.clear()
+    n = np.concatenate(counts)
+    counts.clear()
     order = np.argsort(flat, kind="stable")
-    flat, n = flat[order], n[order]
+    flat = flat[order]
+    n = n[order]
+    del order
     first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
     return flat[first], np.add.reduceat(n, first)
 
@@ -76,7 +102,9 @@ class Tally:
         self.size = 0
 
     def add(self, keys: np.ndarray) -> None:
-        distinct, counts = np.unique(keys, return_counts=True)
+        self.add_counted(*np.unique(keys, return_counts=True))
+
+    def add_counted(self, distinct: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(distinct)
         self.counts.append(counts)
         self.size += len(distinct)
@@ -166,8 +194,7 @@ class Successors:
         for k, (_, _, before) in enumerate(self.files):
             part = slice(cuts[k], cuts[k + 1])
             if part.start < part.stop:
-                upto, at = self._file(k)[6], places[part] - before
-                out[part] = pointers_at(upto, at) - np.where(at > 0, pointers_at(upto, np.maximum(at - 1, 0)), 0)
+                out[part] = self._file(k)[6].gaps(places[part] - before)
         return out
 
     def distinct(self, contexts: np.ndarray) -> np.ndarray:
@@ -184,68 +211,77 @@ class Successors:
                 place = np.minimum(np.searchsorted(listed, asked), len(listed) - 1)
                 same = listed[place] == asked
                 # Pointers are kept as a monotone sequence: entry i is where the successors of context i end.
-                ends = pointers_at(pointers, place[same])
-                starts = np.where(place[same] > 0, pointers_at(pointers, np.maximum(place[same] - 1, 0)), 0)
-                out[lo:hi][same] += ends - starts
+                out[lo:hi][same] += pointers.gaps(place[same])
         return out
 
 
 class Trigrams:
-    """Level 3: files ``(path, first key, trigrams before)`` in order of keys ``place of the bigram * width + successor``."""
+    """Level 3: files ``(path, first key)`` in order of keys ``place of the bigram * width + successor``."""
 
-    def __init__(self, files: list[tuple[str, int, int]], total: int, width: int):
+    def __init__(self, files: list[tuple[str, int]], width: int):
         self.files, self.width = files, np.uint64(width)
         self.firsts = np.array([f[1] for f in files], np.uint64)
-        self.ends = [f[2] for f in files[1:]] + [total]
         self.open: dict[int, tuple] = {}
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted probabilities of sorted keys, 0 where not seen, and how many trigrams are smaller."""
-        out, smaller = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+    def _file(self, k: int) -> tuple:
+        if k not in self.open:
+            arrays = load(self.files[k][0])
+            self.open[k] = (
+                EliasFano(arrays), EliasFano(arrays, "pointer_"), arrays["code"], arrays["book"], int(arrays["last"][0])
+            )
+        return self.open[k]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Discounted probabilities of sorted keys, 0 where not seen."""
+        out = np.zeros(len(keys))
         for k, part in parts(keys, self.firsts):
-            if k not in self.open:
-                arrays = load(self.files[k][0])
-                self.open[k] = EliasFano(arrays), arrays["code"], arrays["book"], int(arrays["last"][0])
-            level, code, book, last = self.open[k]
-            smaller[part] = self.ends[k]
+            level, _, code, book, last = self._file(k)
             asked = keys[part]
             asked = asked[: np.searchsorted(asked, np.uint64(last), "right")]
             place, equal = level.successor(asked - self.firsts[k])
             out[part.start + np.flatnonzero(equal)] = book[code[place[equal]]]
-            smaller[part.start : part.start + len(asked)] = place + self.files[k][2]
-        return out, smaller
+        return out
 
     def distinct(self, places: np.ndarray) -> np.ndarray:
         """How many successors each of the sorted bigrams has, over all files that hold a part."""
-        contexts = places.astype(np.uint64)
-        return self.find((contexts + np.uint64(1)) * self.width)[1] - self.find(contexts * self.width)[1]
+        out = np.zeros(len(places), np.int64)
+        contexts = (self.firsts // self.width).astype(np.int64)
+        los = np.searchsorted(places, contexts)
+        his = [*np.searchsorted(places, contexts[1:], "right"), len(places)]
+        for k, lo in enumerate(los):
+            if lo < (hi := his[k]):
+                # Entry i of the pointers is where the successors of the file's bigram i end.
+                pointers = self._file(k)[1]
+                asked = places[lo:hi] - contexts[k]
+                asked = asked[: np.searchsorted(asked, pointers.n)]
+                out[lo : lo + len(asked)] += pointers.gaps(asked)
+        return out
 
 
 def pointers_at(sequence: EliasFano, i: np.ndarray) -> np.ndarray:
-    """Entries of an Elias-Fano sequence: high part by the ``i``-th one, low part as it lies."""
-    ones = getattr(sequence, "ones", None)
-    if ones is None:
-        counts = np.bitwise_count(sequence.high).astype(np.int64)
-        ones = sequence.ones = np.concatenate(([0], np.cumsum(counts)))
-    word = np.searchsorted(ones, i, "right") - 1
-    left, rest, place = i - ones[word], sequence.high[word], word * 64
-    for half in (32, 16, 8, 4, 2, 1):
-        count = np.bitwise_count(rest & ((np.uint64(1) << np.uint64(half)) - np.uint64(1))).astype(np.int64)
-        later = left >= count
-        left = np.where(later, left - count, left)
-        rest = np.where(later, rest >> np.uint64(half), rest)
-        place = place + later * half
-    return ((place - i) << sequence.width) + sequence._low(i).astype(np.int64)
+    """Entries of an Elias-Fano sequence."""
+    return sequence.at(i)
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones of sorted values, and which of them each value is."""
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    return values[first], np.cumsum(first) - 1
 
 
 def planes(values: np.ndarray) -> bytes:
-    """The bytes of all values by significance: those that are zero compress to nothing."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    """The bytes of all values by significance, without the highest ones that are zero in all; before them, how many are kept."""
+    width = max((int(values.max(initial=0)).bit_length() + 7) // 8, 1)
+    rows = values.view(np.uint8).reshape(len(values), -1)[:, :width].T
+    return bytes([width]) + np.ascontiguousarray(rows).tobytes()
 
 
 def from_planes(data: bytes, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    rows = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((rows.shape[1], np.dtype(kind).itemsize), np.uint8)
+    out[:, : data[0]] = rows.T
+    return out.view(kind).ravel()
 
 
 def _source(docs: DataFrame, folds: int, fold: int) -> DataFrame:
@@ -262,9 +298,8 @@ def numbers(docs: DataFrame, files: list[tuple[str, int, int]], size: int) -> Da
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(files, size)
         for batch in pieces(batches, size=4 * PIECE_TOKENS):
-            hashes, counts = tokens(batch)
-            distinct, where = np.unique(hashes, return_inverse=True)
-            found = vocabulary.find(distinct)[0].astype(kind)[where]
+            hashes, which, counts = tokens(batch)
+            found = vocabulary.find(hashes)[0].astype(kind)[which]
             ends = np.concatenate(([0], np.cumsum(counts))) * kind.itemsize
             column = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(found)]
@@ -297,7 +332,8 @@ def learn_vocabulary(train: DataFrame, folder: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(order), pa.array(counts)], ["word", "n"])
 
         for batch in pieces(batches):
-            tally.add(tokens(batch)[0])
+            hashes, which, _ = tokens(batch)
+            tally.add_counted(hashes, np.bincount(which, minlength=len(hashes)))
             if tally.size > HELD:
                 yield rows()
         yield rows()
@@ -352,11 +388,16 @@ def merged(shard: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def coded(n: np.ndarray, totals: np.ndarray, discount: float) -> dict[str, np.ndarray]:
     """Discounted probabilities in 8 bits on a logarithmic scale."""
-    log = np.log10((n - discount) / totals)
+    log = n - discount
+    log /= totals
+    np.log10(log, out=log)
     low, high = log.min(), log.max()
     step = max(high - low, 1e-9)
+    log -= low
+    log /= step
+    log *= 255
     return {
-        "code": np.rint((log - low) / step * 255).astype(np.uint8),
+        "code": np.rint(log, out=log).astype(np.uint8),
         "book": 10 ** (low + np.arange(256) / 255 * step),
     }
 
@@ -427,17 +468,17 @@ def learn(docs: DataFrame, folder: str, discount: float) -> dict:
         above += [(p + places) * width + int(s * size) for p, s in zip(r.place, r.share, strict=True)]
         places += r.n
         above.append(places * width)
-    third, trigrams = learn_trigrams(train, folder, discount, second, size, np.unique(np.array(above, np.uint64)))
+    third = learn_trigrams(train, folder, discount, second, size, np.unique(np.array(above, np.uint64)))
     return {
         "files": files, "size": size, "tokens": total, "started": started, "texts": texts,
-        "successors": second, "trigrams": (third, trigrams), "discount": discount,
+        "successors": second, "trigrams": third, "discount": discount,
     }
 
 
 def learn_trigrams(
     train: DataFrame, folder: str, discount: float, second: list, size: int, cuts: np.ndarray
-) -> tuple[list[tuple[str, int, int]], int]:
-    """Count the trigrams and write level 3; its files and how many trigrams there are."""
+) -> list[tuple[str, int]]:
+    """Count the trigrams and write level 3; its files."""
     width = size + 1
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,20 +494,25 @@ def learn_trigrams(
     def build(shard: pd.DataFrame) -> pd.DataFrame:
         keys, n = merged(shard)
         first, last = int(cuts[shard["shard"].iloc[0]]), int(keys[-1])
-        contexts, where = np.unique((keys // np.uint64(width)).astype(np.int64), return_inverse=True)
+        contexts, where = runs((keys // np.uint64(width)).astype(np.int64))
         path = f"{folder}/{uuid.uuid4().hex}.level3"
-        arrays = encode(keys - np.uint64(first), last - first + 1)
         codes = coded(n, Successors(second, width).counts(contexts)[where], discount)
-        save(path, arrays | codes | {"last": np.array([last], np.uint64)})
-        return pd.DataFrame({"shard": [shard["shard"].iloc[0]], "path": [path], "n": [len(keys)]})
+        arrays = encode(keys - np.uint64(first), last - first + 1)
+        ends = np.cumsum(np.bincount((contexts - first // width)[where]))
+        del contexts, where
+        pointers = encode(ends.astype(np.uint64), len(keys) + 1)
+        save(
+            path,
+            arrays
+            | {f"pointer_{k}": v for k, v in pointers.items()}
+            | codes
+            | {"last": np.array([last], np.uint64)},
+        )
+        return pd.DataFrame({"shard": [shard["shard"].iloc[0]], "path": [path]})
 
     counted = train.select("numbers").mapInArrow(count, "shard int, keys binary, counts binary")
-    level3 = pin(counted.groupBy("shard").applyInPandas(build, "shard int, path string, n bigint"), "level3")
-    third, before = [], 0
-    for r in level3.orderBy("shard").collect():
-        third.append((r.path, int(cuts[r.shard]), before))
-        before += r.n
-    return third, before
+    level3 = pin(counted.groupBy("shard").applyInPandas(build, "shard int, path string"), "level3")
+    return [(r.path, int(cuts[r.shard])) for r in level3.orderBy("shard").collect()]
 
 
 def trigrams(keys: np.ndarray, places: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
@@ -520,26 +566,30 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, discount: float = DISC
     def rate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model["files"], size)
         successors = Successors(model["successors"], size + 1)
-        level3 = Trigrams(*model["trigrams"], size + 1)
+        level3 = Trigrams(model["trigrams"], size + 1)
         for batch in numbered(batches, size):
             keys, context, unknown, number, counts = bigrams(batch, size)
-            distinct, where = np.unique(number, return_inverse=True)
-            n = context_counts(vocabulary, distinct, 0)[where]
-            p1 = (n + 1) / (total + size + 1)
             distinct, where = np.unique(keys, return_inverse=True)
             found, places = successors.find(distinct)
+            # What holds for a context is asked once for its bigrams, which lie together.
+            contexts, place = runs((distinct // np.uint64(size + 1)).astype(np.int64))
+            followed = context_counts(vocabulary, contexts, model["started"])
+            rest = discount * successors.distinct(contexts) / np.maximum(followed, 1)
+            # A token is the context of the next one, and the last of each text is the end.
+            lasts = np.cumsum(counts) - 1
+            n = np.roll(followed[place][where], -1)
+            n[number == size] = 0
+            n[lasts] = context_counts(vocabulary, number[lasts[:1]], 0)
+            p1 = (n + 1) / (total + size + 1)
             seen = np.where(unknown, 0.0, found[where])
             places = np.where(unknown, -1, places[where])
-            contexts, place = np.unique(context, return_inverse=True)
-            followed = np.maximum(context_counts(vocabulary, contexts, model["started"]), 1)
-            rest = (discount * successors.distinct(contexts) / followed)[place]
-            p = seen + np.where(unknown, 1.0, np.where(rest > 0, rest, 1.0)) * p1
+            rest = np.where(rest > 0, rest, 1.0)[place][where]
+            p = seen + np.where(unknown, 1.0, rest) * p1
             at, keys = trigrams(keys, places, counts, size + 1)
             distinct, where = np.unique(keys, return_inverse=True)
-            seen = level3.find(distinct)[0][where]
-            known, place = np.unique(places[at - 1], return_inverse=True)
+            known, place = runs((distinct // np.uint64(size + 1)).astype(np.int64))
             rest = discount * level3.distinct(known) / np.maximum(successors.counts(known), 1)
-            p[at] = seen + np.where(rest > 0, rest, 1.0)[place] * p[at]
+            p[at] = level3.find(distinct)[where] + np.where(rest > 0, rest, 1.0)[place][where] * p[at]
             firsts = np.cumsum(counts) - counts
             sums = [np.add.reduceat(x, firsts) for x in ((n > 0).astype(np.int64), np.log10(p1), np.log10(p))]
             columns = [
