@@ -24,6 +24,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -46,12 +47,14 @@ PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 AFTER = b"\xff"
 
 BLOCK = 1 << 16
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 # Text of about so many bytes goes to a task, which has few words to encode that it has not
 # met before; of less text, no more than so many bytes while cores are idle.
 TASK_BYTES, IDLE_BYTES = 64 << 20, 4 << 20
 END = 2
 CACHED_WORDS = 500_000
+# So many new words are asked of the library at once, and so many words turned into ids.
+ASKED_WORDS, SLICE_WORDS = 4096, 1 << 16
 MARK = b"BITPACK1"
 
 
@@ -82,6 +85,8 @@ class Writer:
         self.file.write(pack(ids, self.bits))
 
     def add(self, doc_ids: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> None:
+        # A copy: a column of a batch that was sent keeps the whole batch in memory, with its texts.
+        doc_ids = doc_ids.take(pa.array(np.arange(len(doc_ids))))
         self.docs.append(
             pa.RecordBatch.from_arrays([doc_ids, pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
         )
@@ -157,42 +162,51 @@ def encoder(path: str, end: int) -> Callable[[list[bytes]], tuple[np.ndarray, np
     def alone(word: bytes) -> list[int]:
         return [token.id for token in merge(word.decode().translate(letters))]
 
-    def whole(words: list[bytes]) -> list[list[int]]:
-        found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [e.ids for e in found]
+    def whole(words: list[bytes]) -> Iterator[list[int]]:
+        for at in range(0, len(words), ASKED_WORDS):
+            some = [w.decode() for w in words[at : at + ASKED_WORDS]]
+            yield from (e.ids for e in tokenizer.encode_batch_fast(some, add_special_tokens=False))
 
     probes = [c.encode() for c in PLAIN_LETTERS] + [PLAIN_LETTERS.encode()]
-    direct = [alone(p) for p in probes] == whole(probes)
-    places = {AFTER: 0}
-    flat, sizes = np.array([end], np.uint32), np.array([1])
+    direct = [alone(p) for p in probes] == list(whole(probes))
+    # The empty word, which splitting leaves at the ends, has no ids.
+    places = {AFTER: 0, b"": 1}
+    flat, sizes = np.array([end], np.uint32), np.array([1, 0])
 
     def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal flat, sizes
         if len(places) > CACHED_WORDS:
             places.clear()
-            places[AFTER] = 0
-            flat, sizes = flat[:1], sizes[:1]
+            places.update({AFTER: 0, b"": 1})
+            flat, sizes = flat[:1], sizes[:2]
         data = b"".join(text + b" " + AFTER + b" " for text in texts)
         if b"<|" not in data:
             data = data.lower()
         apart = pc.replace_substring_regex(pa.array([data], pa.large_binary()), "([A-Za-z])([.,;:!?])", "\\1 \\2")
-        words = pa.array(apart[0].as_py().split(), pa.binary()).dictionary_encode()
-        names = words.dictionary.to_pylist()
+        # Only ASCII is looked at, so the mark between the texts need not be UTF-8.
+        split = pc.ascii_split_whitespace(apart.cast(pa.large_string(), safe=False))
+        words = split.flatten().dictionary_encode()
+        names = words.dictionary.cast(pa.large_binary()).to_pylist()
         fresh = [w for w in names if w not in places]
         if fresh:
             plain = [w for w in fresh if PLAIN.fullmatch(w)] if direct else []
             rest = list(set(fresh).difference(plain))
-            found = [*map(alone, plain), *whole(rest)]
             places.update(zip([*plain, *rest], range(len(places), len(places) + len(fresh)), strict=True))
-            more = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(more.sum()))
-            flat, sizes = np.concatenate((flat, ids)), np.concatenate((sizes, more))
+            ids, more = array("I"), array("q")
+            for found in chain(map(alone, plain), whole(rest)):
+                ids.extend(found)
+                more.append(len(found))
+            flat, sizes = np.concatenate((flat, np.array(ids, np.uint32))), np.concatenate((sizes, more))
         starts = np.cumsum(sizes) - sizes
         picked = np.fromiter(map(places.__getitem__, names), np.int64, len(names))[words.indices.to_numpy()]
-        lengths = sizes[picked]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1]) - np.repeat(ends - lengths - starts[picked], lengths)
-        return flat[at], np.diff(np.concatenate(([0], ends[picked == 0])))
+        parts = []
+        for k in range(0, len(picked), SLICE_WORDS):
+            some = picked[k : k + SLICE_WORDS]
+            lengths = sizes[some]
+            ends = np.cumsum(lengths)
+            parts.append(flat[np.arange(ends[-1]) - np.repeat(ends - lengths - starts[some], lengths)])
+        after = np.cumsum(sizes[picked])[picked == 0]
+        return np.concatenate(parts), np.diff(np.concatenate(([0], after)))
 
     return encode
 

@@ -1,10 +1,14 @@
 """Ids of word pieces against the library's own on whole texts."""
 
+import gc
+import io
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from lakeloom.llm import token_files
+from lakeloom.llm.common import pieces
 from lakeloom.llm.queries import word_vocabulary
 
 ODD = [
@@ -44,3 +48,24 @@ def test_plain_letters_are_letters_the_normalizer_leaves():
         assert token_files.PLAIN.fullmatch(c.encode()) and c.lower() == c == unicodedata.normalize("NFC", c)
         assert unicodedata.category(c) == "Ll"
     assert not any(token_files.PLAIN.fullmatch(c.encode()) for c in "A1.÷×É'_́ł")
+
+
+def test_a_writer_keeps_no_texts(tmp_path):
+    """Of a batch that was sent, a file under way keeps the ids and lengths, not the texts."""
+    sent = io.BytesIO()
+    rows = pa.record_batch({"doc_id": pa.array([1, None, 3]), "text": [b"a" * 100_000, b"", b"b c"]})
+    with pa.ipc.new_stream(sent, rows.schema) as out:
+        out.write_batch(rows)
+    received = bytearray(sent.getvalue())
+    writer = token_files.Writer(f"file:{tmp_path}/x.tokens", 16)
+    encode = token_files.encoder(word_vocabulary(), 7)
+    for batch in pieces(pa.ipc.open_stream(pa.py_buffer(received)), size=10):
+        ids, lengths = encode(batch.column("text").to_pylist())
+        writer.add(batch.column("doc_id"), lengths, ids)
+    del batch
+    gc.collect()
+    received.clear()  # fails while anything refers to the batch
+    writer.close()
+    reader = token_files.Reader(f"file:{tmp_path}/x.tokens")
+    assert reader.doc_ids.to_pylist() == [1, None, 3]
+    assert reader.document(1).tolist() == [7]
