@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 
 # A task works on texts in pieces of about this many bytes.
 PIECE_BYTES = 2 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +57,22 @@ def pieces(
             done += n
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is written meanwhile goes to Python in batches of about ``size`` bytes, unless the session names a size.
+
+    Spark's own batches of long texts are tens of MiB, held by the JVM while they grow and twice in Python.
+    """
+    if spark.conf.get(BATCH_CONF, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_CONF, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_CONF)
+
+
 def offsets(column: pa.Array) -> np.ndarray:
     """Where each value of a binary column starts, and where the last one ends."""
     kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32

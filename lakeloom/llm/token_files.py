@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin, scratch_path
-from .common import pieces
+from .common import pieces, small_batches
 from .files import create, open_file
 
 # Letters that are small and composed, and letters in every version of Unicode: neither the
@@ -239,7 +239,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END) -> DataF
     tasks = max(-(-total // TASK_BYTES), min(cores, -(-total // IDLE_BYTES)), 1)
     ordered = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     manifest = ordered.mapInArrow(put, "part bigint, path string, n_docs bigint, n_tokens bigint")
-    return pin(manifest, "manifest")
+    with small_batches(docs.sparkSession, 2 * PIECE_BYTES):
+        return pin(manifest, "manifest")
 
 
 def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:

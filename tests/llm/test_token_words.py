@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from lakeloom.llm import token_files
-from lakeloom.llm.common import pieces
+from lakeloom.llm.common import BATCH_CONF, pieces, small_batches
 from lakeloom.llm.queries import word_vocabulary
 
 ODD = [
@@ -69,3 +69,29 @@ def test_a_writer_keeps_no_texts(tmp_path):
     reader = token_files.Reader(f"file:{tmp_path}/x.tokens")
     assert reader.doc_ids.to_pylist() == [1, None, 3]
     assert reader.document(1).tolist() == [7]
+
+
+def test_texts_are_sent_in_small_batches(spark, tmp_path, monkeypatch):
+    """Files are written from batches of a few MiB; the session's own size stays, and so does an unset one."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    def written(df, label):
+        seen.append(max(r.n for r in texts.mapInArrow(sizes, "n bigint").collect()))
+        return pin(df, label)
+
+    seen, pin = [], token_files.pin
+    texts = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat('ab ', 1000) AS text")
+    monkeypatch.setattr(token_files, "pin", written)
+    got = token_files.packed(texts, word_vocabulary(), folder=f"file:{tmp_path}/a")
+    assert sorted(r.n_tokens for r in got.collect()) == [1001] * 4000
+    assert spark.conf.get(BATCH_CONF, None) is None
+    spark.conf.set(BATCH_CONF, 64 << 20)
+    try:
+        with small_batches(spark, 1 << 20):
+            assert spark.conf.get(BATCH_CONF) == str(64 << 20)
+    finally:
+        spark.conf.unset(BATCH_CONF)
+    assert seen[0] < 2 * token_files.PIECE_BYTES + (1 << 20)
