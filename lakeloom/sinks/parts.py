@@ -180,15 +180,22 @@ def cut(chosen: DataFrame) -> DataFrame:
     return parts.withColumn("stretch", F.floor(at / TASK_BYTES))
 
 
+def dealt(chosen: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The parts of a written table of names, stretches of ``TASK_BYTES`` to one task each; its mounts."""
+    total, mounted = chosen.agg(F.sum(F.col("length") + OPEN_BYTES), F.max(F.col("path").like("viewfs:%"))).first()
+    tasks = max(-(-(total or 0) // TASK_BYTES), 1)
+    mounts = _mounts(chosen) if mounted else {}
+    parts = cut(chosen).repartition(tasks, "path", "stretch").sortWithinPartitions("path", "start", "part_no")
+    return parts.drop("stretch"), mounts
+
+
 def read_parts(chosen: DataFrame) -> DataFrame:
     """Rows ``(target_key, length, part_no, content, sha256, error)`` of a written table of names.
 
     Stretches of ``TASK_BYTES`` of a file go to one task, which opens the file once. An
     object has the parts 0, 1, ...; where one could not be read, ``error`` says why.
     """
-    total, mounted = chosen.agg(F.sum(F.col("length") + OPEN_BYTES), F.max(F.col("path").like("viewfs:%"))).first()
-    tasks = max(-(-(total or 0) // TASK_BYTES), 1)
-    mounts = _mounts(chosen) if mounted else {}
+    parts, mounts = dealt(chosen)
     form = _form(("target_key", pa.string()), ("length", pa.int64()), ("part_no", pa.int32()),
                  ("content", pa.binary()), ("sha256", pa.string()), ("error", pa.string()))
 
@@ -215,8 +222,7 @@ def read_parts(chosen: DataFrame) -> DataFrame:
         if rows:
             yield _batch(rows, form)
 
-    dealt = cut(chosen).repartition(tasks, "path", "stretch").sortWithinPartitions("path", "start", "part_no")
-    return dealt.drop("stretch").mapInArrow(read, PARTS)
+    return parts.mapInArrow(read, PARTS)
 
 
 def digests(parts: DataFrame) -> DataFrame:
@@ -234,3 +240,31 @@ def digests(parts: DataFrame) -> DataFrame:
         F.max("error").alias("error"),
     )
     return rows
+
+
+def file_digests(files: DataFrame) -> DataFrame:
+    """Rows ``(path, sha256)`` of the files ``(path, length)`` as they lie, of any length.
+
+    A reading of its own, to compare with what has landed: parts are read one by one, each up to
+    where it or the file ends, and only their digests leave a task. ``sha256`` is made as in
+    :func:`digests`. A file that cannot be read ends the task.
+    """
+    parts, mounts = dealt(files.select(F.col("path").alias("target_key"), "length", "path", F.lit(None).cast("long").alias("start")))
+    form = _form(("target_key", pa.string()), ("length", pa.int64()), ("part_no", pa.int32()),
+                 ("sha256", pa.string()), ("error", pa.string()))
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = _Files(mounts)
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                file = opened.open(row["path"])
+                file.seek(row["part_no"] * PART_BYTES)
+                digest = sha256(file.read(PART_BYTES)).hexdigest()
+                rows.append((row["target_key"], row["length"], row["part_no"], digest, None))
+            if rows:
+                yield _batch(rows, form)
+        opened.close()
+
+    found = parts.mapInArrow(read, "target_key string, length bigint, part_no int, sha256 string, error string")
+    return digests(found).select(F.col("target_key").alias("path"), "sha256")

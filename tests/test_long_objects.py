@@ -3,14 +3,16 @@
 import os
 from hashlib import sha256
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.queries import QUERIES
 from lakeloom.schemas import CANDIDATES
 from lakeloom.session import scratch_path
 from lakeloom.sinks import SINKS, Layer, parts
 from lakeloom.sinks.object_sinks import rewrite
-from lakeloom.sinks.parts import cut, read_parts, references, staged
+from lakeloom.sinks.parts import cut, file_digests, read_parts, references, staged
 from lakeloom.sources.scans import read_objects
 from lakeloom.streaming.arrivals import stream_objects
 
@@ -50,6 +52,48 @@ def test_a_file_above_two_gigabytes_lands(spark, tmp_path):
     assert content[within : within + 5] == b"here\0"
 
 
+def test_arriving_objects_longer_than_a_cell(spark, tmp_path):
+    """Files above the length that a cell of Spark's own reader may have are compared too."""
+    (tmp_path / "long.parquet").write_bytes(os.urandom(parts.PART_BYTES + 1))
+    (tmp_path / "short.parquet").write_bytes(b"short")
+    name = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(name, 1000)
+    try:
+        got = {tuple(r) for r in QUERIES["arriving_objects"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset(name)
+    assert got == {(f"raw/{k}.parquet", "application/octet-stream", True) for k in ("long", "short")}
+
+
+def test_row_groups_of_objects_hold_few_parts(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "long").write_bytes(os.urandom(6 * parts.PART_BYTES))
+    stream_objects(spark, str(tmp_path / "in"), Layer(str(tmp_path / "out")), "raw", scratch_path(spark, "cp")).awaitTermination()
+    groups = []
+    for file in (tmp_path / "out").glob("load_seq=*/*/*.parquet"):
+        found = pq.ParquetFile(file).metadata
+        groups += [found.row_group(k).total_byte_size for k in range(found.num_row_groups)]
+    assert sum(groups) > 6 * parts.PART_BYTES and max(groups) < 2.5 * parts.PART_BYTES
+
+
+def test_digests_of_files_as_they_lie(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(parts, "PART_BYTES", 10)
+    monkeypatch.setattr(parts, "TASK_BYTES", 100)
+    monkeypatch.setattr(parts, "OPEN_BYTES", 0)
+    given = {"one": b"x", "just": b"0123456789" * 30, "more %20": bytes(range(256)) * 3, "empty": b""}
+    for k, body in given.items():
+        (tmp_path / k).write_bytes(body)
+    listed = [(f"file:{tmp_path}/{k}", len(body)) for k, body in given.items()]
+    (tmp_path / "changed").write_bytes(b"y" * 25)
+    listed.append((f"file:{tmp_path}/changed", 21))
+    got = {r.path: r.sha256 for r in file_digests(spark.createDataFrame(listed, "path string, length bigint")).collect()}
+    for path, _ in listed:
+        body = open(path[5:], "rb").read()
+        each = [sha256(body[i : i + 10]).hexdigest() for i in range(0, len(body), 10)] or [sha256(b"").hexdigest()]
+        assert got.pop(path) == (each[0] if len(each) == 1 else sha256("".join(each).encode()).hexdigest())
+    assert not got
+
+
 def test_sinks_land_objects_in_parts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(parts, "PART_BYTES", 10)
     monkeypatch.setattr(parts, "TASK_BYTES", 100_000)
