@@ -36,13 +36,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import pin
-from .common import SPREAD, lists, mixed, texts
+from ..session import LONG_ROWS, pin
+from .common import SPREAD, lists, mixed, small_batches, texts
 
 LEAST = 100
 TOP = 2000
 LONGEST = 5
 BLOCK_BYTES = 12 << 20
+# Text is split into words, and sent to Python, in steps of about this many bytes.
+STEP_BYTES = 1 << 20
+# So many windows or pairs of a block are made rows at a time.
+STEP_ROWS = 1 << 17
 # The shares of a language's text that its grown first words cover, round by round.
 SHARES = (1 / 8, 1.0)
 # Up to so many pairs are sent to the tasks that look for them; more are joined by a shuffle.
@@ -74,10 +78,17 @@ def stretches(text: bytes) -> Iterator[bytes]:
 
 def coded(parts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Words as places in their vocabulary, -1 between pieces; the vocabulary; its counts."""
-    words = b"\n".join(parts).translate(FOLD).replace(b"\n", b" " + BREAK + b" ").split()
-    found = pa.array([BREAK, *words], pa.binary()).dictionary_encode()
-    codes = found.indices.to_numpy()[1:] - 1
-    vocabulary = found.dictionary[1:].cast(pa.string())
+    split, step, size = [], [], 0
+    for k, part in enumerate(parts, 1):
+        step.append(part)
+        size += len(part)
+        if size >= STEP_BYTES or k == len(parts):
+            words = b"\n".join(step).translate(FOLD).replace(b"\n", b" " + BREAK + b" ").split()
+            split.append(pa.array([BREAK, *words], pa.binary()))
+            step, size = [], 0
+    found = pa.chunked_array(split, pa.binary()).dictionary_encode().unify_dictionaries()
+    codes = np.concatenate([c.indices.to_numpy() for c in found.chunks])[1:] - 1
+    vocabulary = found.chunk(0).dictionary[1:].cast(pa.string())
     return codes, vocabulary, np.bincount(codes[codes >= 0], minlength=len(vocabulary))
 
 
@@ -179,8 +190,10 @@ def pair_counts(encoded: DataFrame, turn: DataFrame) -> DataFrame:
                 first = fs[codes[:-1]]
                 here = (first > low[k]) & (first <= high[k]) & (codes[1:] > 0)
                 keys, n = np.unique(codes[:-1][here] * len(ids) + codes[1:][here], return_counts=True)
-                row = [ids[keys // len(ids)], ids[keys % len(ids)], n.astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], ["w1", "w2", "n"])
+                for start in range(0, len(keys), STEP_ROWS):
+                    some = keys[start : start + STEP_ROWS]
+                    row = [ids[some // len(ids)], ids[some % len(ids)], n[start : start + STEP_ROWS].astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], ["w1", "w2", "n"])
 
     return encoded.join(turn, "lang").mapInArrow(count, "w1 bigint, w2 bigint, n bigint")
 
@@ -215,14 +228,17 @@ def windows(encoded: DataFrame, pairs: DataFrame) -> DataFrame:
                 codes, ids, _ = read_block(batch, k)
                 at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
                 keys, which = np.unique(codes[at] * len(ids) + codes[at + 1], return_inverse=True)
-                at = at[wanted(ids[keys // len(ids)], ids[keys % len(ids)])[which]]
+                here = wanted(ids[keys // len(ids)], ids[keys % len(ids)])[which]
+                # Places of a pair lie next to each other, so that a step counts all but a few of its windows.
+                at = at[here][np.argsort(which[here], kind="stable")]
                 padded = np.concatenate(([0], codes, np.zeros(LONGEST, np.int64)))
-                rows = padded[at[:, None] + np.arange(LONGEST + 1)]
-                for place in range(2, LONGEST + 1):
-                    rows[:, place] *= rows[:, place - 1] > 0
-                rows, n = np.unique(rows, axis=0, return_counts=True)
-                columns = [pa.array(ids[rows[:, i]]) for i in range(LONGEST + 1)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["prev", *WORDS, "n"])
+                for start in range(0, len(at), STEP_ROWS):
+                    rows = padded[at[start : start + STEP_ROWS, None] + np.arange(LONGEST + 1)]
+                    for place in range(2, LONGEST + 1):
+                        rows[:, place] *= rows[:, place - 1] > 0
+                    rows, n = np.unique(rows, axis=0, return_counts=True)
+                    columns = [pa.array(ids[rows[:, i]]) for i in range(LONGEST + 1)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["prev", *WORDS, "n"])
 
     form = ", ".join(f"{c} bigint" for c in ("prev", *WORDS, "n"))
     return encoded.select("codes", "ids", "fs").mapInArrow(cut, form).join(pairs.select("w1", "w2"), ["w1", "w2"])
@@ -323,13 +339,19 @@ def rests(needed: DataFrame, encoded: DataFrame) -> DataFrame:
 
 def phrases(docs: DataFrame, top: int = TOP) -> DataFrame:
     """Rows ``(lang, rank, phrase, a, l, r, n, score)``: each language's first ``top``."""
+    with small_batches(docs.sparkSession, STEP_BYTES):
+        return ranked(docs, top)
+
+
+def ranked(docs: DataFrame, top: int) -> DataFrame:
+    """The phrases; what is left to run when this returns needs no Python."""
     spark = docs.sparkSession
-    cut = pin(blocks(docs), "blocks")
+    cut = pin(blocks(docs), "blocks", **LONG_ROWS)
     size = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)
     totals = pin(cut.groupBy("lang").agg(F.sum(size).alias("n")), "totals")
     known = pin(frequent(cut), "frequent")
     words = pin(known.where("own = id").select("id", "lang", "word", "f"), "words")
-    encoded = pin(numbered(cut, known), "numbered")
+    encoded = pin(numbered(cut, known), "numbered", **LONG_ROWS)
     steps = pin(turns(words), "turns")
 
     found = spark.createDataFrame([], "phrase array<bigint>, a bigint, survives boolean")
@@ -368,9 +390,9 @@ def phrases(docs: DataFrame, top: int = TOP) -> DataFrame:
     text = F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"])
     spelled = each.groupBy("phrase").agg(F.array_join(text, " ").alias("spelled"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "spelled")
-    ranked = chosen.join(spelled, "phrase").select("lang", F.col("spelled"), "a", "cut.l", "cut.r", "n", "cut.score")
-    ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.select(
+    rows = chosen.join(spelled, "phrase").select("lang", F.col("spelled"), "a", "cut.l", "cut.r", "n", "cut.score")
+    rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return rows.select(
         "lang", F.col("rank").cast("long").alias("rank"), F.col("spelled").alias("phrase"), "a", "l", "r", "n", "score"
     )
 

@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# For tables with rows of some MiB. A page is packed and unpacked as a whole, and Spark reads a row
+# group's cells into one array that doubles as it grows. So both hold about 8 MiB, as packed.
+LONG_ROWS = {
+    "parquet.block.size": str(8 * 1024 * 1024),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "2",
+}
+
 
 def build_session(app: str = "lakeloom", cpus: str | int = "*") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
@@ -50,8 +58,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and go on from the written table.
+def pin(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` once, with ``options`` for its files, and go on from the written table.
 
     Later reads do not recompute the plan above, survive lost executors, and
     see the file sizes, so the optimizer broadcasts the table only when it is
@@ -59,5 +67,5 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

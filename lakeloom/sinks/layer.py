@@ -28,6 +28,7 @@ from ..functions.urls import target_key
 from ..operators.landing import skip_landed
 from ..operators.rules import LAKE_PATTERN
 from ..schemas import LANDED
+from ..session import LONG_ROWS
 
 # The layers of a lake.
 LAYERS = ("bronze", "silver", "gold")
@@ -44,13 +45,6 @@ WRITE_OPTIONS = {
     "parquet.page.size.row.check.min": "8",
     "parquet.block.size.row.check.min": "8",
 }
-# A page is packed and unpacked as a whole, and Spark reads a row group's cells into one array that
-# doubles as it grows. So those of objects hold about a part, as packed.
-OBJECT_OPTIONS = {
-    "parquet.block.size": str(8 * 1024 * 1024),
-    "parquet.page.size.row.check.min": "1",
-    "parquet.page.size.row.check.max": "2",
-}
 
 
 def below(base: str, name: str) -> str:
@@ -211,7 +205,7 @@ class Layer:
         """Write the rows of one load, replacing what an earlier try of it left; where they lie."""
         columns = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
         path = self.load_path(load_id, self.load_seq(rows.sparkSession, load_id))
-        options = OBJECT_OPTIONS if "content" in self.schema.names else WRITE_OPTIONS
+        options = LONG_ROWS if "content" in self.schema.names else WRITE_OPTIONS
         rows.select(*columns).write.mode(mode).options(**options).parquet(path)
         return path
 

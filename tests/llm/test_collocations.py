@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import pytest
 
 from lakeloom.llm import collocations
+from lakeloom.llm.common import BATCH_CONF
 
 DOCS = "doc_id bigint, text string, lang string, n bigint, word string, block int, phrase string"
 
@@ -62,6 +64,27 @@ def test_against_all_phrases(spark, top, sent, monkeypatch):
     assert got == brute(rows(), top) and {r[0] for r in got} == {"en", "de", "und"}
 
 
+def test_in_small_steps(spark, monkeypatch):
+    """Steps cut texts, pairs and windows of a block; what is found stays."""
+    for name, value in (("BLOCK_BYTES", 30_000), ("STEP_BYTES", 500), ("STEP_ROWS", 50), ("SENT_PAIRS", 0)):
+        monkeypatch.setattr(collocations, name, value)
+    got = sorted(tuple(r) for r in collocations.phrases(spark.createDataFrame(rows(), DOCS), 7).collect())
+    assert got == brute(rows(), 7) and spark.conf.get(BATCH_CONF, None) is None
+
+
+def test_words_of_a_block_are_not_held_at_once():
+    parts = [b"some of the words, and more " * 4000] * 80
+    tracemalloc.start()
+    codes, vocabulary, counts = collocations.coded(parts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert vocabulary.to_pylist() == ["some", "of", "the", "words", "and", "more"]
+    assert counts.tolist() == [320_000] * 6 and (codes < 0).sum() == 320_000 + 79
+    assert codes[:8].tolist() == [0, 1, 2, 3, -1, 4, 5, 0]
+    # Words held at once take sixteen times the text, each being an object.
+    assert most < 8 * sum(map(len, parts))
+
+
 def test_no_rows(spark):
     assert collocations.phrases(spark.createDataFrame([], DOCS)).collect() == []
 
